@@ -16,11 +16,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def located(spark: SparkSession, folder: str, customers: DataFrame) -> DataFrame:
+    """Rows with c_nationkey, joined to their nation and region."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    return customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+
+
 def places(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with their nation and region."""
-    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    home = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return table(spark, folder, "customer").join(home, F.col("c_nationkey") == F.col("n_nationkey"))
+    return located(spark, folder, table(spark, folder, "customer"))
+
+
+def orders_with_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with customer, nation and region."""
+    orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
+    return located(spark, folder, orders.join(customers, F.col("o_custkey") == F.col("c_custkey")))
 
 
 def _deliveries(twice: Column) -> Column:
@@ -58,13 +70,8 @@ def refunds(spark: SparkSession, folder: str) -> DataFrame:
 
 def base_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with customer and refund, each once."""
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority"
-    )
-    who = places(spark, folder).select("c_custkey", "c_acctbal", "c_mktsegment", "n_name", "r_name")
-    return (
-        orders.join(who, F.col("o_custkey") == F.col("c_custkey"))
-        .join(refunds(spark, folder), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return orders_with_customers(spark, folder).join(
+        refunds(spark, folder), F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
 
 
@@ -104,9 +111,7 @@ def order_parts(spark: SparkSession, folder: str) -> DataFrame:
             F.max(F.when(flag == f, F.col("l_tax"))).cast(MONEY).alias(f"tax_{f}"),
         ]
     lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(*sums)
-    who = places(spark, folder).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "n_name", "r_name")
-    orders = table(spark, folder, "orders").join(who, F.col("o_custkey") == F.col("c_custkey"))
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return orders_with_customers(spark, folder).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
 
 def _money(amount: Column, code: Column | None = None) -> Column:
@@ -146,7 +151,7 @@ def created_text(status: Column, day: Column) -> Column:
 
 
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """One page document per order, with two edges that hold no order."""
+    """One page document per order; pages of pending orders have two edges that hold no order."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     key = F.col("o_orderkey").cast("string")
     date = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -226,12 +231,14 @@ def order_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.array(payment).alias("transactions"),
         F.struct(F.array(field).alias("edges")).alias("metafields"),
     )
-    lines = F.concat_ws(",", *[_line(f, key) for f in FLAGS], F.lit("7"))
+    lines = F.concat_ws(",", *[_line(f, key) for f in FLAGS], F.when(status == "O", F.lit("7")))
     # The lines are spliced into the node as text, so that a list item that is no object can be among them.
     node_text = F.concat(F.lit('{"lineItems":{"nodes":['), lines, F.lit("]},"), F.substring(F.to_json(node), 2, 2**31 - 1))
     document = F.concat(
         F.lit('{"data":{"orders":{"edges":[{"cursor":"c1","node":'), node_text,
-        F.lit('},5,{"cursor":"c2","node":null}],"pageInfo":{"hasNextPage":false}}}}'),
+        F.lit("}"),
+        F.when(status == "P", ',5,{"cursor":"c2","node":null}').otherwise(""),
+        F.lit('],"pageInfo":{"hasNextPage":false}}}}'),
     )
     return order_parts(spark, folder).select(document.alias("document"))
 

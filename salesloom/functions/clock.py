@@ -1,7 +1,6 @@
 """Date and time text expressions.
 
-Clock readings are TIMESTAMP_NTZ inside, so their text does not depend on the
-session time zone. The session is expected to run in UTC.
+Clock readings are TIMESTAMP_NTZ inside. The session runs in UTC (`session.configure`).
 """
 
 from __future__ import annotations
@@ -31,14 +30,8 @@ def wall_clock(iso: Column) -> Column:
 
 
 def instant(iso: Column) -> Column:
-    """The point in time of an ISO text; text without an offset is UTC."""
-    text = _given(iso)
-    zoned = (
-        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$"), text)
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    return zoned.cast("timestamp")
+    """The point in time of an ISO text; text without an offset is UTC, the session's time zone."""
+    return _given(iso).cast("timestamp")
 
 
 def city_clock(moment: Column, zone: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,13 @@ def to_bigint(value: Column) -> Column:
     return F.when(value.isNull(), F.lit(None).cast(T.LongType())).otherwise(F.coalesce(exact, rounded))
 
 
+def bigint_of(rows: DataFrame, column: str) -> Column:
+    """A column as whole number; a column that already is one stays plain, so filters reach the scan."""
+    if isinstance(rows.schema[column].dataType, T.IntegralType):
+        return F.col(column).cast(T.LongType())
+    return to_bigint(F.col(column))
+
+
 def gid_number(gid: Column) -> Column:
     """The digits after the last slash of a global id, or NULL."""
     digits = F.regexp_extract(gid, r"/(\d+)\s*$", 1)

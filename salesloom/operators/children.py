@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesloom import schemas
 from salesloom.functions.money import money_or_zero
-from salesloom.operators.wide import with_lines
+from salesloom.operators.wide import line_discounts, with_lines
 from salesloom.sources.pages import objects, order_number
 
 
@@ -47,10 +47,15 @@ def order_lines(nodes: DataFrame) -> DataFrame:
     )
 
 
-def line_discount_rows(nodes: DataFrame) -> DataFrame:
+def order_discounts(nodes: DataFrame) -> DataFrame:
     """One row per discount of a line."""
-    lines = order_nodes_with_discounts(nodes)
-    return lines.select("shopify_gid", "legacy_order_id", F.posexplode("info").alias("position", "line")).select(
+    node = F.col("node")
+    info = with_lines(nodes).select(
+        node["id"].alias("shopify_gid"),
+        order_number(node).alias("legacy_order_id"),
+        F.posexplode(line_discounts(F.col("lines"))).alias("position", "line"),
+    )
+    return info.select(
         "shopify_gid",
         "legacy_order_id",
         "position",
@@ -60,17 +65,6 @@ def line_discount_rows(nodes: DataFrame) -> DataFrame:
     )
 
 
-def order_nodes_with_discounts(nodes: DataFrame) -> DataFrame:
-    from salesloom.operators.wide import line_discounts
-
-    node = F.col("node")
-    return with_lines(nodes).select(
-        node["id"].alias("shopify_gid"),
-        order_number(node).alias("legacy_order_id"),
-        line_discounts(F.col("lines")).alias("info"),
-    )
-
-
 def refund_lines(nodes: DataFrame) -> DataFrame:
     """One row per refunded line; a refund without lines keeps one row."""
     refunds = objects(F.from_json(F.col("node.refunds"), "array<string>"), schemas.REFUND)

@@ -18,7 +18,8 @@ def unseen(existing: DataFrame, incoming: DataFrame, key: str = "order_id") -> D
     existing rows out of the join.
     """
     low = incoming.select(F.min(key)).scalar()
-    high = incoming.select(F.max(key)).scalar()
+    # Not a second aggregate: Spark would merge the two, and a merged bound is not pushed into the scan.
+    high = incoming.select(key).filter(F.col(key).isNotNull()).orderBy(F.col(key).desc()).limit(1).scalar()
     known = existing.select(key).filter((F.col(key) >= low) & (F.col(key) <= high)).distinct()
     return incoming.join(known, key, "left_anti").select(*incoming.columns)
 

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from salesloom import schemas
 from salesloom.functions.clock import month_text
 from salesloom.functions.money import money_or_zero, to_money
-from salesloom.functions.text import clean_code, to_bigint, trim_u
+from salesloom.functions.text import bigint_of, clean_code, trim_u
 
 
 def clean_customers(raw_customers: DataFrame) -> DataFrame:
     """Typed, trimmed customers with upper-case city and lower-case level; copies stay."""
     return raw_customers.select(
-        to_bigint(F.col("customer_id")).alias("customer_id"),
+        bigint_of(raw_customers, "customer_id").alias("customer_id"),
         trim_u(F.col("customer_name")).alias("customer_name"),
         F.upper(trim_u(F.col("city"))).alias("city"),
         F.lower(trim_u(F.col("customer_level"))).alias("customer_level"),
@@ -27,8 +27,8 @@ def stg_customers(raw_customers: DataFrame) -> DataFrame:
 
 def _given(raw_orders: DataFrame) -> DataFrame:
     return raw_orders.select(
-        to_bigint(F.col("order_id")).alias("order_id"),
-        to_bigint(F.col("customer_id")).alias("customer_id"),
+        bigint_of(raw_orders, "order_id").alias("order_id"),
+        bigint_of(raw_orders, "customer_id").alias("customer_id"),
         to_money(F.col("order_amount")).alias("order_amount"),
         F.col("order_date").cast("date").alias("order_date"),
         clean_code(F.col("currency_code")).alias("currency_code"),

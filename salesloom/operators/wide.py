@@ -28,18 +28,24 @@ def _shop_amount(holder: Column, name: str) -> Column:
 
 def _count(value: Column) -> Column:
     """Whole number out of a JSON number or text, 0 when missing; a fraction is cut off."""
-    return F.coalesce(F.nullif(value, F.lit("")), F.lit("0")).cast("decimal(20,6)").cast("int")
+    given = F.nullif(value, F.lit(""))
+    cut = given.cast("decimal(20,6)").cast("int")
+    return F.when(given.isNull(), 0).otherwise(F.coalesce(value.try_cast("int"), cut))
 
 
-def _line_total(lines: Column, excluded: Sequence[str], amount: str) -> Column:
-    """Sum of amount times quantity over the lines that count as products."""
-    counted = F.filter(lines, lambda line: ~F.coalesce(line["sku"], F.lit("")).isin(*excluded))
-    total = F.aggregate(
-        counted,
-        F.lit(Decimal(0)).cast(_LONG_MONEY),
-        lambda done, line: (done + _shop_amount(line, amount) * _count(line["quantity"])).cast(_LONG_MONEY),
-    )
-    return to_money(F.coalesce(total, F.lit(Decimal(0)).cast(_LONG_MONEY)))
+def _line_totals(lines: Column, excluded: Sequence[str]) -> Column:
+    """Price and discount times quantity, summed over the lines that count as products."""
+    none = F.lit(Decimal(0)).cast(_LONG_MONEY)
+
+    def add(done: Column, line: Column) -> Column:
+        quantity = _count(line["quantity"])
+        counts = ~F.coalesce(line["sku"], F.lit("")).isin(*excluded)
+        amount = done["amount"] + _shop_amount(line, "originalUnitPriceSet") * quantity
+        discount = done["discount"] + _shop_amount(line, "totalDiscountSet") * quantity
+        summed = F.struct(amount.cast(_LONG_MONEY).alias("amount"), discount.cast(_LONG_MONEY).alias("discount"))
+        return F.when(counts, summed).otherwise(done)
+
+    return F.aggregate(lines, F.struct(none.alias("amount"), none.alias("discount")), add)
 
 
 def line_discounts(lines: Column) -> Column:
@@ -99,6 +105,7 @@ def wide_orders(
         order_number(node).alias("legacy_order_id"),
         whole_number(node["customer"]["legacyResourceId"]).alias("customer_number"),
         F.when(node["billingAddress"].startswith("{"), node["billingAddress"]).alias("billing"),
+        _line_totals(F.col("lines"), excluded_skus).alias("products"),
     )
     lines, created = F.col("lines"), F.col("created")
     customer, shipping = node["customer"], node["shippingAddress"]
@@ -118,9 +125,9 @@ def wide_orders(
         **{name: city_clock(created, zone) for name, zone in CITY_ZONES.items()},
         "order_status": or_empty(node["displayFinancialStatus"]),
         "product_quantity": _count(node["currentSubtotalLineItemsQuantity"]),
-        "total_product_amount": _line_total(lines, excluded_skus, "originalUnitPriceSet"),
+        "total_product_amount": to_money(F.col("products.amount")),
         "shippingfee": _shop_amount(node, "totalShippingPriceSet"),
-        "total_product_discount": _line_total(lines, excluded_skus, "totalDiscountSet"),
+        "total_product_discount": to_money(F.col("products.discount")),
         "discountfee": _shop_amount(node, "totalDiscountsSet"),
         "tax": _shop_amount(node, "totalTaxSet"),
         "logistics_status": or_empty(node["displayFulfillmentStatus"]),

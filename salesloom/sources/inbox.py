@@ -117,7 +117,7 @@ def inbox_orders(records: DataFrame, today: Column | None = None) -> DataFrame:
 def inbox_records(spark: SparkSession, inbox: str, base: str) -> DataFrame:
     path = pick_inbox_file(spark, inbox, base)
     if path.endswith(".json"):
-        documents = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "document")
+        documents = spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
         return json_records(documents, base)
     return csv_records(read_csv_text(spark, path))
 

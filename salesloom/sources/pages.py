@@ -18,7 +18,7 @@ from salesloom.functions.text import blank_to, gid_number, level_from_tags, or_e
 
 def read_pages(spark: SparkSession, path: str, page_per_line: bool = True) -> DataFrame:
     """Page documents in a `document` column, with the folder's partition columns."""
-    text = spark.read.option("wholetext", str(not page_per_line).lower()).text(path)
+    text = spark.read.text(path, wholetext=not page_per_line)
     return text.withColumnRenamed("value", "document")
 
 
@@ -30,15 +30,23 @@ def objects(items: Column, shape: str) -> Column:
 def nodes(pages: DataFrame, root: str, node_type: str) -> DataFrame:
     """One row per node of the pages, next to the other columns of the page.
 
-    Parsing and dropping happen inside the exploded expression, so each edge is
-    parsed once whatever filters follow.
+    A page is parsed once. A list item that is no object voids its list in that pass;
+    only such pages are parsed again, item by item, and the item drops out. All of it
+    happens inside the exploded expression, so later filters do not repeat it.
     """
     others = [c for c in pages.columns if c != "document"]
-    connection = f"{root}: STRUCT<edges: ARRAY<STRING>>"
-    parsed = F.from_json("document", f"STRUCT<data: STRUCT<{connection}>, {connection}>")
-    edges = F.coalesce(parsed["data"][root]["edges"], parsed[root]["edges"])
-    kept = F.filter(objects(edges, f"cursor STRING, node {node_type}"), lambda edge: edge["node"].isNotNull())
-    return pages.select(*others, F.explode(kept).alias("edge")).select(*others, F.col("edge.node").alias("node"))
+    edge = f"cursor: STRING, node: {node_type}"
+
+    def edges(item_type: str) -> Column:
+        connection = f"{root}: STRUCT<edges: ARRAY<{item_type}>>"
+        return F.from_json("document", f"STRUCT<data: STRUCT<{connection}>, {connection}>")
+
+    whole = pages.select(*others, "document", edges(f"STRUCT<{edge}>").alias("page"))
+    parsed = F.coalesce(F.col("page.data")[root]["edges"], F.col("page")[root]["edges"])
+    text = edges("STRING")
+    items = F.coalesce(text["data"][root]["edges"], text[root]["edges"])
+    kept = F.filter(F.coalesce(parsed, objects(items, f"STRUCT<{edge}>")), lambda item: item["node"].isNotNull())
+    return whole.select(*others, F.explode(kept).alias("edge")).select(*others, F.col("edge.node").alias("node"))
 
 
 def order_nodes(pages: DataFrame) -> DataFrame:
