@@ -8,20 +8,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Copies of one known key that may reach the join, see known_keys.
+_COPIES = 8
+
+
+def known_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The keys of a table for a semi or anti join, a few copies of each at most.
+
+    Every task keeps one copy of a key before the shuffle, so a key with very many rows
+    is no burden. Plainly distinct keys would already lie where the join wants them, and
+    the join would then read them through an aggregate, in which case Spark cannot split
+    a hot key on the other side. With a copy number among the grouping keys they are
+    shuffled once more and it can.
+    """
+    copy = F.pmod(F.spark_partition_id(), F.lit(_COPIES))
+    return rows.select(key, copy.alias("copy")).distinct().select(key)
+
+
 def unseen(existing: DataFrame, incoming: DataFrame, key: str = "order_id") -> DataFrame:
     """Incoming rows whose key the existing table does not hold.
 
     Copies inside the batch all stay, and so do rows without a key. Keys outside the
     range of the batch cannot match, so that range is pushed into the scan of the
-    existing table, where file statistics skip most of the history. Distinct keys use
-    the partitioning that the join needs anyway, and they keep a key with very many
-    existing rows out of the join.
+    existing table, where file statistics skip most of the history.
     """
     low = incoming.select(F.min(key)).scalar()
     # Not a second aggregate: Spark would merge the two, and a merged bound is not pushed into the scan.
     high = incoming.select(key).filter(F.col(key).isNotNull()).orderBy(F.col(key).desc()).limit(1).scalar()
-    known = existing.select(key).filter((F.col(key) >= low) & (F.col(key) <= high)).distinct()
-    return incoming.join(known, key, "left_anti").select(*incoming.columns)
+    in_range = existing.filter((F.col(key) >= low) & (F.col(key) <= high))
+    return incoming.join(known_keys(in_range, key), key, "left_anti").select(*incoming.columns)
 
 
 def append_unseen(existing: DataFrame, incoming: DataFrame, key: str = "order_id") -> DataFrame:

@@ -85,7 +85,8 @@ def write_quality_report(checks: DataFrame, path: str) -> DataFrame:
 
 def append_snapshot(wide: DataFrame, path: str, day: str = "snapshot_day") -> None:
     """Append the rows of a run to the JSON snapshot, in folders by day; nothing is rewritten."""
-    wide.withColumn("snapshot_saved_at", F.current_timestamp()).write.mode("append").partitionBy(day).json(path)
+    stamped = wide.withColumn("snapshot_saved_at", F.current_timestamp())
+    stamped.hint("rebalance", day).write.mode("append").partitionBy(day).json(path)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
@@ -128,8 +129,9 @@ def upsert_wide(warehouse: Warehouse, incoming: DataFrame) -> int:
     batch = spark.read.parquet(arrived)
     rows = batch.withColumn("arrival", F.lit(1))
     if warehouse.exists(table):
-        existing = warehouse.read(table).withColumn("created_month", F.col("created_month").cast("string"))
-        touched = existing.join(batch.select("created_month").distinct(), "created_month", "left_semi")
+        # Calendar months, a few hundred at most: as literals they prune the folders of the table.
+        months = [r.created_month for r in batch.select("created_month").distinct().collect()]
+        touched = warehouse.read(table).filter(F.col("created_month").cast("string").isin(months))
         rows = rows.unionByName(touched.withColumn("arrival", F.lit(0)))
     merged = f"{shared_dir(spark, 'wide-merged')}/rows"
     newest = latest(rows, schemas.WIDE_KEY, ["updated_at", "arrival"]).drop("arrival")

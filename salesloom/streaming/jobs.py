@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.operators import marts
-from salesloom.operators.incremental import latest, unseen
+from salesloom.operators.incremental import known_keys, latest, unseen
 from salesloom.operators.wide import wide_orders
+from salesloom.session import configure
 from salesloom.sources import pages
 
 # State on disk instead of in executor memory.
@@ -51,6 +52,8 @@ def land(
     """Start the stream; each micro-batch becomes the folder `batch_id=<n>` under `out`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # A stream's own session switches adaptive execution off; the batch jobs need it for skewed keys.
+        configure(batch.sparkSession)
         prepare(batch, batch_id).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
@@ -154,13 +157,13 @@ def daily_sales_of_stream(spark: SparkSession, out: str) -> DataFrame:
 
 def with_reject_reason(orders: DataFrame, dim: DataFrame) -> DataFrame:
     """Orders with why they would fail the row checks, NULL when they pass."""
-    known = dim.select("customer_id").distinct().withColumn("known", F.lit(True))
-    reason = (
-        F.when(F.col("customer_id").isNull(), "no customer")
-        .when(F.coalesce(F.col("order_amount") <= 0, F.lit(False)), "amount not positive")
-        .when(F.col("known").isNull(), "unknown customer")
-    )
-    return orders.join(known, "customer_id", "left").select(*orders.columns, reason.alias("reject_reason"))
+    known = known_keys(dim, "customer_id")
+    bad_amount = F.when(F.col("order_amount") <= 0, "amount not positive")
+    no_customer = F.when(F.col("customer_id").isNull(), "no customer")
+    accepted = orders.join(known, "customer_id", "left_semi").select(*orders.columns, bad_amount.alias("reject_reason"))
+    unknown = orders.join(known, "customer_id", "left_anti")
+    reason = F.coalesce(no_customer, bad_amount, F.lit("unknown customer"))
+    return accepted.unionByName(unknown.select(*orders.columns, reason.alias("reject_reason")))
 
 
 def land_checked(orders: DataFrame, dim: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
