@@ -131,13 +131,13 @@ def null_counts(table: DataFrame, name: str, columns: Sequence[str]) -> DataFram
 
 
 def published_key_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The primary keys of the published tables, checked on their source tables."""
-    return key_checks({p.source: (tables[p.source], p.key) for p in schemas.PUBLISHED if p.source in tables})
+    """The primary keys of the published tables and the wide table, checked on their source tables."""
+    keys = {p.source: p.key for p in schemas.PUBLISHED} | {"raw_shopify_orders": schemas.WIDE_KEY}
+    return key_checks({name: (tables[name], key) for name, key in keys.items() if name in tables})
 
 
 def published_null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The NOT NULL columns of the published tables, checked on their source tables."""
-    return reduce(
-        DataFrame.unionByName,
-        [null_counts(tables[p.source], p.source, p.not_null) for p in schemas.PUBLISHED if p.source in tables],
-    )
+    """The NOT NULL columns of the published tables and the wide table, checked on their source tables."""
+    filled = {p.source: p.not_null for p in schemas.PUBLISHED} | {"raw_shopify_orders": schemas.WIDE_NOT_NULL}
+    counts = [null_counts(tables[name], name, columns) for name, columns in filled.items() if name in tables]
+    return reduce(DataFrame.unionByName, counts)

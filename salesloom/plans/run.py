@@ -44,6 +44,14 @@ class Paths:
     def order_pages(self) -> str:
         return self.at("pages", "orders")
 
+    @property
+    def product_pages(self) -> str:
+        return self.at("pages", "products")
+
+    @property
+    def products(self) -> str:
+        return self.at("products", "storefront_products.json")
+
     @property
     def snapshot(self) -> str:
         return self.at("orders", "shopify_orders_snapshot.json")
@@ -241,28 +249,52 @@ def run_csv_to_database(
     return run(spark, paths, chosen, write_database, run_in_transaction)
 
 
-def parse_arguments(arguments: list[str] | None = None) -> tuple[Paths, RunOptions]:
+def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     """Flags of the spark-submit entry."""
     parser = argparse.ArgumentParser(description="Run the sales warehouse")
     parser.add_argument("--root", required=True, help="folder of the sources and results")
+    parser.add_argument("--target", choices=("files", "postgres"), default="files")
     parser.add_argument("--source", choices=("csv", "inbox", "shopify"), default="csv")
-    parser.add_argument("--skip-export", action="store_true")
-    parser.add_argument("--skip-layer-backup", action="store_true")
-    parser.add_argument("--incremental", action="store_true")
-    parser.add_argument("--shopify-days", type=int, default=None)
-    parser.add_argument("--end-day", type=date.fromisoformat, default=None)
-    given = parser.parse_args(arguments)
-    return Paths(given.root), RunOptions(
+    parser.add_argument("--skip-export", action="store_true", help="no summary CSV")
+    parser.add_argument("--skip-layer-backup", action="store_true", help="no CSV backup of the layers")
+    parser.add_argument("--postgres-dsn", default="", help="postgresql://user:password@host:port/name")
+    parser.add_argument("--table-prefix", default="", help="prefix of the published table names")
+    parser.add_argument("--incremental", action="store_true", help="append orders with new ids only")
+    parser.add_argument("--shopify-days", type=int, default=None, help="days to look back, 14 by default")
+    parser.add_argument("--end-day", type=date.fromisoformat, default=None, help="last day to sync, today by default")
+    parser.add_argument("--probe-products", action="store_true", help="count the recorded product pages and stop")
+    parser.add_argument("--export-products", action="store_true", help="export the recorded products and stop")
+    return parser.parse_args(arguments)
+
+
+def options_of(given: argparse.Namespace) -> RunOptions:
+    return RunOptions(
+        target=given.target,
         data_source=given.source,
         export_summary=not given.skip_export,
         export_layer_backups=not given.skip_layer_backup,
         incremental_load=given.incremental,
         shopify_sync_days=given.shopify_days,
         end_day=given.end_day,
+        table_prefix=given.table_prefix,
     )
 
 
 def main(arguments: list[str] | None = None) -> None:
-    paths, options = parse_arguments(arguments)
-    spark = SparkSession.builder.appName("salesloom").getOrCreate()
-    print(run(spark, paths, options))
+    given = parse_arguments(arguments)
+    paths = Paths(given.root)
+    spark = configure(SparkSession.builder.appName("salesloom").getOrCreate())
+    if given.probe_products:
+        print(pages.page_probe(pages.read_pages(spark, paths.product_pages)).first().asDict())
+        return
+    if given.export_products:
+        nodes = pages.product_nodes(pages.read_pages(spark, paths.product_pages))
+        print(files.export_products(nodes, paths.products, RunOptions.shop_name).first().asDict())
+        return
+    write, transact = None, None
+    if given.target == "postgres":
+        if not given.postgres_dsn:
+            raise SystemExit("--target postgres needs --postgres-dsn")
+        write = database.jdbc_writer(*database.jdbc_of_dsn(given.postgres_dsn))
+        transact = database.psycopg_runner(given.postgres_dsn)
+    print(run(spark, paths, options_of(given), write, transact))

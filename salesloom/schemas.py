@@ -120,6 +120,32 @@ WIDE_ORDER_COLUMNS = tuple(WIDE_ORDER_TYPES)
 
 # ---- published tables ------------------------------------------------------
 
+# The type of every published column. Sums of money may need more than
+# twelve digits at scale, so money is eighteen wide.
+PUBLISHED_TYPES: dict[str, str] = {
+    "customer_id": "bigint",
+    "customer_name": "string",
+    "city": "string",
+    "customer_level": "string",
+    "order_id": "bigint",
+    "order_amount": "decimal(18,2)",
+    "order_date": "date",
+    "order_month": "string",
+    "currency_code": "string",
+    "ship_country": "string",
+    "refund_amount": "decimal(18,2)",
+    "net_amount": "decimal(18,2)",
+    "summary_key": "string",
+    "order_count": "bigint",
+    "customer_count": "bigint",
+    "gross_sales": "decimal(18,2)",
+    "gross_merchandise_value": "decimal(18,2)",
+    "total_refunds": "decimal(18,2)",
+    "net_sales": "decimal(18,2)",
+    "avg_order_amount": "decimal(18,2)",
+    "average_order_value": "decimal(18,2)",
+}
+
 
 @dataclass(frozen=True)
 class PublishedTable:
@@ -138,8 +164,13 @@ class PublishedTable:
 
     @property
     def not_null(self) -> tuple[str, ...]:
+        """Every published column must be filled."""
         return self.columns
 
+    @property
+    def types(self) -> dict[str, str]:
+        return {c: PUBLISHED_TYPES[c] for c in self.columns}
+
 
 RAW_AUDIT = ("source_system", "etl_loaded_at")
 

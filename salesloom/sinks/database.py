@@ -8,19 +8,18 @@ transaction on its own connection (`run_in_transaction`).
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from salesloom import schemas
+from salesloom.operators.quality import DataQualityError, orphan_orders
 from salesloom.schemas import PublishedTable
 
 TableWriter = Callable[[DataFrame, str], None]
 StatementRunner = Callable[[list[str]], None]
 
-_PUBLISHED_MONEY = T.DecimalType(18, 2)
-
 
 def jdbc_writer(url: str, properties: dict[str, str], connections: int = 16, batch_size: int = 10_000) -> TableWriter:
     """Writes a table over JDBC with a bounded number of connections."""
@@ -32,15 +31,39 @@ def jdbc_writer(url: str, properties: dict[str, str], connections: int = 16, bat
     return write
 
 
+def jdbc_of_dsn(dsn: str) -> tuple[str, dict[str, str]]:
+    """JDBC address and properties of a `postgresql://user:password@host:port/name` address."""
+    parts = urlsplit(dsn)
+    if parts.scheme not in ("postgresql", "postgres") or not parts.hostname:
+        raise ValueError("the database address must look like postgresql://user:password@host:port/name")
+    port = f":{parts.port}" if parts.port else ""
+    query = f"?{parts.query}" if parts.query else ""
+    properties = {"driver": "org.postgresql.Driver"}
+    if parts.username:
+        properties["user"] = unquote(parts.username)
+    if parts.password:
+        properties["password"] = unquote(parts.password)
+    return f"jdbc:postgresql://{parts.hostname}{port}{parts.path}{query}", properties
+
+
+def psycopg_runner(dsn: str) -> StatementRunner:
+    """Runs statements in one transaction; needs the psycopg package."""
+    try:
+        import psycopg
+    except ImportError as error:
+        raise RuntimeError("publishing needs the psycopg package") from error
+
+    def run(statements: list[str]) -> None:
+        with psycopg.connect(dsn) as connection:
+            for statement in statements:
+                connection.execute(statement)
+
+    return run
+
+
 def published_rows(rows: DataFrame, plan: PublishedTable) -> DataFrame:
-    """The published columns in their order; money with two places."""
-    kinds = rows.schema
-    return rows.select(
-        *[
-            F.col(c).cast(_PUBLISHED_MONEY).alias(c) if isinstance(kinds[c].dataType, T.DecimalType) else F.col(c)
-            for c in plan.columns
-        ]
-    )
+    """The published columns in their order and types."""
+    return rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in plan.types.items()])
 
 
 def audited(rows: DataFrame, plan: PublishedTable, source_system: str = "csv_demo") -> DataFrame:
@@ -62,9 +85,13 @@ def publish(
     """Replace the ten published tables at once; returns the tables that got rows.
 
     Children are emptied before their parents and filled after them. Empty tables are
-    emptied too, but not listed.
+    emptied too, but not listed. Orders of unknown customers would break the foreign key,
+    so they stop the publish before anything is written.
     """
     plans = list(schemas.PUBLISHED)
+    orphans = orphan_orders(tables["fact_orders"], tables["dim_customers"]).first().n
+    if orphans:
+        raise DataQualityError(f"fact_orders holds {orphans} orders of unknown customers")
     filled = []
     for plan in plans:
         rows = published_rows(tables[plan.source], plan)

@@ -186,6 +186,8 @@ def test_preview(spark, paths):
 
 
 def test_arguments():
-    paths, options = jobs.parse_arguments(["--root", "/data", "--source", "shopify", "--shopify-days", "3", "--skip-export", "--incremental"])
-    assert paths.customers == "/data/raw/customers.csv"
+    given = jobs.parse_arguments(["--root", "/data", "--source", "shopify", "--shopify-days", "3", "--skip-export", "--incremental"])
+    options = jobs.options_of(given)
+    assert jobs.Paths(given.root).customers == "/data/raw/customers.csv"
     assert (options.data_source, options.shopify_sync_days, options.export_summary, options.incremental_load) == ("shopify", 3, False, True)
+    assert (options.target, options.export_layer_backups) == ("files", True)

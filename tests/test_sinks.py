@@ -9,6 +9,8 @@ from decimal import Decimal
 import pytest
 
 from salesloom import schemas
+from salesloom.operators import quality
+from salesloom.operators.quality import DataQualityError
 from salesloom.operators.wide import wide_orders
 from salesloom.plans import run as jobs
 from salesloom.plans.warehouse import build_warehouse
@@ -60,6 +62,29 @@ def test_empty_tables_are_emptied_but_not_listed(spark):
     assert len([s for s in target.batches[0] if s.startswith("DELETE")]) == 10
 
 
+def test_orphans_stop_the_publish(spark):
+    target = Database()
+    with pytest.raises(DataQualityError, match="1 orders of unknown customers"):
+        database.publish(tables(spark, [(1, 9, Decimal("2"), date(2026, 1, 1), "eur", "de", None)]), target.write, target.run)
+    assert target.stages == {} and target.batches == []
+
+
+def test_database_address():
+    url, properties = database.jdbc_of_dsn("postgresql://me:p%40ss@db.example:5433/shop?sslmode=require")
+    assert url == "jdbc:postgresql://db.example:5433/shop?sslmode=require"
+    assert (properties["user"], properties["password"]) == ("me", "p@ss")
+    with pytest.raises(ValueError):
+        database.jdbc_of_dsn("host=db.example dbname=shop")
+
+
+def test_wide_table_constraints(spark):
+    wide = updates(spark, (1, None, None, "a"), (1, None, None, "b"), (2, None, None, "c"))
+    row = quality.published_key_checks({"raw_shopify_orders": wide}).first()
+    assert (row.check_name, row.passed, row.failed_rows) == ("raw_shopify_orders_key_unique", False, 1)
+    counts = quality.published_null_counts({"raw_shopify_orders": wide}).collect()
+    assert {r.column_name: r.null_rows for r in counts} == {"shopify_gid": 0, "shop_name": 0, "etl_synced_at": 0}
+
+
 def test_audit_columns(spark):
     plan = schemas.PUBLISHED[0]
     row = database.audited(spark.createDataFrame([(1, "A", "b", "gold")], RAW_CUSTOMERS), plan).first()

@@ -9,6 +9,7 @@ from salesloom.operators import incremental, quality
 from salesloom.streaming import jobs
 
 SKEW_SETTINGS = {
+    "spark.sql.shuffle.partitions": "16",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
@@ -18,12 +19,12 @@ SKEW_SETTINGS = {
 
 @pytest.fixture()
 def no_broadcast(spark):
-    before = {key: spark.conf.get(key) for key in SKEW_SETTINGS}
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
     for key, value in SKEW_SETTINGS.items():
         spark.conf.set(key, value)
     yield spark
     for key, value in before.items():
-        spark.conf.set(key, value)
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 @pytest.fixture()
