@@ -6,13 +6,17 @@ missing parts follow from the values of the rows.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 
 
+@cache
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a lazy scan; its footer is read for the schema once per session, not once per use."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
