@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +18,24 @@ from salesloom.session import configure, shared_dir
 BATCH_ROWS = 512
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_salesloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="salesloom-code-")) / "salesloom_code.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))
+    context._salesloom_shipped = True
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the settings that these operators rely on."""
+    """The session with the settings that these operators rely on, and their code on every executor."""
     configure(spark)
+    shipped(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 

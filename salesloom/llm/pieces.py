@@ -246,7 +246,7 @@ class PieceModel:
         close = np.array([self.end_id] if end else [], np.int32).tobytes()
         for part in chunks_by_size([len(t) for t in texts], CHUNK_CHARS):
             split = [self.segments(t) for t in texts[part]]
-            missing = {s for one in split for s in one} - self.memory.keys()
+            missing = {s for one in split for s in one if s not in self.memory}
             if len(self.memory) + len(missing) > REMEMBERED:
                 self.memory.clear()
                 missing = {s for one in split for s in one}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, pieces
+from salesloom.llm import common, fertility, languages, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,3 +43,41 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("piece_text"), 256).alias("decoded_sha256"),
         F.col("piece_disagreements").cast("long").alias("n_disagreements"),
     )
+
+
+@query()
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the texts outside the held-out third."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = common.id_remainder("doc_id", 3) == 1
+    model = languages.learn(documents.filter(~held_out))
+    found = documents.select("doc_id", held_out.alias("held_out"), languages.predicted(spark, model, F.col("text")).alias("f"))
+    return found.select("doc_id", "held_out", F.col("f.lang").alias("lang_pred"), F.col("f.score").alias("score"))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out quarter."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "text")
+    held_out = common.id_remainder("doc_id", 4) == 2
+    model = toxicity.learn(documents, common.table(spark, folder, "labels"), ~held_out)
+    found = documents.select("doc_id", held_out.alias("held_out"), toxicity.scanned(spark, model, common.whole()).alias("f"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("f.score").alias("score"),
+        (F.col("f.score") >= 0.3).cast("int").alias("predicted"),
+        F.size("f.passages").cast("long").alias("n_passages"),
+    )
+
+
+@query()
+def op10_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    """Base figures and fertility verdict of every document."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return fertility.verdicts(
+        documents,
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    ).drop("group")
