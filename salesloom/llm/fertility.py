@@ -28,13 +28,15 @@ from salesloom.llm.common import whole, written
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-# A band reaches this many quartile distances beyond the quartiles, and this much at least.
-WIDENING = 4.0
-LEAST_WIDTH = {"chars_per_token": 0.35, "chars_per_byte_token": 0.35, "byte_share": 0.05, "entropy_share": 0.08}
+# A band reaches this many quartile distances beyond the quartiles; short texts vary more, so it widens by
+# sqrt(1 + SPREAD_TOKENS / tokens). The quartile distance counts as this much at least.
+WIDENING = 2.5
+SPREAD_TOKENS = 600
+LEAST_SPREAD = {"chars_per_token": 0.02, "chars_per_byte_token": 0.02, "byte_share": 0.002, "entropy_share": 0.02}
 # Groups with fewer documents than this take the bands of the whole table.
 SMALL_GROUP = 200
 
-MEASURES = tuple(LEAST_WIDTH)
+MEASURES = tuple(LEAST_SPREAD)
 FIGURES = (
     "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,n_tokens:bigint,"
     "chars_per_token:double,chars_per_byte_token:double,byte_share:double,entropy_share:double,script:string>"
@@ -144,16 +146,12 @@ def measured(piece_path: str, rank_path: str, pattern: str, text: Column, label:
 
 
 def bands(figures: DataFrame) -> DataFrame:
-    """For each group and for the whole table (group null): count, lowest and highest value of each measure."""
+    """For each group and for the whole table (all_rows 1): count and quartiles of each measure over rows that pass the base rule."""
     quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 2000).alias(m) for m in MEASURES]
     grouped = figures.filter(~F.col("base_failed")).rollup("group").agg(
         F.grouping("group").alias("all_rows"), F.count("*").alias("n"), *quartiles
     )
-    edges = []
-    for m in MEASURES:
-        low, high = F.col(m)[0], F.col(m)[1]
-        width = F.greatest(WIDENING * (high - low), F.lit(LEAST_WIDTH[m]))
-        edges += [(low - width).alias(f"{m}_low"), (high + width).alias(f"{m}_high")]
+    edges = [F.col(m)[k].alias(f"{m}_{side}") for m in MEASURES for k, side in enumerate(("low", "high"))]
     return grouped.select("group", "all_rows", "n", *edges)
 
 
@@ -163,12 +161,13 @@ def judged(figures: DataFrame) -> DataFrame:
     names = [c for c in edges.columns if c.endswith(("_low", "_high"))]
     own = edges.filter((F.col("all_rows") == 0) & (F.col("n") >= SMALL_GROUP)).select("group", *names)
     rest = edges.filter(F.col("all_rows") == 1).select(F.lit(1).alias("any"), *(F.col(c).alias(f"all_{c}") for c in names))
-    joined = figures.withColumn("any", F.lit(1)).join(own, "group", "left").join(rest, "any", "left")
+    joined = figures.withColumn("any", F.lit(1)).join(own, "group", "left").join(F.broadcast(rest), "any", "left")
+    wider = F.lit(WIDENING) * F.sqrt(1 + SPREAD_TOKENS / F.greatest("n_tokens", F.lit(1)))
     reason = F.when(F.col("n_words") < MIN_WORDS, "too few words").when(F.col("base_failed"), "repeated words")
     for m in MEASURES:
-        for side, outside in (("low", F.col(m).__lt__), ("high", F.col(m).__gt__)):
-            edge = F.coalesce(F.col(f"{m}_{side}"), F.col(f"all_{m}_{side}"))
-            reason = reason.when(outside(edge), f"{m} too {side}")
+        low, high = (F.coalesce(F.col(f"{m}_{side}"), F.col(f"all_{m}_{side}")) for side in ("low", "high"))
+        width = wider * F.greatest(high - low, F.lit(LEAST_SPREAD[m]))
+        reason = reason.when(F.col(m) < low - width, f"{m} too low").when(F.col(m) > high + width, f"{m} too high")
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).drop("any", *names, *(f"all_{c}" for c in names))
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,3 +81,16 @@ def op10_fertility(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
     ).drop("group")
+
+
+@query()
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence places and labels of every document."""
+    found = licenses.scanned(common.table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        F.col("confidence").alias("score"),
+        "n_detections",
+    )

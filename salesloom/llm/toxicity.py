@@ -38,10 +38,10 @@ LEARNING_ROWS = 20_000
 MOST_TERMS = 100_000
 STEM_LETTERS = 4
 # Weight of the prior in texts, for stems and for words.
-STEM_PRIOR = 20.0
-WORD_PRIOR = 8.0
+STEM_PRIOR = 40.0
+WORD_PRIOR = 20.0
 LEAST_TEXTS = 2
-DRIFT = 0.7
+DRIFT = 1.5
 SIGNIFICANT = 0.05
 # Histogram of token scores on clean texts: bins of this width from LOWEST on.
 BIN, LOWEST, BINS = 0.05, -12.0, 480
