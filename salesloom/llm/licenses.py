@@ -137,7 +137,7 @@ def _family_rules() -> list[tuple[int, str, str, str]]:
         (3, "unknown-licence", "license", rf"{_UNDER}(?:an? )?(?:[a-z0-9]+ ){{0,4}}license"),
         (3, "unknown-licence", "licence", rf"{_UNDER}(?:an? )?(?:[a-z0-9]+ ){{0,4}}licence"),
         (3, "terms", "terms", r"(?:subject to|see) the terms of (?:use|service|the licen[cs]e)"),
-        (3, "trademark", "trademarks?", r"(?:registered )?trademarks? of"),
+        (3, "trademark", "trademarks", r"(?:registered )?trademarks of"),
     ]
     return rules
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,22 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
         F.col("confidence").alias("score"),
         "n_detections",
     )
+
+
+@query()
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = personal_data.by_document(common.table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] < len(personal_data.KINDS))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(personal_data.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.written_spans(base), 256).alias("base_sha256"),
+        personal_data.written_spans(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_other"),
+    )
