@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, personal_data, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, ngram_join, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,3 +113,11 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         personal_data.written_spans(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size(base)).cast("long").alias("n_other"),
     )
+
+
+@query()
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose four-word sets are at least 85 % alike."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "text")
+    found = ngram_join.classes(documents, ngram_join.Rule(words=4, percent=85))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
