@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, ngram_join, personal_data, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, masked_lm, multi_index, ngram_join, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,3 +121,19 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = common.table(spark, folder, "documents").select("doc_id", "text")
     found = ngram_join.classes(documents, ngram_join.Rule(words=4, percent=85))
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query()
+def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Summed conditional log-probability of every document under a network trained on all of them."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "text")
+    vocabulary, values = masked_lm.learn(documents)
+    found = documents.select("doc_id", masked_lm.scored(spark, vocabulary, values, F.col("text")).alias("f"))
+    per_token = F.when(F.col("f.n_tokens") > 0, F.col("f.log_likelihood") / F.col("f.n_tokens"))
+    return found.select("doc_id", "f.n_tokens", "f.log_likelihood", per_token.alias("per_token"))
+
+
+@query()
+def op6_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of every fiftieth vector."""
+    return multi_index.search(common.table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
