@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, masked_lm, multi_index, ngram_join, personal_data, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, masked_lm, mixing, multi_index, ngram_join, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +137,24 @@ def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
 def op6_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest of every fiftieth vector."""
     return multi_index.search(common.table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+# The share of words that a mixture for training should have of each domain of the labels table.
+# Good clean text keeps its words, the others shrink or grow to their shares.
+MIXTURE = {"q1t0": 0.94, "q0t0": 0.05, "q1t1": 0.01, "q0t1": 0.0}
+ANCHOR = "q1t0"
+
+
+@query()
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Posterior over domains, rate and copies of every document in the mixture."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "text")
+    labelled = mixing.domains_of(common.table(spark, folder, "labels"))
+    names, found = mixing.rates(documents, labelled, MIXTURE, ANCHOR)
+    return found.select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_words"),
+        *(F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(names)),
+        "rate",
+        mixing.copies_of(F.col("rate"), F.col("doc_id"), F.col("key")).alias("times"),
+    )
