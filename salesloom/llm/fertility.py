@@ -160,15 +160,16 @@ def judged(figures: DataFrame) -> DataFrame:
     edges = bands(figures)
     names = [c for c in edges.columns if c.endswith(("_low", "_high"))]
     own = edges.filter((F.col("all_rows") == 0) & (F.col("n") >= SMALL_GROUP)).select("group", *names)
-    rest = edges.filter(F.col("all_rows") == 1).select(F.lit(1).alias("any"), *(F.col(c).alias(f"all_{c}") for c in names))
-    joined = figures.withColumn("any", F.lit(1)).join(own, "group", "left").join(F.broadcast(rest), "any", "left")
+    # One row: the edges of the whole table, as literals.
+    rest = edges.filter(F.col("all_rows") == 1).first()
+    joined = figures.join(own, "group", "left")
     wider = F.lit(WIDENING) * F.sqrt(1 + SPREAD_TOKENS / F.greatest("n_tokens", F.lit(1)))
     reason = F.when(F.col("n_words") < MIN_WORDS, "too few words").when(F.col("base_failed"), "repeated words")
     for m in MEASURES:
-        low, high = (F.coalesce(F.col(f"{m}_{side}"), F.col(f"all_{m}_{side}")) for side in ("low", "high"))
+        low, high = (F.coalesce(F.col(f"{m}_{side}"), F.lit(rest[f"{m}_{side}"] if rest else None)) for side in ("low", "high"))
         width = wider * F.greatest(high - low, F.lit(LEAST_SPREAD[m]))
         reason = reason.when(F.col(m) < low - width, f"{m} too low").when(F.col(m) > high + width, f"{m} too high")
-    return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).drop("any", *names, *(f"all_{c}" for c in names))
+    return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).drop(*names)
 
 
 def verdicts(documents: DataFrame, piece_path: str, rank_path: str, pattern: str) -> DataFrame:

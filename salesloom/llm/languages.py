@@ -38,41 +38,37 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Pieces of texts with the index of their text, at most about PIECE_CHARS characters at once."""
-    owners: list[int] = []
-    parts: list[str] = []
-    held, overlap = 0, max(ORDERS) - 1
+def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, str, bool]]]:
+    """Pieces of texts: index of the text, piece, and whether another piece follows; about PIECE_CHARS characters at once."""
+    held: list[tuple[int, str, bool]] = []
+    size, overlap = 0, max(ORDERS) - 1
     for i, text in enumerate(texts):
         text = f" {(text or '').lower()} "
-        for begin in range(0, max(1, len(text) - overlap), PIECE_CHARS):
-            part = text[begin : begin + PIECE_CHARS + overlap]
-            owners.append(i)
-            parts.append(part)
-            held += len(part)
-            if held >= PIECE_CHARS:
-                yield owners, parts
-                owners, parts, held = [], [], 0
-    if parts:
-        yield owners, parts
+        starts = range(0, max(1, len(text) - overlap), PIECE_CHARS)
+        for begin in starts:
+            held.append((i, text[begin : begin + PIECE_CHARS + overlap], begin != starts[-1]))
+            size += len(held[-1][1])
+            if size >= PIECE_CHARS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def hashed_ngrams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of n-grams and the index of the text of each."""
-    for owners, parts in _pieces(texts):
+    overlap = max(ORDERS) - 1
+    for held in _pieces(texts):
+        owners, parts, goes_on = zip(*held)
         points = np.frombuffer("".join(parts).encode("utf-32-le", "replace"), np.uint32)
         letter = _letters()[np.minimum(points, 0x10FFFF)]
         points = np.where(letter, points, 32).astype(np.uint64)
-        part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        lengths = [len(p) for p in parts]
+        part = np.repeat(np.arange(len(parts)), lengths)
         owner = np.array(owners)[part]
-        overlap = max(ORDERS) - 1
-        # The last characters of a piece that goes on belong to the next piece as starts.
-        last = np.zeros(len(parts), np.int64)
-        last[:-1] = np.diff(owners) == 0
-        ends = np.cumsum([len(p) for p in parts])
-        starts_here = np.arange(len(points)) < (ends - np.where(last, overlap, 0))[part]
-        if len(parts) and len(parts[-1]) == PIECE_CHARS + overlap:
-            starts_here[-overlap:] = False
+        # The last characters of a piece that goes on are the first of the next one: no n-gram starts there.
+        last = np.cumsum(lengths) - np.where(goes_on, overlap, 0)
+        starts_here = np.arange(len(points)) < last[part]
         for order in ORDERS:
             size = len(points) - order + 1
             if size <= 0:

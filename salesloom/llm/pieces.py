@@ -155,7 +155,7 @@ class PieceModel:
     def _arrays(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Many segments: in each step every segment merges the first pair of its own agenda."""
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        owner = np.arange(len(lengths))
+        owner, symbols = np.arange(len(lengths)), symbols.copy()
         inner = np.ones(len(symbols), bool)
         inner[np.cumsum(lengths) - 1] = False  # the last symbol of a segment starts no pair
         ranks, unions = np.full(len(symbols), NONE), np.zeros(len(symbols), np.int64)

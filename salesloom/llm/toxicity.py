@@ -1,15 +1,16 @@
 """Toxic passages (operator 8): maximum-scoring segments over token log-odds.
 
 Every token carries the log-odds that it comes from a toxic text. Shares are posterior means under Dirichlet priors in
-two levels: the first letters of a word (its stem) start from the share of toxic texts, a word starts from its stem. So
-rare and unseen words take over what is known of their stem. Each token also pays a drift, which makes the
-expectation negative in clean text, as local scan statistics need.
+two levels: the first letters of a word (its stem) start from the share of toxic texts, a word starts from its stem. A stem counts
+its different words, not their texts. So rare and unseen words take over what is known of their stem. DEVIATIONS posterior standard
+deviations are taken off the log-odds, so that chance words of a few toxic texts stay small. Each token also pays a drift,
+which makes the expectation negative in clean text, as local scan statistics need.
 
 A linear-time scan (Ruzzo and Tompa) finds all maximal scoring segments of a text. Scores become E-values, K * length *
 exp(-lambda * score): lambda solves E[exp(lambda * s)] = 1 over the token scores of clean learning texts, K is the
 maximum-likelihood fit of the extreme-value law to their best segments. Segments with an E-value below SIGNIFICANT are the
 passages; a text's evidence is the sum of -ln(E) of its passages, and a logistic curve over that evidence, fitted on the
-learning texts, gives the score.
+learning texts, gives the score. Learning texts are scanned without their own share of the counts, as unseen texts are.
 
 Learning uses a bounded sample of the labelled rows (LEARNING_ROWS, those with the smallest hash of the id), so that
 ids and labels can be broadcast and no text is shuffled. The model holds at most MOST_TERMS words and as many stems.
@@ -38,9 +39,10 @@ LEARNING_ROWS = 20_000
 MOST_TERMS = 100_000
 STEM_LETTERS = 4
 # Weight of the prior in texts, for stems and for words.
-STEM_PRIOR = 40.0
-WORD_PRIOR = 20.0
+STEM_PRIOR = 10.0
+WORD_PRIOR = 5.0
 LEAST_TEXTS = 2
+DEVIATIONS = 1.0
 DRIFT = 1.5
 SIGNIFICANT = 0.05
 # Histogram of token scores on clean texts: bins of this width from LOWEST on.
@@ -90,7 +92,7 @@ class ToxicityModel:
     """Token log-odds, the extreme-value law of clean texts, and the curve from evidence to score."""
 
     base: float = 0.0  # share of toxic learning texts
-    words: dict[str, float] = field(default_factory=dict)
+    words: dict[str, tuple[float, float]] = field(default_factory=dict)  # posterior counts in toxic and clean texts
     stems: dict[str, float] = field(default_factory=dict)
     rate: float = 1.0  # lambda
     size: float = 0.1  # K
@@ -98,10 +100,22 @@ class ToxicityModel:
     slope: float = 0.0
     fitted: bool = False
 
-    def token_scores(self, words: list[str], memory: dict[str, float]) -> np.ndarray:
+    def odds(self, toxic: float, clean: float) -> float:
+        """Log-odds of posterior counts, moved towards 0 (not beyond) by their uncertainty."""
+        raw = math.log(toxic) - math.log(clean) - _logit(self.base)
+        return math.copysign(max(abs(raw) - DEVIATIONS * math.sqrt(1 / toxic + 1 / clean), 0.0), raw)
+
+    def token_scores(self, words: list[str], memory: dict[str, float], label: int | None = None) -> np.ndarray:
+        """Score of each token. label: the words come from a learning text, whose own counts are left out."""
         for word in {w for w in words if w not in memory}:
             known = self.words.get(word)
-            memory[word] = (self.stems.get(word[:STEM_LETTERS], 0.0) if known is None else known) - DRIFT
+            if known is None:
+                odds = self.stems.get(word[:STEM_LETTERS], 0.0)
+            elif label is None:
+                odds = self.odds(*known)
+            else:
+                odds = self.odds(max(known[0] - (label == 1), 0.05), max(known[1] - (label == 0), 0.05))
+            memory[word] = odds - DRIFT
         return np.fromiter(map(memory.__getitem__, words), float, len(words))
 
     def passages(self, found: list[tuple[int, int, float]], length: int) -> list[tuple[int, int, float, float]]:
@@ -150,7 +164,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learning_rows(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     """text and label (1: toxic) of the labelled documents in the bounded sample."""
-    known = labels.filter(usable & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    known = labels.filter(usable & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("label"))
     chosen = known.filter(F.col("label").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARNING_ROWS)
     return documents.select("doc_id", whole().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "label")
 
@@ -160,29 +174,33 @@ def _weights(rows: DataFrame, model: ToxicityModel) -> None:
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic")
     ).filter(F.col("n") >= LEAST_TEXTS)
     stem = F.substring("word", 1, STEM_LETTERS)
-    prior = F.lit(model.base)
+    share = F.col("toxic") / F.col("n")
     stems = counts.groupBy(stem.alias("stem")).agg(
-        ((F.sum("toxic") + STEM_PRIOR * prior) / (F.sum("n") + STEM_PRIOR)).alias("share"), F.sum("n").alias("n")
+        (F.sum(share) + STEM_PRIOR * model.base).alias("a"), (F.sum(1 - share) + STEM_PRIOR * (1 - model.base)).alias("b")
     )
-    words = counts.join(stems.select("stem", F.col("share").alias("start")), stem == F.col("stem")).select(
-        "word", ((F.col("toxic") + WORD_PRIOR * F.col("start")) / (F.col("n") + WORD_PRIOR)).alias("share"), "n"
+    start = F.col("a") / (F.col("a") + F.col("b"))
+    words = counts.join(stems.select("stem", start.alias("start")), stem == F.col("stem")).select(
+        "word",
+        (F.col("toxic") + WORD_PRIOR * F.col("start")).alias("a"),
+        (F.col("n") - F.col("toxic") + WORD_PRIOR * (1 - F.col("start"))).alias("b"),
     )
-    zero = _logit(model.base)
-    for frame, name, into in ((stems, "stem", model.stems), (words, "word", model.words)):
-        odds = F.log(F.col("share")) - F.log1p(-F.col("share")) - F.lit(zero)
-        top = frame.select(name, odds.alias("odds"), "n").orderBy(F.abs("odds").desc(), F.col("n").desc(), name).limit(MOST_TERMS)
-        into.update((row[name], row["odds"]) for row in top.toLocalIterator())
+    distance = F.abs(F.log(F.col("a")) - F.log(F.col("b")) - F.lit(_logit(model.base)))
+    order = [(distance / F.sqrt(1 / F.col("a") + 1 / F.col("b"))).desc()]
+    for row in stems.orderBy(*order, "stem").limit(MOST_TERMS).toLocalIterator():
+        model.stems[row["stem"]] = model.odds(row["a"], row["b"])
+    for row in words.orderBy(*order, "word").limit(MOST_TERMS).toLocalIterator():
+        model.words[row["word"]] = row["a"], row["b"]
 
 
 def _scan_learning(model):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, float] = {}
+        memories: dict[int, dict[str, float]] = {0: {}, 1: {}}
         histogram = np.zeros(BINS, np.int64)
         for batch in batches:
             rows = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = tokens(text)
-                scores = model.value.token_scores(words, memory)
+                scores = model.value.token_scores(words, memories[label], label)
                 if not label:
                     place = np.clip(((scores - LOWEST) / BIN).astype(np.int64), 0, BINS - 1)
                     histogram += np.bincount(place, minlength=BINS)
