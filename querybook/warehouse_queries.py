@@ -165,11 +165,8 @@ def _check_sql(name: str, passed: str, failed: str) -> str:
 
 def _report_sql(daily: str | None) -> str:
     bad = "(SELECT count(*) FROM stg_orders WHERE order_amount <= 0 OR customer_id IS NULL)"
-    twice = "(SELECT count(*) FROM (SELECT customer_id FROM dim_customers GROUP BY customer_id HAVING count(*) > 1))"
-    lost = (
-        "(SELECT count(*) FROM fact_orders fo LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customers) dc"
-        " ON fo.customer_id = dc.customer_id WHERE dc.customer_id IS NULL)"
-    )
+    twice = "(SELECT count(*) FILTER (copies > 1) FROM (SELECT count(*) AS copies FROM dim_customers GROUP BY customer_id))"
+    lost = "(SELECT count(*) FROM fact_orders AS f WHERE NOT EXISTS (FROM dim_customers AS d WHERE d.customer_id = f.customer_id))"
     summary = "(SELECT count(*) FROM mart_sales_summary)"
     parts = [
         _check_sql("raw_customers_not_empty", "(SELECT count(*) FROM raw_customers) > 0", "0"),
@@ -208,7 +205,7 @@ raw_orders AS (SELECT * FROM base_orders), raw_customers AS (SELECT * FROM custo
 dim_customers AS (
   SELECT c_custkey AS customer_id, n_name AS city, c_mktsegment AS customer_level
   FROM places CROSS JOIN (VALUES (1), (2)) AS d(v) WHERE c_acctbal >= 0 AND (v = 1 OR c_mktsegment = 'BUILDING')),
-mart_sales_summary AS (SELECT 1 AS n FROM fact_orders fo JOIN dim_customers dc ON fo.customer_id = dc.customer_id)"""
+mart_sales_summary AS (SELECT 1 AS n FROM fact_orders SEMI JOIN dim_customers USING (customer_id))"""
 
 
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
