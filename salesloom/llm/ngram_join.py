@@ -11,7 +11,8 @@ Three exact steps keep the pairs few:
 2. A set that links with a different one misses at most (100 - percent) % of its n-grams there. N-grams in the lowest part of
    the order are counted over all documents; a document whose n-grams found nowhere else exceed that number
    links with nothing and needs no further look. Its text is not moved.
-3. Two linked sets share an n-gram among the first ones of both, in an order that puts rare n-grams first (prefix filter).
+3. Two linked sets share an n-gram among the first ones of both, in an order that puts rare n-grams first (prefix filter), and
+   at places that leave room for the overlap they need.
    Documents under such an n-gram are first tried against one of them only (stars); pairs that are connected by then
    are left out, and every other pair is tried. So a group of near copies costs links to its centre, not all its pairs,
    and no link between different components is lost.
@@ -29,24 +30,45 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from salesloom.llm.common import whole, written
+from salesloom.llm.common import chunks_by_size, whole, written
 from salesloom.llm.components import components
 
 # The order of hashes is cut here; a power of two.
 FRAGMENT_BITS = 3
 FRAGMENTS = 1 << FRAGMENT_BITS
 STAR_ROUNDS = 2
-REMEMBERED_WORDS = 500_000
+CHUNK_BYTES = 4_000_000
+LONG_WORD = 256
 
+# Random odd numbers and byte codes, fixed by a seed.
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE_CODES = np.random.default_rng(41).integers(1, 1 << 63, 256, dtype=np.uint64)
+_STEP = 0x9E3779B97F4A7C15
+
+
+@lru_cache(maxsize=1)
+def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    steps = np.full(size, np.uint64(_STEP))
+    steps[0] = 1
+    back = np.full(size, np.uint64(pow(_STEP, -1, 1 << 64)))
+    back[0] = 1
+    return np.cumprod(steps, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the step and of its inverse modulo 2^64, for a text of this size."""
+    return _power_table(max(2 * CHUNK_BYTES, 1 << (size - 1).bit_length()))
+
+
 # The lowest hashes are the counted part: this share of all, as a multiple of the share that a linked set may miss.
 COUNTED_MULTIPLE = 1.75
 
@@ -69,42 +91,69 @@ class Rule:
         return F.floor((100 - self.percent) * size / F.lit(100)).cast("long")
 
 
-def ngram_hashes(words: list[bytes], size: int, memory: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct hashes of the n-grams of a text, as signed 64-bit numbers."""
-    if not words:
-        return np.zeros(0, np.int64)
-    fresh = {w for w in words if w not in memory}
-    if len(memory) + len(fresh) > REMEMBERED_WORDS:
-        memory.clear()
-        fresh = set(words)
-    memory.update((w, xxhash.xxh3_64_intdigest(w)) for w in fresh)
-    codes = np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
-    width = min(size, len(codes))
-    mixed = np.full(len(codes) - width + 1, np.uint64(width))
+def word_codes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each word of a lower-cased text and a 64-bit code of the word.
+
+    A code is a sum of byte codes times powers of an odd number; running sums give all words at once. Words too long for the
+    sums to be trusted get a code of their own.
+    """
+    if not data:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    raw = np.frombuffer(data, np.uint8)
+    inside = ~_BLANK[raw]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    powers, inverses = _powers(len(raw))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_CODES[raw] * powers[: len(raw)], dtype=np.uint64)])
+    codes = (sums[ends] - sums[starts]) * inverses[starts]
+    codes ^= (ends - starts).astype(np.uint64) * _FACTORS[3]
+    codes = (codes ^ (codes >> np.uint64(30))) * _FACTORS[1]
+    codes ^= codes >> np.uint64(27)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        codes[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return starts, codes
+
+
+def mixed_windows(codes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    mixed = np.full(max(0, len(codes) - width + 1), np.uint64(width))
     for k in range(width):
         mixed = (mixed ^ codes[k : k + len(mixed)]) * _FACTORS[k % 4]
         mixed ^= mixed >> np.uint64(31)
     mixed *= _FACTORS[0]
     mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed.view(np.int64))
+    return mixed.view(np.int64)
+
+
+def ngram_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the n-grams of each text, as signed 64-bit numbers."""
+    out: list[np.ndarray] = []
+    raws = [(t or "").encode("utf-8", "replace") for t in texts]
+    for part in chunks_by_size([len(r) + 1 for r in raws], CHUNK_BYTES):
+        begins = np.cumsum([0, *(len(r) + 1 for r in raws[part])])
+        starts, codes = word_codes(b" ".join(raws[part]).lower())
+        cuts = np.searchsorted(starts, begins)
+        hashes = mixed_windows(codes, size)
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if last - first >= size:
+                out.append(np.unique(hashes[first : last - size + 1]))
+            elif last > first:
+                out.append(mixed_windows(codes[first:last], last - first))
+            else:
+                out.append(np.zeros(0, np.int64))
+    return out
 
 
 def hashed_sets(rule: Rule, part: str):
-    """An Arrow function from texts to the size and key of their sets, and the hashes of the asked part: none, counted or all."""
+    """An Arrow function from texts to the size and key of their sets, and the hashes of the asked part: counted or all."""
     below, size = rule.counted_below, rule.words
 
     @F.arrow_udf("struct<n:bigint,key:binary,hashes:array<bigint>>")
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memory: dict[bytes, int] = {}
         for batch in batches:
-            found = [ngram_hashes((t or "").encode().lower().split(), size, memory) for t in batch.to_pylist()]
+            found = ngram_sets(batch.to_pylist(), size)
             keys = [hashlib.blake2b(f.tobytes(), digest_size=16).digest() for f in found]
-            if part == "none":
-                kept = [f[:0] for f in found]
-            elif part == "counted":
-                kept = [f[: np.searchsorted(f, below)] for f in found]
-            else:
-                kept = found
+            kept = [f[: np.searchsorted(f, below)] for f in found] if part == "counted" else found
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])])
             flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             yield pa.StructArray.from_arrays(
@@ -124,10 +173,9 @@ def _sets(documents: DataFrame, rule: Rule, part: str, *names: str) -> DataFrame
     return found.select("doc_id", *(F.col(f"s.{n}").alias(n) for n in names))
 
 
-def alone(documents: DataFrame, rule: Rule) -> DataFrame:
+def alone(counted: DataFrame, rule: Rule) -> DataFrame:
     """Ids of documents with more n-grams found nowhere else than a linked one may have."""
-    counted = _sets(documents.filter(F.col("doc_id").isNotNull()), rule, "counted", "n", "hashes")
-    each = counted.select("doc_id", "n", F.explode("hashes").alias("hash"))
+    each = counted.filter(F.col("doc_id").isNotNull()).select("doc_id", "n", F.explode("hashes").alias("hash"))
     single = each.groupBy("hash").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id"), F.min("n").alias("n")).filter("c = 1")
     own = single.groupBy("doc_id").agg(F.count("*").alias("own"), F.min("n").alias("n"))
     return own.filter(F.col("own") > rule.may_miss(F.col("n"))).select("doc_id")
@@ -167,46 +215,52 @@ def links_among(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return total.filter(100 * F.col("overlap") >= rule.percent * union).select("x", "y", "overlap", union.alias("union"))
 
 
-def _similar_size(rule: Rule) -> Column:
-    return (100 * F.least("n", "n_y") >= rule.percent * F.greatest("n", "n_y"))
+def _may_link(rule: Rule) -> Column:
+    """Whether two sets can link that meet under an n-gram at these places of their orders.
+
+    A link needs an overlap of percent / (100 + percent) of both sizes together. Then the first common n-gram comes
+    early enough in both: behind it at least the rest of the overlap must follow.
+    """
+    least = F.ceil(rule.percent * (F.col("n") + F.col("n_y")) / F.lit(100 + rule.percent))
+    return (F.col("place") <= F.col("n") - least + 1) & (F.col("place_y") <= F.col("n_y") - least + 1)
 
 
 def prefixes(sets: DataFrame, rule: Rule) -> DataFrame:
-    """hash, id, n: the first n-grams of each set in the order (counted part first, rare before frequent, hash), those that
-    another set holds too. Two linked sets share one of them."""
-    below = F.lit(rule.counted_below)
-    length = rule.may_miss(F.col("n")) + 1
-    counted = F.filter("hashes", lambda h: h < below)
-    rows = sets.select("id", "n", counted.alias("counted"), length.alias("length"), "hashes")
-    each = rows.select("id", "n", "length", F.size("counted").alias("size"), F.explode("counted").alias("hash"))
+    """hash, id, n, place: the first n-grams of each set, rare before frequent (equal counts by hash), those that another
+    set holds too. Two linked sets share one of them."""
+    rows = sets.select("id", "n", (rule.may_miss(F.col("n")) + 1).alias("length"), "hashes")
+    each = rows.select("id", "n", "length", F.explode("hashes").alias("hash"))
     frequent = each.groupBy("hash").agg(F.count("*").alias("c")).filter("c > 1")
     shared = each.join(frequent, "hash")
     by_set = Window.partitionBy("id")
     # N-grams of one set only come first in the order: their number shifts the others.
-    single = F.col("size") - F.count("*").over(by_set)
-    place = single + F.row_number().over(by_set.orderBy("c", "hash"))
-    first = shared.withColumn("place", place).filter(F.col("place") <= F.col("length")).select("hash", "id", "n")
-    rest = F.slice(F.filter("hashes", lambda h: h >= below), F.lit(1), F.greatest(F.col("length") - F.size("counted"), F.lit(0)).cast("int"))
-    return first.unionByName(rows.select(F.explode(rest).alias("hash"), "id", "n"))
+    place = F.col("n") - F.count("*").over(by_set) + F.row_number().over(by_set.orderBy("c", "hash"))
+    return shared.withColumn("place", place).filter(F.col("place") <= F.col("length")).select("hash", "id", "n", "place")
 
 
 def _stars(prefix: DataFrame, rule: Rule) -> DataFrame:
     """For each set the one centre (smallest id under an n-gram) that it meets most often, if it is in another component."""
     centres = prefix.groupBy("hash").agg(
-        F.min_by(F.struct("id", "n", "component"), "id").alias("centre"),
+        F.min_by(F.struct("id", "n", "place", "component"), "id").alias("centre"),
         F.min("component").alias("low"), F.max("component").alias("high"),
-    ).filter("low < high").select("hash", F.col("centre.id").alias("y"), F.col("centre.n").alias("n_y"), F.col("centre.component").alias("c_y"))
-    met = prefix.join(centres, "hash").filter((F.col("component") != F.col("c_y")) & _similar_size(rule))
+    ).filter("low < high")
+    centres = centres.select(
+        "hash", F.col("centre.id").alias("y"), F.col("centre.n").alias("n_y"), F.col("centre.place").alias("place_y"),
+        F.col("centre.component").alias("c_y"),
+    )
+    met = prefix.join(centres, "hash").filter((F.col("component") != F.col("c_y")) & _may_link(rule))
     often = met.groupBy(F.col("id").alias("x"), "y").agg(F.count("*").alias("often"))
     return often.groupBy("x").agg(F.max_by("y", F.struct("often", -F.col("y"))).alias("y"))
 
 
 def _remaining(prefix: DataFrame, rule: Rule) -> DataFrame:
-    """Every pair under a common n-gram whose sets are in different components and of similar size."""
+    """Every pair under a common n-gram whose sets are in different components and may link."""
     open_hashes = prefix.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     rows = written(prefix.join(open_hashes.select("hash"), "hash", "left_semi"), "ngram-open")
-    other = rows.select("hash", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"))
-    met = rows.join(other, "hash").filter((F.col("id") < F.col("y")) & (F.col("component") != F.col("c_y")) & _similar_size(rule))
+    other = rows.select(
+        "hash", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("place").alias("place_y"), F.col("component").alias("c_y")
+    )
+    met = rows.join(other, "hash").filter((F.col("id") < F.col("y")) & (F.col("component") != F.col("c_y")) & _may_link(rule))
     return met.select(F.col("id").alias("x"), "y").distinct()
 
 
@@ -232,10 +286,10 @@ def links_between_sets(sets: DataFrame, rule: Rule) -> DataFrame:
 
 def classes(documents: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n (set size) and component of every row of documents (doc_id, text)."""
-    members = written(_sets(documents, rule, "none", "n", "key"), "ngram-members")
+    members = written(_sets(documents, rule, "counted", "n", "key", "hashes"), "ngram-members")
     held = members.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     firsts = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"))
-    others = written(alone(documents, rule), "ngram-alone")
+    others = written(alone(members, rule), "ngram-alone")
     chosen = firsts.groupBy(F.col("first").alias("doc_id")).agg(F.min("key").alias("wanted"))
     chosen = written(chosen.join(others, "doc_id", "left_anti"), "ngram-chosen")
     # The rows stay where the join put them: the last step needs no exchange of its own.
@@ -250,7 +304,7 @@ def classes(documents: DataFrame, rule: Rule) -> DataFrame:
         grouped = firsts.join(labels.withColumnRenamed("id", "first"), "first", "left").select(
             "key", F.coalesce("component", "first").alias("component")
         )
-    found = members.join(grouped, "key", "left")
+    found = members.select("doc_id", "n", "key").join(grouped, "key", "left")
     return found.select(
         "doc_id", "n", F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component")
     )

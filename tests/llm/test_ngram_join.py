@@ -62,6 +62,25 @@ def test_equals_brute_force(spark, words, percent):
     assert found == brute(rows, rule)
 
 
+def test_sets_equal_plain_python(monkeypatch):
+    chance = random.Random(1)
+    parts = ["a", "b", "C", " ", " ", "\n", "\t", "\x0b", "é", "\u00a0", "\x1c", "w" * 300, "", "😀"]
+    texts = ["".join(chance.choice(parts) for _ in range(chance.randint(0, 40))) for _ in range(300)] + [None, "", "a"]
+    wanted = []
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        wanted.append({tuple(words[k : k + 3]) for k in range(max(1, len(words) - 2))} if words else set())
+    for size in (50, 4_000_000):
+        monkeypatch.setattr(ngram_join, "CHUNK_BYTES", size)
+        found = ngram_join.ngram_sets(texts, 3)
+        assert [len(f) for f in found] == [len(w) for w in wanted]
+        names = {}
+        for hashes, grams, text in zip(found, wanted, texts):
+            for other, theirs in list(names.values())[-40:]:
+                assert len(set(hashes.tolist()) & other) == len(grams & theirs)
+            names[text] = set(hashes.tolist()), grams
+
+
 def test_chain_of_near_copies_is_one_component(spark):
     common.prepared(spark)
     words = [f"c{k}" for k in range(140)]
