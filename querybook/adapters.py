@@ -248,12 +248,21 @@ def order_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """One page document per event: an update of the order named after the user, in day folders."""
-    clock = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """One page document per event: an update of the order named after the user, in day folders.
+
+    The same kind of moment comes with three offsets, and some updates have no creation time.
+    """
+    offset = F.col("event_id") % 3
+    form = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+    def at(hours: int, zone: str) -> Column:
+        return F.concat(F.date_format(F.col("ts") + F.expr(f"INTERVAL {hours} HOURS"), form), F.lit(zone))
+
+    clock = F.when(offset == 0, at(0, "Z")).when(offset == 1, at(8, "+08:00")).otherwise(at(-5, "-05:00"))
     node = F.struct(
         F.concat(F.lit("gid://shop/Order/"), F.col("user_id").cast("string")).alias("id"),
         F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("name"),
-        clock.alias("createdAt"),
+        F.when(F.col("event_id") % 7 != 0, clock).alias("createdAt"),
         clock.alias("updatedAt"),
         F.col("event_type").alias("displayFinancialStatus"),
         F.struct(F.struct(F.col("value").cast(MONEY).cast("string").alias("amount")).alias("shopMoney")).alias("totalPriceSet"),
@@ -306,8 +315,8 @@ def product_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def tag_list(balance: Column) -> Column:
     return (
-        F.when(balance > 9000, F.array(F.lit("VIP"), F.lit("wholesale")))
-        .when(balance > 7000, F.array(F.lit("Gold Member")))
+        F.when(balance > 9000, F.array(F.lit("VIP"), F.lit("reseller")))
+        .when(balance > 7000, F.array(F.lit("Gold Circle")))
         .when(balance > 5000, F.array(F.lit("new"), F.lit("Silver")))
         .when(balance > 3000, F.array(F.lit(" "), F.lit("bronze club")))
         .when(balance > 1000, F.array(F.lit(" "), F.lit(" Key Account "), F.lit("b")))

@@ -13,10 +13,11 @@ from salesloom import schemas
 from salesloom.functions.money import MONEY, as_doubles
 from salesloom.operators import layers, marts
 from salesloom.operators.wide import wide_orders
+from salesloom.plans.run import Paths, RunOptions, run
 from salesloom.plans.warehouse import write_warehouse
 from salesloom.session import shared_dir
 from salesloom.sinks import files
-from salesloom.sources import pages
+from salesloom.sources import csv_files, pages
 from salesloom.sources.tables import Warehouse
 from salesloom.streaming import jobs
 
@@ -83,15 +84,16 @@ def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
     " 1::BIGINT AS row_count FROM events GROUP BY user_id"
 )
 def wide_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Two sync runs into the wide table, the second overlapping the first."""
+    """Two sync runs into the wide table, the second overlapping the first; updates come with three offsets, some without a
+    creation time, and the latest point in time wins."""
     warehouse = Warehouse(spark, shared_dir(spark, "warehouse"))
     documents = adapters.event_pages(spark, folder)
     for run in (F.col("day") <= "2024-01-20", F.col("day") >= "2024-01-15"):
-        updates = wide_orders(pages.order_nodes(documents.filter(run)), "demo")
-        # Orders keep their creation time; the pages of an update repeat it.
-        files.upsert_wide(warehouse, updates.withColumn("created_at", F.lit("2024-01-01 00:00:00")))
-    stored = files.read_wide(warehouse)
-    return stored.groupBy("shopify_gid").agg(F.max("updated_at").alias("updated_at"), F.count("*").alias("row_count"))
+        nodes = pages.order_nodes(documents.filter(run), position="edge")
+        files.upsert_wide(warehouse, wide_orders(nodes, "demo", keep=("edge",), versioned=True))
+    stored = warehouse.read("raw_shopify_orders")
+    moment = F.date_format(F.max("version_at"), "yyyy-MM-dd HH:mm:ss")
+    return stored.groupBy("shopify_gid").agg(moment.alias("updated_at"), F.count("*").alias("row_count"))
 
 
 # ---- streams ---------------------------------------------------------------
@@ -154,10 +156,11 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
 FROM events GROUP BY 1, 2, 3"""
 )
 def stream_daily(spark: SparkSession, folder: str) -> DataFrame:
-    """The daily mart over a stream of events, with exact customer counts."""
-    events = adapters.table(spark, folder, "events")
+    """The daily mart over a stream of events in several micro-batches, days out of order, with exact customer counts."""
+    parts = adapters.table(spark, folder, "events").repartition(4, F.xxhash64("event_id"))
+    path, events = _stored(spark, parts, "events")
     amount = F.col("value").cast(MONEY)
-    orders = jobs.file_stream(spark, _event_pattern(folder), events.schema).select(
+    orders = jobs.file_stream(spark, path, events.schema, max_files=1).select(
         F.col("ts").cast("timestamp").alias("order_time"), F.col("user_id").alias("customer_id"),
         F.col("event_type").alias("currency_code"), amount.alias("order_amount"),
         F.lit(0).cast(MONEY).alias("refund_amount"), amount.alias("net_amount"),
@@ -187,7 +190,7 @@ def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT 'gid://shop/Order/' || user_id AS shopify_gid, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS updated_at,"
+    "SELECT 'gid://shop/Order/' || user_id AS shopify_gid, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS updated_at,"
     " max(CAST(ts AS DATE)) AS day FROM events GROUP BY user_id"
 )
 def stream_day_sync(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,5 +201,88 @@ def stream_day_sync(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = shared_dir(spark, "stream-days"), shared_dir(spark, "stream-days-state")
     stream = jobs.page_stream(spark, root, max_files=20)
     jobs.land_wide_orders(stream, "demo", out, checkpoint).awaitTermination()
-    current = jobs.current_rows(spark, out, ["shopify_gid"], ["updated_at"])
-    return current.select("shopify_gid", "updated_at", "day")
+    current = jobs.current_rows(spark, out, ["shopify_gid"], ["version_at", "edge"])
+    return current.select("shopify_gid", F.date_format("version_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"), "day")
+
+
+# ---- CSV and the run --------------------------------------------------------
+
+_AWKWARD = "'\"' || n_name || '\", ' || chr(10) || ' '"
+
+
+@query(
+    f"""WITH {sql.PLACES} SELECT c_custkey AS customer_id, c_name || {_AWKWARD} AS customer_name, ' ' || n_name || ' ' AS city,
+  CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS customer_level, c_acctbal::VARCHAR AS note FROM places"""
+)
+def csv_customers_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with quotes, commas, line breaks and outer blanks, written as CSV and loaded from it."""
+    awkward = F.concat("c_name", F.lit('"'), "n_name", F.lit('", '), F.lit("\n"), F.lit(" "))
+    rows = adapters.places(spark, folder).select(
+        F.col("c_custkey").alias("customer_id"), awkward.alias("customer_name"),
+        F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("city"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("customer_level"),
+        F.col("c_acctbal").cast("string").alias("note"),
+    )
+    path = files.write_csv(rows, f"{shared_dir(spark, 'csv')}/customers")
+    return csv_files.customers_csv(spark, path, multiline=True)
+
+
+@query(
+    """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_totalprice AS DOUBLE) AS order_amount,
+  CAST(o_orderdate AS DATE) AS order_date, 'CNY' AS currency_code, 'UNKNOWN' AS ship_country, 0.0::DOUBLE AS refund_amount FROM orders"""
+)
+def csv_orders_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as CSV, dates with slashes for some, loaded with the constants of file orders."""
+    day = F.col("o_orderdate").cast("date")
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.date_format(day, "yyyy/M/d")).otherwise(day.cast("string"))
+    rows = adapters.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").cast(MONEY).alias("order_amount"), text.alias("order_date"),
+    )
+    path = files.write_csv(rows, f"{shared_dir(spark, 'csv')}/orders")
+    return as_doubles(csv_files.orders_csv(spark, path))
+
+
+@query(
+    """WITH sums AS (SELECT o_custkey, o_orderdate, o_totalprice FROM orders WHERE o_totalprice > 0)
+SELECT CAST(o_orderdate AS DATE) AS order_date, strftime(o_orderdate, '%Y-%m') AS order_month, 'CNY' AS currency_code,
+  count(*) AS order_count, count(DISTINCT o_custkey) AS customer_count,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS gross_merchandise_value, 0.0::DOUBLE AS total_refunds,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS net_sales, """
+    + sql.cents_mean("sum(CAST(o_totalprice AS DECIMAL(18,2)))", "count(*)")
+    + " AS average_order_value FROM sums GROUP BY 1, 2, 3"
+)
+def full_then_incremental_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two whole runs from CSV: the first half of the orders, then all of them incrementally; the stored daily mart."""
+    paths = Paths(shared_dir(spark, "run"))
+    customers = adapters.places(spark, folder).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("n_name").alias("city"),
+        F.col("c_mktsegment").alias("customer_level"),
+    )
+    orders = adapters.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").cast(MONEY).alias("order_amount"), F.col("o_orderdate").cast("date").alias("order_date"),
+    )
+    files.write_csv(customers, paths.customers)
+    for rows, incremental in ((orders.filter(F.col("order_id") % 2 == 0), False), (orders, True)):
+        files.write_csv(rows, paths.orders)
+        run(spark, paths, RunOptions(incremental_load=incremental, export_layer_backups=False))
+    return as_doubles(Warehouse(spark, paths.warehouse).read("mart_daily_sales"))
+
+
+@query(
+    """SELECT 'E' || event_id AS order_id, CASE event_id % 10 WHEN 0 THEN 'no readable list of orders' WHEN 1 THEN 'error answer'
+  END AS reject_reason FROM events"""
+)
+def page_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Good, cut off and error pages: the nodes of the good ones, and each other page with its reason."""
+    recorded = adapters.event_pages(spark, folder).withColumn("number", F.regexp_extract("document", '"name":"E([0-9]+)"', 1))
+    kind = F.col("number").cast("bigint") % 10
+    broken = F.expr("left(document, length(document) - 4)")
+    error = F.lit('{"errors":[{"message":"throttled"}],"data":null}')
+    recorded = recorded.withColumn("document", F.when(kind == 0, broken).when(kind == 1, error).otherwise(F.col("document")))
+    good = pages.order_nodes(recorded, on_fault="skip").select(F.col("node.name").alias("order_id"), F.lit(None).cast("string").alias("reject_reason"))
+    rejected = pages.rejected_pages(recorded, "orders").select(
+        F.concat(F.lit("E"), "number").alias("order_id"), F.regexp_extract("reject_reason", "^[^:]+", 0).alias("reject_reason")
+    )
+    return good.unionByName(rejected)

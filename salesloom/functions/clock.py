@@ -55,7 +55,9 @@ def any_date(value: Column) -> Column:
 
 
 def lenient_date(text: Column, today: Column | None = None) -> Column:
-    """Date out of a date or date-time text, its own calendar day; blank means today."""
+    """Date out of a date or date-time text, its own calendar day; blank means today, damaged text raises."""
     now = F.current_date() if today is None else today
     given = F.nullif(F.btrim(text), F.lit(""))
-    return F.when(given.isNull(), now).otherwise(F.to_date(F.left(given, F.lit(10)), "yyyy-M-d"))
+    return F.when(given.isNull(), now).otherwise(
+        F.when(F.length(given) <= 10, F.to_date(given, "yyyy-M-d")).otherwise(given.cast("timestamp_ntz").cast("date"))
+    )

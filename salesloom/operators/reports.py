@@ -180,8 +180,11 @@ def level_share(level_mart: DataFrame) -> DataFrame:
 
 
 def city_level_pivot(summary: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
-    """Net sales and orders per city, one pair of columns per level."""
-    pivot = summary.groupBy("city").pivot("customer_level", list(levels) if levels else None)
+    """Net sales and orders per city, one pair of columns per level; levels that are not listed go to `other`."""
+    if levels:
+        listed = F.when(F.col("customer_level").isin(*levels), F.col("customer_level")).otherwise("other")
+        summary = summary.withColumn("customer_level", listed)
+    pivot = summary.groupBy("city").pivot("customer_level", [*levels, "other"] if levels else None)
     return pivot.agg(F.sum("net_sales").alias("net_sales"), F.sum("order_count").alias("order_count"))
 
 

@@ -93,8 +93,13 @@ def wide_orders(
     shop_name: str,
     excluded_skus: Sequence[str] = EXCLUDED_SKUS,
     keep: Sequence[str] = (),
+    versioned: bool = False,
 ) -> DataFrame:
-    """The 44 columns of the wide order table, plus `keep` columns of the pages."""
+    """The 44 columns of the wide order table, plus `keep` columns of the pages.
+
+    `versioned` adds `version_at`, the point in time of the update: the text columns drop the offset and the
+    fractions of a second, so they cannot order versions.
+    """
     node = F.col("node")
     prepared = with_lines(nodes).select(
         *keep,
@@ -160,4 +165,5 @@ def wide_orders(
         "etl_synced_at": F.current_timestamp(),
     }
     typed = [columns[name].cast(kind).alias(name) for name, kind in schemas.WIDE_ORDER_TYPES.items()]
-    return prepared.select(*keep, *typed)
+    version = [instant(node["updatedAt"]).alias("version_at")] if versioned else []
+    return prepared.select(*keep, *typed, *version)

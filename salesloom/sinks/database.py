@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import schemas
-from salesloom.operators.quality import DataQualityError, orphan_orders
+from salesloom.operators.quality import (
+    DataQualityError,
+    orphan_orders,
+    published_key_checks,
+    published_null_counts,
+    raise_for_failed,
+)
 from salesloom.schemas import PublishedTable
 
 TableWriter = Callable[[DataFrame, str], None]
@@ -92,6 +98,11 @@ def publish(
     orphans = orphan_orders(tables["fact_orders"], tables["dim_customers"]).first().n
     if orphans:
         raise DataQualityError(f"fact_orders holds {orphans} orders of unknown customers")
+    # Primary keys and NOT NULL columns: what the database would refuse must not reach a stage table.
+    raise_for_failed(published_key_checks(tables))
+    empty = published_null_counts(tables).filter("null_rows > 0").collect()
+    if empty:
+        raise DataQualityError("; ".join(f"{r.table_name}.{r.column_name} holds {r.null_rows} NULLs" for r in empty))
     filled = []
     for plan in plans:
         rows = published_rows(tables[plan.source], plan)

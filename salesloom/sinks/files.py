@@ -32,13 +32,18 @@ def append_unseen_orders(warehouse: Warehouse, incoming: DataFrame) -> int:
     """Append orders with new ids to raw_orders; returns how many. A repeated run appends nothing."""
     existing = warehouse.read("raw_orders")
     before = existing.count()
-    fresh = unseen(existing, incoming).select(*existing.columns)
+    # Held as files: the batch is read for its bounds and for its rows, and its source is parsed once.
+    arrived = f"{shared_dir(warehouse.spark, 'orders-batch')}/rows"
+    incoming.write.parquet(arrived)
+    fresh = unseen(existing, warehouse.spark.read.parquet(arrived)).select(*existing.columns)
     fresh.write.mode("append").parquet(warehouse.path("raw_orders"))
     return warehouse.read("raw_orders").count() - before
 
 
 def write_csv(rows: DataFrame, path: str) -> str:
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    """CSV in the form that read_csv_text reads back: quotes doubled, line breaks and outer blanks kept."""
+    csv = rows.write.mode("overwrite").option("header", True).option("escape", '"')
+    csv.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -113,32 +118,45 @@ def export_products(nodes: DataFrame, path: str, store_domain: str) -> DataFrame
     return nodes.sparkSession.read.json(f"{path}/meta")
 
 
+# Folders of the wide table. Fixed for the life of a table: rows would not meet their older versions otherwise.
+WIDE_BUCKETS = 64
+
+
+def _versioned(rows: DataFrame) -> DataFrame:
+    """The wide columns with version, place in the page and bucket; rows without a version take their update text as UTC."""
+    version = F.col("version_at") if "version_at" in rows.columns else F.to_timestamp("updated_at", "yyyy-MM-dd HH:mm:ss")
+    edge = F.col("edge") if "edge" in rows.columns else F.lit(0)
+    bucket = F.pmod(F.xxhash64(*schemas.WIDE_KEY), F.lit(WIDE_BUCKETS)).cast("int")
+    return rows.select(
+        *schemas.WIDE_ORDER_COLUMNS, version.alias("version_at"), edge.cast("int").alias("edge"), bucket.alias("bucket")
+    )
+
+
 def upsert_wide(warehouse: Warehouse, incoming: DataFrame) -> int:
     """Replace the incoming orders in raw_shopify_orders by their latest version; returns rows touched.
 
-    The table lies in folders by creation month, which never changes for an order, so
-    only the months that the batch touches are read and rewritten. The merged months
-    are written to the shared folder first: the table is never read while it is
-    replaced, and a run that dies leaves them whole.
+    The table lies in folders by a hash of the order's key, so all versions of an order meet whatever else changes, and
+    only the folders that the batch touches are read and rewritten. The latest point in time wins; of equal ones the
+    incoming row, and within a batch the later place in its page. Upserts are idempotent: a run that dies while
+    folders are replaced is run again.
     """
     spark = warehouse.spark
     table = "raw_shopify_orders"
-    month = F.coalesce(F.substring("created_at", 1, 7), F.lit("none"))
     arrived = f"{shared_dir(spark, 'wide-batch')}/rows"
-    incoming.select(*schemas.WIDE_ORDER_COLUMNS).withColumn("created_month", month).write.parquet(arrived)
+    _versioned(incoming).write.parquet(arrived)
     batch = spark.read.parquet(arrived)
     rows = batch.withColumn("arrival", F.lit(1))
     if warehouse.exists(table):
-        # Calendar months, a few hundred at most: as literals they prune the folders of the table.
-        months = [r.created_month for r in batch.select("created_month").distinct().collect()]
-        touched = warehouse.read(table).filter(F.col("created_month").cast("string").isin(months))
+        # WIDE_BUCKETS numbers at most: as literals they prune the folders of the table.
+        buckets = [r.bucket for r in batch.select("bucket").distinct().collect()]
+        touched = warehouse.read(table).filter(F.col("bucket").isin(buckets))
         rows = rows.unionByName(touched.withColumn("arrival", F.lit(0)))
     merged = f"{shared_dir(spark, 'wide-merged')}/rows"
-    newest = latest(rows, schemas.WIDE_KEY, ["updated_at", "arrival"]).drop("arrival")
-    newest.hint("rebalance", "created_month").write.parquet(merged)
-    spark.read.parquet(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "created_month"
-    ).parquet(warehouse.path(table))
+    newest = latest(rows, [*schemas.WIDE_KEY, "bucket"], ["version_at", "arrival", "edge"]).drop("arrival")
+    newest.hint("rebalance", "bucket").write.parquet(merged)
+    spark.read.parquet(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(
+        warehouse.path(table)
+    )
     return batch.count()
 
 

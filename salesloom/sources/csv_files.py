@@ -47,18 +47,18 @@ def read_csv_text(spark: SparkSession, path: str, required: Sequence[str] = (),
     return rows
 
 
-def customers_csv(spark: SparkSession, path: str, extra_columns: bool = True) -> DataFrame:
+def customers_csv(spark: SparkSession, path: str, extra_columns: bool = True, multiline: bool = False) -> DataFrame:
     """raw_customers as delivered, with the file's further columns unless switched off."""
-    rows = read_csv_text(spark, path, schemas.CUSTOMER_COLUMNS)
+    rows = read_csv_text(spark, path, schemas.CUSTOMER_COLUMNS, multiline)
     extra = [c for c in rows.columns if c not in schemas.CUSTOMER_COLUMNS] if extra_columns else []
     return rows.select(
         to_bigint(F.col("customer_id")).alias("customer_id"), "customer_name", "city", "customer_level", *extra
     )
 
 
-def orders_csv(spark: SparkSession, path: str) -> DataFrame:
+def orders_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """raw_orders of a CSV file; currency, country and refund are constants, whatever the file holds."""
-    rows = read_csv_text(spark, path, ("order_id", "customer_id", "order_amount", "order_date"))
+    rows = read_csv_text(spark, path, ("order_id", "customer_id", "order_amount", "order_date"), multiline)
     return with_order_defaults(
         rows.select(
             to_bigint(F.col("order_id")).alias("order_id"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions.clock import lenient_date
 from salesloom.functions.money import to_money
-from salesloom.functions.text import blank_to, strip_all, to_bigint
+from salesloom.functions.text import blank_to, strip_all
 from salesloom.sources.csv_files import path_exists, read_csv_text
 
 
@@ -75,13 +75,26 @@ def _alias(*names: str) -> Column:
     return value
 
 
+def whole_id(text: Column, cut: bool) -> Column:
+    """A whole-number id. JSON numbers with a fraction are cut, as text (CSV) they raise."""
+    given = strip_all(text)
+    exact = given.try_cast("bigint")
+    if cut:
+        number = given.cast("decimal(38,6)")
+        other = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("bigint")
+    else:
+        other = F.raise_error(F.concat(F.lit("no whole number: "), given)).cast("bigint")
+    # A plain whole number is read exactly; try_cast alone would cut fractions of text as well.
+    return F.when(text.isNull(), F.lit(None).cast("bigint")).when(given.rlike(r"^[+-]?[0-9]+$"), exact).otherwise(other)
+
+
 def _required(value: Column, what: str) -> Column:
     problem = F.raise_error(F.concat(F.lit(f"inbox row lacks {what}: "), F.to_json("record")))
     return F.when(value.isNull(), problem).otherwise(value)
 
 
-def inbox_customers(records: DataFrame) -> DataFrame:
-    """Customers with their defaults. A row without an id raises."""
+def inbox_customers(records: DataFrame, cut_ids: bool = True) -> DataFrame:
+    """Customers with their defaults. A row without an id raises; `cut_ids` is for JSON records."""
     fields = records.select(
         "record",
         _required(_alias("customer_id", "id"), "customer_id").alias("id"),
@@ -90,14 +103,14 @@ def inbox_customers(records: DataFrame) -> DataFrame:
         _alias("customer_level", "level").alias("level"),
     )
     return fields.select(
-        to_bigint(strip_all(F.col("id"))).alias("customer_id"),
+        whole_id(F.col("id"), cut_ids).alias("customer_id"),
         blank_to(F.col("name"), F.concat(F.lit("customer_"), F.col("id"))).alias("customer_name"),
         blank_to(F.col("city"), "unknown").alias("city"),
         F.lower(blank_to(F.col("level"), "standard")).alias("customer_level"),
     )
 
 
-def inbox_orders(records: DataFrame, today: Column | None = None) -> DataFrame:
+def inbox_orders(records: DataFrame, today: Column | None = None, cut_ids: bool = True) -> DataFrame:
     """Orders with lenient dates. A row without id, customer or amount raises."""
     fields = records.select(
         "record",
@@ -107,8 +120,8 @@ def inbox_orders(records: DataFrame, today: Column | None = None) -> DataFrame:
         _alias("order_date", "date", "createdAt").alias("day"),
     )
     return fields.select(
-        to_bigint(strip_all(F.col("id"))).alias("order_id"),
-        to_bigint(strip_all(F.col("customer"))).alias("customer_id"),
+        whole_id(F.col("id"), cut_ids).alias("order_id"),
+        whole_id(F.col("customer"), cut_ids).alias("customer_id"),
         to_money(strip_all(F.col("amount"))).alias("order_amount"),
         lenient_date(F.col("day"), today).alias("order_date"),
     )
@@ -119,14 +132,15 @@ def inbox_records(spark: SparkSession, inbox: str, base: str) -> DataFrame:
     if path.endswith(".json"):
         documents = spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
         return json_records(documents, base)
-    return csv_records(read_csv_text(spark, path))
+    return csv_records(read_csv_text(spark, path, multiline=True))
 
 
 def read_inbox(spark: SparkSession, inbox: str, today: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Customers and orders of an inbox folder."""
     if not path_exists(spark, inbox):
         raise InboxError(f"no inbox folder {inbox}")
+    is_json = {base: pick_inbox_file(spark, inbox, base).endswith(".json") for base in ("customers", "orders")}
     return (
-        inbox_customers(inbox_records(spark, inbox, "customers")),
-        inbox_orders(inbox_records(spark, inbox, "orders"), today),
+        inbox_customers(inbox_records(spark, inbox, "customers"), is_json["customers"]),
+        inbox_orders(inbox_records(spark, inbox, "orders"), today, is_json["orders"]),
     )

@@ -27,30 +27,71 @@ def objects(items: Column, shape: str) -> Column:
     return F.transform(F.filter(items, lambda item: item.startswith("{")), lambda item: F.from_json(item, shape))
 
 
-def nodes(pages: DataFrame, root: str, node_type: str) -> DataFrame:
-    """One row per node of the pages, next to the other columns of the page.
+def _answer(root: str, item: str) -> str:
+    """The shape of a page: the whole response or its data part."""
+    connection = f"{root}: STRUCT<edges: ARRAY<{item}>, pageInfo: STRUCT<hasNextPage: BOOLEAN>>"
+    return f"STRUCT<data: STRUCT<{connection}>, {connection}, errors: STRING>"
 
-    A page is parsed once. A list item that is no object voids its list in that pass;
-    only such pages are parsed again, item by item, and the item drops out. All of it
-    happens inside the exploded expression, so later filters do not repeat it.
-    """
-    others = [c for c in pages.columns if c != "document"]
-    edge = f"cursor: STRING, node: {node_type}"
 
-    def edges(item_type: str) -> Column:
-        connection = f"{root}: STRUCT<edges: ARRAY<{item_type}>>"
-        return F.from_json("document", f"STRUCT<data: STRUCT<{connection}>, {connection}>")
+def _edges(page: Column, root: str) -> Column:
+    return F.coalesce(page["data"][root]["edges"], page[root]["edges"])
+
 
-    whole = pages.select(*others, "document", edges(f"STRUCT<{edge}>").alias("page"))
-    parsed = F.coalesce(F.col("page.data")[root]["edges"], F.col("page")[root]["edges"])
-    text = edges("STRING")
-    items = F.coalesce(text["data"][root]["edges"], text[root]["edges"])
-    kept = F.filter(F.coalesce(parsed, objects(items, f"STRUCT<{edge}>")), lambda item: item["node"].isNotNull())
-    return whole.select(*others, F.explode(kept).alias("edge")).select(*others, F.col("edge.node").alias("node"))
+def _fault(errors: Column, edges: Column, root: str) -> Column:
+    """Why a page cannot be used, NULL if it can."""
+    failed = F.coalesce(errors, F.lit("[]")) != "[]"
+    return F.when(failed, F.concat(F.lit("error answer: "), errors)).when(
+        edges.isNull(), F.lit(f"no readable list of {root}")
+    )
 
 
-def order_nodes(pages: DataFrame) -> DataFrame:
-    return nodes(pages, "orders", schemas.ORDER_NODE)
+def nodes(
+    pages: DataFrame, root: str, node_type: str, on_fault: str = "raise", position: str | None = None
+) -> DataFrame:
+    """One row per node of the pages, next to the other columns of the page.
+
+    A page that cannot be read and an error answer stop the job; with on_fault="skip" they give no rows here and are
+    found by `rejected_pages`. A page is parsed once. A list item that is no object voids its list in that pass;
+    only such pages are parsed again, item by item, and the item drops out. All of it happens inside the exploded
+    expression, so later filters do not repeat it. `position` names a column for the place of the node in its page.
+    """
+    others = [c for c in pages.columns if c != "document"]
+    edge = f"cursor: STRING, node: {node_type}"
+    whole = pages.select(*others, "document", F.from_json("document", _answer(root, f"STRUCT<{edge}>")).alias("page"))
+    items = _edges(F.from_json("document", _answer(root, "STRING")), root)
+    found = F.coalesce(_edges(F.col("page"), root), objects(items, f"STRUCT<{edge}>"))
+    if on_fault == "raise":
+        fault = _fault(F.col("page.errors"), found, root)
+        excerpt = F.left(F.coalesce("document", F.lit("NULL")), F.lit(200))
+        found = F.when(fault.isNotNull(), F.raise_error(F.concat(fault, F.lit(" in page: "), excerpt))).otherwise(found)
+    elif on_fault != "skip":
+        raise ValueError("on_fault is raise or skip")
+    else:
+        found = F.when(_fault(F.col("page.errors"), found, root).isNull(), found)
+    kept = F.filter(found, lambda item: item["node"].isNotNull())
+    if position:
+        rows = whole.select(*others, F.posexplode(kept).alias(position, "edge__"))
+        return rows.select(*others, position, F.col("edge__.node").alias("node"))
+    return whole.select(*others, F.explode(kept).alias("edge__")).select(*others, F.col("edge__.node").alias("node"))
+
+
+def rejected_pages(pages: DataFrame, root: str) -> DataFrame:
+    """The pages that give no nodes because they cannot be read or carry errors, with the reason."""
+    page = F.from_json("document", _answer(root, "STRING"))
+    parsed = pages.withColumn("page__", page)
+    reason = _fault(F.col("page__.errors"), _edges(F.col("page__"), root), root)
+    return parsed.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull()).drop("page__")
+
+
+def unfinished(pages: DataFrame, root: str, by: str = "day") -> DataFrame:
+    """The folders whose pages all announce a next one: their last page is missing."""
+    page = F.from_json("document", _answer(root, "STRING"))
+    more = F.coalesce(page["data"][root]["pageInfo"]["hasNextPage"], page[root]["pageInfo"]["hasNextPage"], F.lit(False))
+    return pages.groupBy(by).agg(F.bool_and(more).alias("unfinished"), F.count("*").alias("page_count")).filter("unfinished").drop("unfinished")
+
+
+def order_nodes(pages: DataFrame, on_fault: str = "raise", position: str | None = None) -> DataFrame:
+    return nodes(pages, "orders", schemas.ORDER_NODE, on_fault, position)
 
 
 def product_nodes(pages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -137,6 +138,15 @@ def json_rows(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
 
 
-def read_database_table(spark: SparkSession, url: str, table: str, properties: dict[str, str], limit: object = None) -> DataFrame:
-    """A published database table over JDBC; the limit runs in the database."""
-    return spark.read.jdbc(url, table, properties=properties).limit(row_limit(limit))
+def read_database_table(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str], parts: Sequence[str] | None = None
+) -> DataFrame:
+    """A whole published database table over JDBC; `parts` are conditions that cut it into one task each."""
+    if parts:
+        return spark.read.jdbc(url, table, predicates=list(parts), properties=properties)
+    return spark.read.jdbc(url, table, properties=properties)
+
+
+def preview_database_table(spark: SparkSession, url: str, table: str, properties: dict[str, str], limit: object = None) -> DataFrame:
+    """The first rows of a published database table; the limit runs in the database."""
+    return read_database_table(spark, url, table, properties).limit(row_limit(limit))

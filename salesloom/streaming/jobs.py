@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.operators import marts
-from salesloom.operators.incremental import known_keys, latest, unseen
+from salesloom.operators.incremental import latest, unseen
 from salesloom.operators.wide import wide_orders
 from salesloom.session import configure
 from salesloom.sources import pages
@@ -54,7 +54,10 @@ def land(
     def write(batch: DataFrame, batch_id: int) -> None:
         # A stream's own session switches adaptive execution off; the batch jobs need it for skewed keys.
         configure(batch.sparkSession)
-        prepare(batch, batch_id).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # Held, because a job may read its batch more than once.
+        held = batch.persist()
+        prepare(held, batch_id).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        held.unpersist()
 
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
@@ -89,7 +92,11 @@ def land_unseen(
 
 
 def without_repeats(stream: DataFrame, key: Sequence[str], clock: str, delay: str) -> DataFrame:
-    """A stream without rows whose key came within the delay before; the state stays bounded."""
+    """A stream without rows whose key came within the delay before; the state stays bounded.
+
+    Rows behind the watermark are dropped too, repeated or not. Where none may get lost, use `land_unseen`, which
+    compares with everything landed and keeps no state.
+    """
     return stream.withWatermark(clock, delay).dropDuplicatesWithinWatermark(list(key))
 
 
@@ -102,68 +109,65 @@ def land_latest(
 
 def current_rows(spark: SparkSession, out: str, key: Sequence[str], version: Sequence[str]) -> DataFrame:
     """The latest version of every key over all landed batches; a late old version changes nothing."""
-    return latest(landed(spark, out), key, [*version, "batch_id"]).drop("batch_id")
+    rows = landed(spark, out)
+    if rows is None:
+        raise ValueError(f"nothing has landed in {out} yet")
+    return latest(rows, key, [*version, "batch_id"]).drop("batch_id")
 
 
 def compact(spark: SparkSession, out: str, key: Sequence[str], version: Sequence[str], target: str) -> None:
-    """Write the current rows as batch 0 of a new folder, for streams with a long history."""
-    current_rows(spark, out, key, version).write.mode("overwrite").parquet(f"{target}/batch_id=0")
+    """Write the current rows as the base of a new folder, for streams with a long history.
+
+    The base is batch -1, a number that no micro-batch has: a stream that starts on the folder leaves it alone.
+    """
+    current_rows(spark, out, key, version).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
 def land_wide_orders(page_documents: DataFrame, shop_name: str, out: str, checkpoint: str) -> StreamingQuery:
     """Stream order pages into wide order rows, the latest per order of each micro-batch."""
-    wide = wide_orders(pages.order_nodes(page_documents), shop_name, keep=("day",))
-    return land_latest(wide, ["shopify_gid"], ["updated_at"], out, checkpoint)
+    wide = wide_orders(pages.order_nodes(page_documents, position="edge"), shop_name, keep=("day", "edge"), versioned=True)
+    return land_latest(wide, ["shopify_gid"], ["version_at", "edge"], out, checkpoint)
 
 
-def customer_day_stream(orders: DataFrame, clock: str = "order_time", delay: str = "7 days") -> DataFrame:
-    """Order sums per customer, day and currency as a stream.
+_CUSTOMER_DAY = ("customer_id", "order_date", "order_month", "currency_code")
 
-    Orders later than the delay drop out, and so does the state of days that old. One
-    row per customer and day keeps the customer count of a day exact.
-    """
-    timed = orders.withWatermark(clock, delay)
-    sums = timed.groupBy(F.window(clock, "1 day").alias("day"), "customer_id", "currency_code").agg(
+
+def customer_days(orders: DataFrame, clock: str = "order_time") -> DataFrame:
+    """Order sums per customer, day and currency."""
+    order_date = F.col(clock).cast("date")
+    dated = orders.withColumns({"order_date": order_date, "order_month": F.date_format(order_date, "yyyy-MM")})
+    return dated.groupBy(*_CUSTOMER_DAY).agg(
         F.count("*").alias("order_count"),
         F.sum("order_amount").alias("order_amount"),
         F.sum("refund_amount").alias("refund_amount"),
         F.sum("net_amount").alias("net_amount"),
     )
-    order_date = F.col("day.start").cast("date")
-    return sums.select(
-        order_date.alias("order_date"),
-        F.date_format(order_date, "yyyy-MM").alias("order_month"),
-        "customer_id",
-        "currency_code",
-        "order_count",
-        "order_amount",
-        "refund_amount",
-        "net_amount",
-    )
-
-
-_CUSTOMER_DAY = ("customer_id", "order_date", "order_month", "currency_code")
 
 
 def land_customer_days(orders: DataFrame, out: str, checkpoint: str, clock: str = "order_time") -> StreamingQuery:
-    """Land the changed customer days of each micro-batch."""
-    return land(customer_day_stream(orders, clock), out, checkpoint, mode="update")
+    """Land the customer days of each micro-batch.
+
+    No state and no watermark: sums of batches add up, so an order counts however late it comes.
+    """
+    return land(orders, out, checkpoint, lambda batch, _: customer_days(batch, clock))
 
 
 def daily_sales_of_stream(spark: SparkSession, out: str) -> DataFrame:
-    """The daily mart over the landed customer days."""
-    return marts.daily_sales(latest(landed(spark, out), _CUSTOMER_DAY, ["batch_id"]).drop("batch_id"))
+    """The daily mart over the landed customer days; one row per customer and day keeps customer counts exact."""
+    sums = [F.sum(c).alias(c) for c in ("order_count", "order_amount", "refund_amount", "net_amount")]
+    return marts.daily_sales(landed(spark, out).groupBy(*_CUSTOMER_DAY).agg(*sums))
 
 
 def with_reject_reason(orders: DataFrame, dim: DataFrame) -> DataFrame:
     """Orders with why they would fail the row checks, NULL when they pass."""
-    known = known_keys(dim, "customer_id")
-    bad_amount = F.when(F.col("order_amount") <= 0, "amount not positive")
-    no_customer = F.when(F.col("customer_id").isNull(), "no customer")
-    accepted = orders.join(known, "customer_id", "left_semi").select(*orders.columns, bad_amount.alias("reject_reason"))
-    unknown = orders.join(known, "customer_id", "left_anti")
-    reason = F.coalesce(no_customer, bad_amount, F.lit("unknown customer"))
-    return accepted.unionByName(unknown.select(*orders.columns, reason.alias("reject_reason")))
+    known = dim.select("customer_id").distinct().select(F.col("customer_id").alias("known__"))
+    found = orders.join(known, F.col("customer_id") == F.col("known__"), "left")
+    reason = (
+        F.when(F.col("customer_id").isNull(), "no customer")
+        .when(F.col("order_amount") <= 0, "amount not positive")
+        .when(F.col("known__").isNull(), "unknown customer")
+    )
+    return found.select(*orders.columns, reason.alias("reject_reason"))
 
 
 def land_checked(orders: DataFrame, dim: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -110,11 +110,29 @@ def test_bad_amount_raises(spark):
 def test_pages_of_every_shape(spark):
     many = orders_page(*[{"id": f"gid://x/Order/{i}"} for i in range(200)])
     junk = {"orders": {"edges": [5, None, "x", {"cursor": "c", "node": 3}, {"cursor": "c"}, {"node": {"id": "gid://x/Order/900"}}]}}
-    rows = pages.order_nodes(documents(spark, many, junk, orders_page({"id": "gid://x/Order/901"}, wrap=False), {"data": None}, "not json", orders_page()))
+    rows = pages.order_nodes(documents(spark, many, junk, orders_page({"id": "gid://x/Order/901"}, wrap=False), {"data": None}, "not json", orders_page()), on_fault="skip")
     numbers = sorted(r.n for r in rows.select(pages.order_number(F.col("node")).alias("n")).collect())
     assert numbers == [*range(200), 900, 901]
 
 
+@pytest.mark.parametrize("bad", ["not json", '{"data":{"orders":{"edges":[{"node":{"id":"x"', '{"errors":[{"message":"m"}],"data":null}', '{"data":{"orders":null}}'])
+def test_damaged_pages_stop_the_job_or_are_rejected(spark, bad):
+    recorded = documents(spark, orders_page({"id": "gid://x/Order/1"}), bad, orders_page())
+    with pytest.raises(PySparkException):
+        pages.order_nodes(recorded).collect()
+    assert pages.order_nodes(recorded, on_fault="skip").count() == 1
+    rejected = pages.rejected_pages(recorded, "orders").collect()
+    assert [r.document for r in rejected] == [bad] and rejected[0].reject_reason
+
+
+def test_missing_last_page(spark):
+    def part(more):
+        return json.dumps({"orders": {"edges": [], "pageInfo": {"hasNextPage": more}}})
+
+    rows = spark.createDataFrame([(part(True), 1), (part(False), 1), (part(True), 2), (part(True), 2)], "document string, day int")
+    assert [tuple(r) for r in pages.unfinished(rows, "orders").collect()] == [(2, 2)]
+
+
 def test_page_folders(spark, folder):
     import os
 

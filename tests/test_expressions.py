@@ -31,7 +31,7 @@ def test_trimming(spark, given, trimmed, stripped):
 @pytest.mark.parametrize(
     ("tags", "level"),
     [
-        ("VIP, wholesale", "vip"), ("Gold Member", "gold"), ("", "standard"), ("  ", "standard"), (None, "standard"),
+        ("VIP, reseller", "vip"), ("Gold Circle", "gold"), ("", "standard"), ("  ", "standard"), (None, "standard"),
         ("Key Account, x", "key_account"), (" , , b c", "b_c"), ("silver,gold", "gold"), (",", "standard"),
     ],
 )

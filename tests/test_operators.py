@@ -178,8 +178,8 @@ def test_days(spark):
 def test_quality_fixture(spark):
     """One order of an unknown customer, and no daily mart."""
     day = date(2026, 4, 1)
-    people = spark.createDataFrame([(1, "Alice", "SHANGHAI", "gold")], RAW_CUSTOMERS)
-    orders = spark.createDataFrame([(1001, 999, Decimal(100), day)], "order_id bigint, customer_id bigint, order_amount decimal(18,4), order_date date")
+    people = spark.createDataFrame([(7, "Ines", "PORTO", "silver")], RAW_CUSTOMERS)
+    orders = spark.createDataFrame([(31, 8, Decimal("12.5"), day)], "order_id bigint, customer_id bigint, order_amount decimal(18,4), order_date date")
     checks = quality.quality_checks(spark, {
         "raw_customers": people, "raw_orders": orders, "stg_orders": orders, "dim_customers": people, "fact_orders": orders,
         "mart_sales_summary": orders, "mart_daily_sales": None,

@@ -7,6 +7,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesloom import schemas
 from salesloom.operators import quality
@@ -15,7 +16,7 @@ from salesloom.operators.wide import wide_orders
 from salesloom.plans import run as jobs
 from salesloom.plans.warehouse import build_warehouse
 from salesloom.sinks import database, files
-from salesloom.sources import pages
+from salesloom.sources import csv_files, pages
 from salesloom.sources.tables import CATALOG, Warehouse, catalog_rows, json_rows
 from tests.test_golden import page, paths  # noqa: F401
 from tests.test_operators import RAW_CUSTOMERS, RAW_ORDERS
@@ -42,7 +43,7 @@ def tables(spark, orders):
 
 def test_publish_order_and_columns(spark):
     target = Database()
-    filled = database.publish(tables(spark, [(1, 1, Decimal("2.345"), date(2026, 1, 1), "eur", "de", None)]), target.write, target.run, "shop_")
+    filled = database.publish(tables(spark, [(1, 1, Decimal("2.345"), date(2026, 1, 1), "eur", "de", Decimal("0"))]), target.write, target.run, "shop_")
     assert filled == [p.target("shop_") for p in schemas.PUBLISHED] and len(filled) == 10
     swap, cleanup = target.batches
     deletes = [s.removeprefix("DELETE FROM ") for s in swap[:10]]
@@ -108,44 +109,69 @@ def updates(spark, *rows):
     return wide_orders(pages.order_nodes(documents(spark, page(*nodes))), "demo")
 
 
-def test_wide_upsert_rewrites_touched_months_only(spark, folder):
+def test_wide_upsert_rewrites_touched_folders_only(spark, folder):
     warehouse = Warehouse(spark, folder)
     files.upsert_wide(warehouse, updates(spark, (1, "2026-01-05T00:00:00Z", "2026-01-05T00:00:00Z", "a"),
-                                         (2, "2026-02-05T00:00:00Z", "2026-02-05T00:00:00Z", "a"), (3, None, None, "a")))
-    january = spark.read.parquet(warehouse.path("raw_shopify_orders")).filter("created_month = '2026-01'").inputFiles()
-    old_files = [f for f in january if "created_month=2026-01" in f]
-    touched = files.upsert_wide(warehouse, updates(spark, (2, "2026-02-05T00:00:00Z", "2026-03-01T00:00:00Z", "b"),
-                                                   (2, "2026-02-05T00:00:00Z", "2026-02-01T00:00:00Z", "stale"),
-                                                   (4, "2026-02-09T00:00:00Z", "2026-03-01T00:00:00Z", "new"), (3, None, None, "c")))
-    assert touched == 4
+                                         (3, "2026-02-05T00:00:00Z", "2026-02-05T00:00:00Z", "a"), (4, None, None, "a")))
+    stored = spark.read.parquet(warehouse.path("raw_shopify_orders"))
+    bucket = {r.shopify_gid: r.bucket for r in stored.collect()}
+    assert bucket["g/1"] not in (bucket["g/3"], bucket["g/4"])
+    old_files = [f for f in stored.inputFiles() if f"bucket={bucket['g/1']}/" in f]
+    touched = files.upsert_wide(warehouse, updates(spark, (3, "2026-02-05T00:00:00Z", "2026-03-01T00:00:00Z", "b"),
+                                                   (3, "2026-02-05T00:00:00Z", "2026-02-01T00:00:00Z", "stale"), (4, None, None, "c")))
+    assert touched == 3
     names = {r.shopify_gid: r.order_id for r in files.read_wide(warehouse).collect()}
-    assert names == {"g/1": "a", "g/2": "b", "g/3": "c", "g/4": "new"}
+    assert names == {"g/1": "a", "g/3": "b", "g/4": "c"}
     now = spark.read.parquet(warehouse.path("raw_shopify_orders")).inputFiles()
     assert set(old_files) <= set(now) and old_files
 
 
-def test_wide_publish(spark):
-    target = Database()
-    database.publish_wide(updates(spark, (1, None, None, "a")), target.write, target.run)
-    statement = target.batches[0][0]
-    assert "ON CONFLICT (shopify_gid) DO UPDATE SET shop_name = EXCLUDED.shop_name" in statement
-    assert "shopify_gid = EXCLUDED" not in statement
-    assert target.stages["raw.shopify_orders_stage"].columns == list(schemas.WIDE_ORDER_COLUMNS)
+def versions(spark, *rows):
+    nodes = [{"id": "g/1", "createdAt": created, "updatedAt": updated, "name": name} for created, updated, name in rows]
+    return wide_orders(pages.order_nodes(documents(spark, page(*nodes)), position="edge"), "demo", keep=("edge",), versioned=True)
+
+
+@pytest.mark.parametrize(
+    ("first", "second", "kept"),
+    [
+        # One order, whatever offset its creation time is written with, or without one.
+        (("2026-04-01T01:00:00+08:00", "2026-04-02T00:00:00Z", "a"), ("2026-03-31T17:00:00Z", "2026-04-03T00:00:00Z", "b"), "b"),
+        ((None, "2026-04-02T00:00:00Z", "a"), ("2026-03-31T17:00:00Z", "2026-04-03T00:00:00Z", "b"), "b"),
+        # 09:00 in the east is earlier than 02:00 UTC.
+        (("2026-04-01T00:00:00Z", "2026-04-02T02:00:00Z", "late"), ("2026-04-01T00:00:00Z", "2026-04-02T09:00:00+08:00", "early"), "late"),
+        (("2026-04-01T00:00:00Z", "2026-04-02T02:00:00.250Z", "late"), ("2026-04-01T00:00:00Z", "2026-04-02T02:00:00.125Z", "early"), "late"),
+        (("2026-04-01T00:00:00Z", "2026-04-02T02:00:00Z", "old"), ("2026-04-01T00:00:00Z", "2026-04-02T02:00:00Z", "new"), "new"),
+    ],
+)
+def test_one_row_per_order_and_the_latest_moment(spark, folder, first, second, kept):
+    warehouse = Warehouse(spark, folder)
+    files.upsert_wide(warehouse, versions(spark, first))
+    files.upsert_wide(warehouse, versions(spark, second))
+    assert [r.order_id for r in files.read_wide(warehouse).collect()] == [kept]
 
 
-def test_product_export(spark, folder):
-    body = {"data": {"products": {"edges": [{"node": {"id": "p", "title": "T"}}, {"node": {"id": "q"}}]}}}
-    meta = files.export_products(pages.product_nodes(documents(spark, json.dumps(body))), folder, "demo.example")
-    assert (meta.first().product_count, meta.first().store_domain) == (2, "demo.example")
-    assert sorted(r.id for r in spark.read.json(f"{folder}/products").collect()) == ["p", "q"]
+def test_equal_moments_in_a_batch_go_by_place(spark, folder):
+    same = ("2026-04-01T00:00:00Z", "2026-04-02T02:00:00Z")
+    warehouse = Warehouse(spark, folder)
+    files.upsert_wide(warehouse, versions(spark, (*same, "x"), (*same, "a"), (*same, "m")))
+    assert files.read_wide(warehouse).first().order_id == "m"
 
 
-def test_catalogue_and_json_rows(spark):
-    assert catalog_rows(spark).count() == len(CATALOG) == 10
-    row = spark.createDataFrame([(date(2026, 1, 2), Decimal("1.50"), None)], "d date, m decimal(10,2), n string")
-    assert json.loads(json_rows(row).first().row) == {"d": "2026-01-02", "m": 1.5, "n": None}
+def test_csv_round_trip_of_awkward_text(spark, folder):
+    rows = [(1, 'A "B", c', " x ", "l\nm"), (2, "", None, '"'), (3, "a\\", ",", "\t")]
+    frame = spark.createDataFrame(rows, "customer_id bigint, customer_name string, city string, customer_level string")
+    back = csv_files.customers_csv(spark, files.write_csv(frame, f"{folder}/c"), multiline=True)
+    # Empty text and NULL are both an empty cell.
+    assert [tuple(r) for r in back.orderBy("customer_id").collect()] == [tuple(v or None for v in r) for r in rows]
 
 
-def test_published_tables_match_the_layers():
-    assert [len(p.columns) for p in schemas.PUBLISHED] == [4, 7, 4, 9, 4, 9, 10, 9, 9, 9]
-    assert {p.source for p in schemas.PUBLISHED} <= set(schemas.LAYER_OF)
+def test_no_stage_write_on_a_duplicate_order(spark):
+    target = Database()
+    tables = {plan.source: spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in plan.types.items())) for plan in schemas.PUBLISHED}
+    order = spark.range(1).select(*[F.lit("1").cast(t).alias(c) if t != "date" else F.lit("2026-01-01").cast("date").alias(c)
+                                    for c, t in next(p for p in schemas.PUBLISHED if p.source == "fact_orders").types.items()])
+    person = spark.range(1).select(*[F.lit("1").cast(t).alias(c) for c, t in next(p for p in schemas.PUBLISHED if p.source == "dim_customers").types.items()])
+    tables |= {"fact_orders": order.union(order), "dim_customers": person}
+    with pytest.raises(DataQualityError, match="fact_orders"):
+        database.publish(tables, target.write, target.run)
+    assert not target.stages and not target.batches

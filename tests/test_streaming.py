@@ -77,14 +77,15 @@ def test_daily_over_batches_equals_batch(spark, folder):
     assert values(jobs.daily_sales_of_stream(spark, out)) == values(marts.mart_daily_sales(batch))
 
 
-def test_rows_later_than_the_watermark_drop_out(spark, folder):
+def test_late_orders_count(spark, folder):
     drop_file(spark, folder, 1, [(1, 7, Decimal("1"), datetime(2026, 3, 1), "EUR")], ORDERS)
     drop_file(spark, folder, 2, [(2, 7, Decimal("1"), datetime(2026, 3, 2), "EUR")], ORDERS)
     drop_file(spark, folder, 3, [(3, 7, Decimal("1"), datetime(2026, 1, 1), "EUR"), (4, 7, Decimal("1"), datetime(2026, 3, 1), "EUR")], ORDERS)
     stream = stream_of(spark, folder).select("*", F.lit(0).cast("decimal(18,4)").alias("refund_amount"), F.col("order_amount").alias("net_amount"))
     jobs.land_customer_days(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
-    counts = {r.order_date.isoformat(): r.order_count for r in jobs.daily_sales_of_stream(spark, f"{folder}/out").collect()}
-    assert counts == {"2026-03-01": 2, "2026-03-02": 1}
+    daily = jobs.daily_sales_of_stream(spark, f"{folder}/out").collect()
+    assert {r.order_date.isoformat(): (r.order_count, r.customer_count) for r in daily} == {
+        "2026-03-01": (2, 1), "2026-03-02": (1, 1), "2026-01-01": (1, 1)}
 
 
 def test_repeats_within_the_delay(spark, folder):
@@ -104,6 +105,8 @@ def test_reject_reasons(spark):
 
 def test_nothing_landed_yet(spark, folder):
     assert jobs.landed(spark, f"{folder}/none") is None
+    with pytest.raises(ValueError):
+        jobs.current_rows(spark, f"{folder}/none", ["id"], ["v"])
 
 
 @pytest.mark.parametrize("name", ["stream_append", "stream_daily"])
