@@ -36,7 +36,8 @@ TOLERANCE = 1e-6
 
 
 def _words(text: Column) -> Column:
-    return F.split(text, r"[ \t\n\r]+")
+    """Runs between spaces and line ends; empty ones are left out later."""
+    return F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
 
 
 def _bucket(word: Column) -> Column:
@@ -73,7 +74,9 @@ def _word_weights(documents: DataFrame, labelled: DataFrame) -> tuple[list[str],
 def memberships(documents: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame]:
     """Domains, and for each different (doc_id, text): copies, n (words) and p (posterior)."""
     names, priors, weights = _word_weights(documents, labelled)
-    rows = documents.select("doc_id", F.xxhash64(whole()).alias("key"), F.posexplode(_words(whole())).alias("at", "word"))
+    # In a select of its own, so that a text is hashed once and not for each of its words.
+    keyed = documents.select("doc_id", F.xxhash64(whole()).alias("key"), _words(whole()).alias("words"))
+    rows = keyed.select("doc_id", "key", F.posexplode("words").alias("at", "word"))
     rows = rows.withColumn("bucket", F.when(F.col("word") != "", _bucket(F.col("word"))))
     sums = [F.lit(0.0).alias("s0")]
     if weights is not None:
