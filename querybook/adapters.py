@@ -99,22 +99,20 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- nested documents ------------------------------------------------------
 
-FLAGS = ("A", "N", "R")
 SKUS = {"A": "SKU-A", "N": "SKU-N", "R": "DG-002"}
 
 
 def order_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with their lines summed per return flag, in columns: three lines at most per order."""
-    flag = F.col("l_returnflag")
-    sums = []
-    for f in FLAGS:
-        sums += [
-            F.sum(F.when(flag == f, F.col("l_quantity"))).cast("bigint").alias(f"qty_{f}"),
-            F.max(F.when(flag == f, F.col("l_extendedprice"))).cast(MONEY).alias(f"unit_{f}"),
-            F.sum(F.when(flag == f, F.col("l_discount").cast("decimal(12,2)"))).alias(f"disc_{f}"),
-            F.max(F.when(flag == f, F.col("l_tax"))).cast(MONEY).alias(f"tax_{f}"),
-        ]
-    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(*sums)
+    """Orders with all their line items, in the order of the line number."""
+    item = F.struct(
+        F.col("l_linenumber").cast("int").alias("n"),
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_quantity").cast("bigint").alias("qty"),
+        F.col("l_extendedprice").cast(MONEY).alias("unit"),
+        F.col("l_discount").cast("decimal(12,2)").alias("disc"),
+        F.col("l_tax").cast(MONEY).alias("tax"),
+    )
+    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
     return orders_with_customers(spark, folder).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
 
@@ -125,24 +123,54 @@ def _money(amount: Column, code: Column | None = None) -> Column:
     return F.when(amount.isNotNull(), F.struct(F.struct(*parts).alias("shopMoney")))
 
 
-def _line(flag: str, key: Column) -> Column:
-    gid = F.concat(F.lit(f"gid://shop/LineItem/{flag}-"), key)
-    allocation = F.struct(
-        _money(F.col(f"tax_{flag}"), F.lit("USD")).alias("allocatedAmountSet"),
-        F.struct(F.lit("ManualDiscountApplication").alias("__typename"), F.lit(f"Deal {flag}").alias("title")).alias(
-            "discountApplication"
-        ),
+def _line_id(item: Column, key: Column) -> Column:
+    return F.concat(F.lit("gid://shop/LineItem/"), item["n"].cast("string"), F.lit("-"), key)
+
+
+def _sku(item: Column) -> Column:
+    return F.create_map(*[F.lit(x) for pair in SKUS.items() for x in pair])[item["flag"]]
+
+
+def _line(item: Column, key: Column) -> Column:
+    """A line as JSON text; taxed lines have one discount, large ones another."""
+
+    def allocation(amount: Column, title: Column) -> Column:
+        applied = F.struct(F.lit("ManualDiscountApplication").alias("__typename"), title.alias("title"))
+        return F.struct(_money(amount, F.lit("USD")).alias("allocatedAmountSet"), applied.alias("discountApplication"))
+
+    given = F.array_compact(
+        F.array(
+            F.when(item["tax"] > 0, allocation(item["tax"], F.concat(F.lit("Deal "), item["flag"]))),
+            F.when(item["qty"] > 25, allocation(item["disc"].cast(MONEY), F.lit("Bulk"))),
+        )
+    )
+    line = F.struct(
+        _line_id(item, key).alias("id"),
+        F.concat(F.lit("Line "), item["n"].cast("string")).alias("name"),
+        item["qty"].alias("quantity"),
+        _sku(item).alias("sku"),
+        _money(item["unit"], F.lit("USD")).alias("originalUnitPriceSet"),
+        _money(item["disc"]).alias("totalDiscountSet"),
+        F.when(F.size(given) > 0, given).alias("discountAllocations"),
     )
+    return F.to_json(line)
+
+
+def _refund(item: Column, key: Column, date: Column) -> Column:
+    """A returned line as a refund of its own."""
     line = F.struct(
-        gid.alias("id"),
-        F.lit(f"Line {flag}").alias("name"),
-        F.col(f"qty_{flag}").alias("quantity"),
-        F.lit(SKUS[flag]).alias("sku"),
-        _money(F.col(f"unit_{flag}"), F.lit("USD")).alias("originalUnitPriceSet"),
-        _money(F.col(f"disc_{flag}")).alias("totalDiscountSet"),
-        F.when(F.col(f"tax_{flag}") > 0, F.array(allocation)).alias("discountAllocations"),
+        _line_id(item, key).alias("id"),
+        F.concat(F.lit("Line "), item["n"].cast("string")).alias("name"),
+        F.struct(_sku(item).alias("sku")).alias("variant"),
+        _money(item["unit"]).alias("originalUnitPriceSet"),
+    )
+    returned = F.struct(F.struct(item["qty"].alias("quantity"), line.alias("lineItem")).alias("node"))
+    return F.struct(
+        F.concat(F.lit("gid://shop/Refund/"), item["n"].cast("string"), F.lit("-"), key).alias("id"),
+        F.concat(date, F.lit("T20:00:00Z")).alias("createdAt"),
+        _money(item["unit"], F.lit("USD")).alias("totalRefundedSet"),
+        F.struct(F.array(returned).alias("edges")).alias("refundLineItems"),
     )
-    return F.when(F.col(f"qty_{flag}").isNotNull(), F.to_json(line))
 
 
 def created_text(status: Column, day: Column) -> Column:
@@ -171,30 +199,16 @@ def order_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.col("r_name").alias("country"),
         F.concat(F.lit(" "), "c_name", F.lit("\t")).alias("name"),
     )
-    refunded = F.struct(
-        F.concat(F.lit("gid://shop/Refund/"), key).alias("id"),
-        F.concat(date, F.lit("T20:00:00Z")).alias("createdAt"),
-        _money(F.col("unit_R"), F.lit("USD")).alias("totalRefundedSet"),
-        F.struct(
-            F.array(
-                F.struct(
-                    F.struct(
-                        F.col("qty_R").alias("quantity"),
-                        F.struct(
-                            F.concat(F.lit("gid://shop/LineItem/R-"), key).alias("id"),
-                            F.lit("Line R").alias("name"),
-                            F.struct(F.lit(SKUS["R"]).alias("sku")).alias("variant"),
-                            _money(F.col("unit_R")).alias("originalUnitPriceSet"),
-                        ).alias("lineItem"),
-                    ).alias("node")
-                )
-            ).alias("edges")
-        ).alias("refundLineItems"),
-    )
-    nothing = F.lit(0)
-    quantity = sum((F.coalesce(F.col(f"qty_{f}"), nothing) for f in FLAGS), nothing)
-    no_discount = F.lit(0).cast("decimal(12,2)")
-    discounts = sum((F.coalesce(F.col(f"disc_{f}"), no_discount) for f in FLAGS), no_discount)
+    items = F.coalesce("items", F.array().cast("array<struct<n:int,flag:string,qty:bigint,unit:decimal(18,4),disc:decimal(12,2),tax:decimal(18,4)>>"))
+    returned = F.filter(items, lambda i: i["flag"] == "R")
+
+    def total(rows: Column, field: str, kind: str) -> Column:
+        zero = F.lit(0).cast(kind)
+        return F.aggregate(rows, zero, lambda done, i: (done + i[field]).cast(kind))
+
+    quantity = total(items, "qty", "bigint")
+    discounts = total(items, "disc", "decimal(12,2)")
+    refunded = F.when(F.size(returned) > 0, total(returned, "unit", "decimal(18,4)"))
     cancelled = (status == "F") & (priority == "1-URGENT")
     tracking = F.struct(key.alias("number"), F.lit("Carrier").alias("company"))
     payment = F.struct(
@@ -223,19 +237,19 @@ def order_pages(spark: SparkSession, folder: str) -> DataFrame:
         _money(F.col("o_totalprice").cast(MONEY)).alias("subtotalPriceSet"),
         _money(F.when(status != "F", F.lit("12.50"))).alias("totalShippingPriceSet"),
         _money(discounts).alias("totalDiscountsSet"),
-        _money(F.col("tax_A")).alias("totalTaxSet"),
-        _money(F.col("unit_R")).alias("totalRefundedSet"),
+        _money(F.when(F.size(items) > 0, total(items, "tax", "decimal(18,4)"))).alias("totalTaxSet"),
+        _money(refunded).alias("totalRefundedSet"),
         F.when(priority != "5-LOW", customer).alias("customer"),
         shipping.alias("shippingAddress"),
         F.when(F.col("c_acctbal") >= 0, F.struct(F.col("n_name").alias("country"))).alias("billingAddress"),
-        F.when(F.col("qty_R").isNotNull(), F.array(refunded)).alias("refunds"),
+        F.when(F.size(returned) > 0, F.transform(returned, lambda i: _refund(i, key, date))).alias("refunds"),
         F.when(status == "F", F.array(F.struct(F.lit("SUCCESS").alias("status"), F.array(tracking).alias("trackingInfo")))).alias(
             "fulfillments"
         ),
         F.array(payment).alias("transactions"),
         F.struct(F.array(field).alias("edges")).alias("metafields"),
     )
-    lines = F.concat_ws(",", *[_line(f, key) for f in FLAGS], F.when(status == "O", F.lit("7")))
+    lines = F.concat_ws(",", F.transform(items, lambda i: _line(i, key)), F.when(status == "O", F.lit("7")))
     # The lines are spliced into the node as text, so that a list item that is no object can be among them.
     node_text = F.concat(F.lit('{"lineItems":{"nodes":['), lines, F.lit("]},"), F.substring(F.to_json(node), 2, 2**31 - 1))
     document = F.concat(

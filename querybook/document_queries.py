@@ -65,9 +65,12 @@ def wide_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {sql.LINES} SELECT 'gid://shop/Order/' || l_orderkey AS shopify_gid, position, sku, qty AS quantity,
-  'ManualDiscountApplication' AS type, 'Deal ' || flag AS title, CAST(NULL AS VARCHAR) AS code, CAST(tax AS DOUBLE) AS amount,
-  'USD' AS currency FROM placed JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE tax > 0"""
+    f"""WITH {sql.LINES}, given AS (
+  SELECT l_orderkey, position, sku, qty, 'Deal ' || flag AS title, tax AS amount FROM placed WHERE tax > 0
+  UNION ALL SELECT l_orderkey, position, sku, qty, 'Bulk', disc FROM placed WHERE qty > 25)
+SELECT 'gid://shop/Order/' || l_orderkey AS shopify_gid, position, sku, qty AS quantity, 'ManualDiscountApplication' AS type, title,
+  CAST(NULL AS VARCHAR) AS code, CAST(amount AS DOUBLE) AS amount, 'USD' AS currency
+FROM given JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
 )
 def wide_discounts(spark: SparkSession, folder: str) -> DataFrame:
     """The discount list of the wide table, read back from its JSON text."""
@@ -110,7 +113,7 @@ _KNOWN = "JOIN customer ON o_custkey = c_custkey"
 
 @query(
     f"""WITH {sql.LINES} SELECT 'gid://shop/Order/' || o_orderkey AS shopify_gid, o_orderkey AS legacy_order_id, position,
-  'gid://shop/LineItem/' || flag || '-' || o_orderkey AS line_id, 'Line ' || flag AS line_name, sku, qty AS quantity,
+  'gid://shop/LineItem/' || n || '-' || o_orderkey AS line_id, 'Line ' || n AS line_name, sku, qty AS quantity,
   CAST(coalesce(unit, 0) AS DOUBLE) AS unit_price, CAST(coalesce(disc, 0) AS DOUBLE) AS total_discount
 FROM orders {_KNOWN} LEFT JOIN placed ON l_orderkey = o_orderkey"""
 )
@@ -124,8 +127,8 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""WITH {sql.LINES} SELECT 'gid://shop/Order/' || o_orderkey AS shopify_gid, o_orderkey AS legacy_order_id,
-  'gid://shop/Refund/' || o_orderkey AS refund_id, strftime(o_orderdate, '%Y-%m-%d') || 'T20:00:00Z' AS refunded_at,
-  CAST(unit AS DOUBLE) AS refund_total, 'gid://shop/LineItem/R-' || o_orderkey AS line_id, 'Line R' AS line_name, 'DG-002' AS sku,
+  'gid://shop/Refund/' || n || '-' || o_orderkey AS refund_id, strftime(o_orderdate, '%Y-%m-%d') || 'T20:00:00Z' AS refunded_at,
+  CAST(unit AS DOUBLE) AS refund_total, 'gid://shop/LineItem/' || n || '-' || o_orderkey AS line_id, 'Line ' || n AS line_name, 'DG-002' AS sku,
   qty AS quantity, CAST(unit AS DOUBLE) AS unit_price
 FROM orders {_KNOWN} JOIN lines ON l_orderkey = o_orderkey WHERE flag = 'R'"""
 )

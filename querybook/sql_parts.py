@@ -121,17 +121,16 @@ SALES_OUT = """order_month, currency_code, order_count, customer_count,
 # ---- nested documents ----
 
 LINES = """lines AS (
-  SELECT l_orderkey, l_returnflag AS flag, CAST(sum(l_quantity) AS BIGINT) AS qty,
-    CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS unit, sum(CAST(l_discount AS DECIMAL(12,2))) AS disc,
-    CAST(max(l_tax) AS DECIMAL(18,2)) AS tax,
-    CASE l_returnflag WHEN 'A' THEN 'SKU-A' WHEN 'N' THEN 'SKU-N' ELSE 'DG-002' END AS sku
-  FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY l_orderkey, l_returnflag),
+  SELECT l_orderkey, l_linenumber AS n, l_returnflag AS flag, CAST(l_quantity AS BIGINT) AS qty,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS unit, CAST(l_discount AS DECIMAL(12,2)) AS disc, CAST(l_tax AS DECIMAL(18,2)) AS tax,
+    CASE l_returnflag WHEN 'A' THEN 'SKU-A' WHEN 'N' THEN 'SKU-N' WHEN 'R' THEN 'DG-002' END AS sku
+  FROM lineitem),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY flag) - 1 AS position FROM lines),
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n, flag, qty, unit, disc, tax) - 1 AS position FROM lines),
 sums AS (
   SELECT l_orderkey, sum(qty) AS qty, sum(disc) AS disc,
     sum(unit * qty) FILTER (flag <> 'R') AS product_amount, sum(disc * qty) FILTER (flag <> 'R') AS product_discount,
-    max(tax) FILTER (flag = 'A') AS tax, max(unit) FILTER (flag = 'R') AS refunded
+    sum(tax) AS tax, sum(unit) FILTER (flag = 'R') AS refunded
   FROM lines GROUP BY l_orderkey)"""
 
 
