@@ -156,7 +156,6 @@ class PublishedTable:
     source: str
     columns: tuple[str, ...]
     key: tuple[str, ...]
-    sort: tuple[str, ...]
     audit: tuple[str, ...] = ("etl_processed_at",)
 
     def target(self, prefix: str = "") -> str:
@@ -176,24 +175,24 @@ RAW_AUDIT = ("source_system", "etl_loaded_at")
 
 # Parents first; deleting runs the other way round.
 PUBLISHED: tuple[PublishedTable, ...] = (
-    PublishedTable("raw", "customers_raw", "raw_customers", CUSTOMER_COLUMNS, ("customer_id",), ("customer_id",), RAW_AUDIT),
-    PublishedTable("raw", "orders_raw", "raw_orders", RAW_ORDER_COLUMNS, ("order_id",), ("order_id",), RAW_AUDIT),
-    PublishedTable("stg", "customers_clean", "stg_customers", CUSTOMER_COLUMNS, ("customer_id",), ("customer_id",)),
-    PublishedTable("stg", "orders_clean", "stg_orders", ORDER_COLUMNS, ("order_id",), ("order_id",)),
-    PublishedTable("dw", "dim_customers", "dim_customers", CUSTOMER_COLUMNS, ("customer_id",), ("customer_id",)),
-    PublishedTable("dw", "fact_orders", "fact_orders", ORDER_COLUMNS, ("order_id",), ("order_id",)),
-    PublishedTable("mart", "sales_summary", "mart_sales_summary", SUMMARY_COLUMNS, ("summary_key",), ("summary_key",)),
+    PublishedTable("raw", "customers_raw", "raw_customers", CUSTOMER_COLUMNS, ("customer_id",), RAW_AUDIT),
+    PublishedTable("raw", "orders_raw", "raw_orders", RAW_ORDER_COLUMNS, ("order_id",), RAW_AUDIT),
+    PublishedTable("stg", "customers_clean", "stg_customers", CUSTOMER_COLUMNS, ("customer_id",)),
+    PublishedTable("stg", "orders_clean", "stg_orders", ORDER_COLUMNS, ("order_id",)),
+    PublishedTable("dw", "dim_customers", "dim_customers", CUSTOMER_COLUMNS, ("customer_id",)),
+    PublishedTable("dw", "fact_orders", "fact_orders", ORDER_COLUMNS, ("order_id",)),
+    PublishedTable("mart", "sales_summary", "mart_sales_summary", SUMMARY_COLUMNS, ("summary_key",)),
     PublishedTable(
         "mart", "daily_sales", "mart_daily_sales", DAILY_COLUMNS,
-        ("order_date", "currency_code"), ("order_date", "currency_code"),
+        ("order_date", "currency_code"),
     ),
     PublishedTable(
         "mart", "city_sales", "mart_city_sales", CITY_COLUMNS,
-        ("city", "order_month", "currency_code"), ("city", "order_month", "currency_code"),
+        ("city", "order_month", "currency_code"),
     ),
     PublishedTable(
         "mart", "customer_level_sales", "mart_customer_level_sales", LEVEL_COLUMNS,
-        ("customer_level", "order_month", "currency_code"), ("customer_level", "order_month", "currency_code"),
+        ("customer_level", "order_month", "currency_code"),
     ),
 )
 

@@ -25,7 +25,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,7 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in JOB_SETTINGS.items():
+    for key, value in (JOB_SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,9 +17,10 @@ DATA = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8, shuffle_partitions=4)
     if session.conf.get("spark.checkpoint.dir", None) is None:
-        import tempfile
-
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesloom-tests-"))
+        # A setting of the context: it must be there when the session is made.
+        session.stop()
+        shared = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="salesloom-tests-")}
+        session = local_session(8, shuffle_partitions=4, settings=shared)
     yield session
     session.stop()
 
