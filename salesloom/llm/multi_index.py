@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from salesloom.llm.common import written
 
 # Centroids of a half: so many that a cell holds CELL_VECTORS on average, within these bounds.
-CELL_VECTORS = 40
+CELL_VECTORS = 400
 LEAST_CENTROIDS, MOST_CENTROIDS = 8, 256
 SAMPLE = 20_000
 STEPS = 12
@@ -191,16 +191,15 @@ def _compare(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({c: [] for c in columns}).astype({"query_key": "str", "vec_id": "int64", "score": "float64"})
     ids = vectors["vec_id"].to_numpy()
     order = np.argsort(ids, kind="stable")
-    ids, v = ids[order], np.stack(vectors["vector"].to_list())[order].astype(np.float64)
-    out = []
-    v = unit(v)
-    for key, q in zip(queries["query_key"], unit(np.stack(queries["query"].to_list()).astype(np.float64))):
-        # Sums in the order of the components: the same for a pair in whichever block it meets.
-        scores = np.einsum("ij,j->i", v, q)
-        # Ids ascend, so a stable order gives ties to the smaller id. One more than asked: the query itself may be among them.
-        best = np.argsort(-scores, kind="stable")[: NEIGHBOURS + 1]
-        out.append(pd.DataFrame({"query_key": key, "vec_id": ids[best], "score": np.clip(scores[best], -1.0, 1.0)}))
-    return pd.concat(out, ignore_index=True)
+    ids, v = ids[order], unit(np.stack(vectors["vector"].to_list())[order].astype(np.float64))
+    q = unit(np.stack(queries["query"].to_list()).astype(np.float64))
+    # Plain sums over the components: the same for a pair in whichever block it meets.
+    scores = np.einsum("qd,vd->qv", q, v, optimize=False)
+    # Ids ascend, so a stable order gives ties to the smaller id. One more than asked: the query itself may be among them.
+    best = np.argsort(-scores, axis=1, kind="stable")[:, : NEIGHBOURS + 1]
+    near = np.clip(np.take_along_axis(scores, best, axis=1), -1.0, 1.0)
+    keys = np.repeat(queries["query_key"].to_numpy(), best.shape[1])
+    return pd.DataFrame({"query_key": keys, "vec_id": ids[best].reshape(-1), "score": near.reshape(-1)})
 
 
 def search(table: DataFrame, is_query: Column) -> DataFrame:
