@@ -46,6 +46,7 @@ FRAGMENT_BITS = 3
 FRAGMENTS = 1 << FRAGMENT_BITS
 STAR_ROUNDS = 2
 CHUNK_BYTES = 4_000_000
+BLOOM_FROM = "32MB"
 LONG_WORD = 256
 
 # Random odd numbers and byte codes, fixed by a seed.
@@ -290,13 +291,18 @@ def classes(documents: DataFrame, rule: Rule) -> DataFrame:
     held = members.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     firsts = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"))
     others = written(alone(members, rule), "ngram-alone")
-    chosen = firsts.groupBy(F.col("first").alias("doc_id")).agg(F.min("key").alias("wanted"))
-    chosen = written(chosen.join(others, "doc_id", "left_anti"), "ngram-chosen")
-    # The rows stay where the join put them: the last step needs no exchange of its own.
+    chosen = firsts.groupBy(F.col("first").alias("doc_id")).agg(F.min("key").alias("wanted"), F.min("n").alias("n"))
+    chosen = written(chosen.join(others, "doc_id", "left_anti"), "ngram-chosen").filter("n > 0").select("doc_id", "wanted")
+    # Few documents are left. Where their ids make a small Bloom filter, Spark applies it before it moves any text.
+    documents.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", BLOOM_FROM)
     texts = documents.select("doc_id", whole().alias("text")).join(chosen, "doc_id")
-    sets = texts.select(F.col("doc_id").alias("id"), "wanted", hashed_sets(rule, "all")(F.col("text")).alias("s"))
+    # Not deterministic for the optimizer: it would hash all texts before the join to compare keys in it.
+    hashed = hashed_sets(rule, "all").asNondeterministic()
+    sets = texts.select(F.col("doc_id").alias("id"), "wanted", hashed(F.col("text")).alias("s"))
     sets = sets.filter(F.col("s.key") == F.col("wanted")).select("id", F.col("s.n").alias("n"), F.col("s.hashes").alias("hashes"))
-    sets = written(sets.dropDuplicates(["id"]), "ngram-sets")
+    if not held.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["id"])
+    sets = written(sets, "ngram-sets")
     labels = links_between_sets(sets, rule)
     if labels is None:
         grouped = firsts.select("key", F.col("first").alias("component"))
