@@ -6,8 +6,8 @@ the sum over all its tokens of the log-probability given both sides.
 
 The vocabulary holds the most frequent words, counted over the whole corpus by a Spark aggregation, and hashed buckets for
 all other words. Training is data-parallel over all documents: in each round every task starts from the same parameters,
-masks a share of its positions (another share each round) and trains on them in numpy; Spark averages the parameters of all
-tasks, weighted by their positions. What a task sends is the size of the model, and the model is what the driver and
+masks a share of its positions (another share each round, until all were masked) and trains on them in numpy; Spark averages
+the parameters of all tasks, weighted by their positions. What a task sends is the size of the model, and the model is what the driver and
 the broadcasts hold; the corpus counts stay in Spark.
 
 Defined cases: null and empty texts have no tokens and score 0 (per token: null); equal counts enter the vocabulary in the order of
@@ -31,9 +31,8 @@ CLASSES, MEMBERS = 32, 32
 WORDS = 767
 SIDE = 2
 EMBEDDING, HIDDEN = 12, 24
+# A round masks one position in ROUNDS, each round another phase: all rounds together train on every position once.
 ROUNDS = 2
-# One position of so many is masked in a round.
-MASK_EVERY = 20
 TRAIN_BATCH, SCORE_BATCH = 1024, 16384
 RATE = 0.1
 SEED = 17
@@ -199,7 +198,7 @@ def _trainer(shared, round_: int):
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     ids = vocabulary.ids(text)
-                    at = np.arange((zlib.crc32(text[:64].encode("utf-8", "replace")) + round_) % MASK_EVERY, len(ids), MASK_EVERY)
+                    at = np.arange((zlib.crc32(text[:64].encode("utf-8", "replace")) + round_) % ROUNDS, len(ids), ROUNDS)
                     if len(at):
                         yield windows(ids)[at], ids[at]
 

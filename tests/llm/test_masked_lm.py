@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+from collections import Counter
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 
 from salesloom.llm import common, masked_lm
 from tests.conftest import DATA
@@ -44,6 +48,24 @@ def test_scores_are_sums_over_tokens(monkeypatch):
         assert abs(total - want) < 1e-3
 
 
+def test_rounds_train_on_every_position(monkeypatch):
+    trained = Counter()
+
+    def count(network, rows):
+        trained.update(k for _, targets in rows for k in targets.tolist())
+        return 0
+
+    monkeypatch.setattr(masked_lm, "train_on", count)
+    words = [f"w{k}" for k in range(60)]
+    vocabulary = masked_lm.Vocabulary(words)
+    texts = [" ".join(words[:41]), words[41], "", " ".join(words[42:45]), " ".join(words[45:])]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    for round_ in range(masked_lm.ROUNDS):
+        shared = SimpleNamespace(value=(vocabulary, masked_lm.WindowNetwork().flat))
+        assert not list(masked_lm._trainer(shared, round_)(iter([batch])))
+    assert trained == Counter(range(1, 61))
+
+
 def test_learning_helps_on_texts_it_has_not_seen(spark):
     common.prepared(spark)
     documents = spark.read.parquet(f"{DATA}/documents.parquet")
