@@ -4,7 +4,9 @@ Public vocabularies measure every text: characters per token and share of byte-f
 pieces), characters per token of a byte-level vocabulary, and the entropy of the tokens, divided by the entropy of as many
 different ones. The corpus gives the rejection bands: for each language (or, without one, each script) the quartiles
 of a measure, widened on both sides. A document outside a band of its group is rejected with the measure's name.
-Groups with few documents use the bands of the whole table.
+A group of n documents has its own quartiles with the weight n / (n + k), the rest is those of its script (the script of most
+of its documents), at every size. k is SHRINK for a group that lies where its script does, and falls with the square of
+their distance in quartile distances: what clearly differs from its script is not pulled towards it.
 
 Base figures: words are runs without ASCII white space; repeated words are those inside three-word windows that occur
 twice or more in the text; repeated lines are lines with a word that equal an earlier line.
@@ -33,8 +35,8 @@ REPEAT_PERCENT = 50
 WIDENING = 2.5
 SPREAD_TOKENS = 600
 LEAST_SPREAD = {"chars_per_token": 0.02, "chars_per_byte_token": 0.02, "byte_share": 0.002, "entropy_share": 0.02}
-# Groups with fewer documents than this take the bands of the whole table.
-SMALL_GROUP = 200
+# The quartiles of a group's script count as so many documents at most.
+SHRINK = 10
 
 MEASURES = tuple(LEAST_SPREAD)
 FIGURES = (
@@ -50,6 +52,8 @@ _SCRIPTS = (
     (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "other"),
 )
 
+_STARTS, _NAMES = np.array([p for p, _ in _SCRIPTS]), np.array([n for _, n in _SCRIPTS])
+
 
 def repeated_words(words: list[bytes]) -> int:
     """Words inside three-word windows that occur twice or more."""
@@ -76,12 +80,15 @@ def repeated_lines(text: bytes) -> int:
 
 def script_of(text: str) -> str:
     """The script of most letters, by ranges of code points; ties to the first name."""
-    points = np.frombuffer("".join(c for c in text if c.isalpha()).encode("utf-32-le"), np.uint32)
+    if text.isascii():
+        return "latin" if any(map(str.isalpha, set(text))) else "none"
+    counts = np.bincount(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64))
+    points = np.array(sorted(ord(c) for c in set(text) if c.isalpha()), np.int64)
     if not len(points):
         return "none"
-    place = np.searchsorted([p for p, _ in _SCRIPTS], points, side="right") - 1
-    names, counts = np.unique(np.array([n for _, n in _SCRIPTS])[place], return_counts=True)
-    return str(names[counts.argmax()])
+    place = np.searchsorted(_STARTS, points, side="right") - 1
+    names, place = np.unique(_NAMES[place], return_inverse=True)
+    return str(names[np.bincount(place, counts[points]).argmax()])
 
 
 @lru_cache(maxsize=2)
@@ -106,7 +113,7 @@ def entropy_share(ids: np.ndarray) -> float:
     return float(-(shares * np.log2(shares)).sum() / np.log2(len(ids)))
 
 
-def _measure(text: str, label: str | None, pieces, bytes_of, byte_level) -> tuple:
+def _measure(text: str, pieces, bytes_of, byte_level) -> tuple:
     raw = text.encode()
     words = raw.split()
     data = np.frombuffer(raw, np.uint8)
@@ -125,48 +132,59 @@ def _measure(text: str, label: str | None, pieces, bytes_of, byte_level) -> tupl
         chars / others if others else 0.0,
         float(bytes_of[ids].mean()) if len(ids) else 0.0,
         entropy_share(ids),
-        None if label is not None else script_of(text),
+        script_of(text),
     )
 
 
-def measured(piece_path: str, rank_path: str, pattern: str, text: Column, label: Column) -> Column:
-    """All figures of a text; the script only where there is no label."""
+def measured(piece_path: str, rank_path: str, pattern: str, text: Column) -> Column:
+    """All figures of a text."""
 
     @F.arrow_udf(FIGURES)
-    def measure(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tools = _vocabularies(piece_path, rank_path, pattern)
         names = [part.partition(":")[0] for part in FIGURES[7:-1].split(",")]
         kinds = [pa.int64()] * 6 + [pa.float64()] * 4 + [pa.string()]
-        for texts, labels in batches:
-            rows = [_measure(t, g, *tools) for t, g in zip(texts.to_pylist(), labels.to_pylist())]
+        for texts in batches:
+            rows = [_measure(t, *tools) for t in texts.to_pylist()]
             columns = list(zip(*rows)) if rows else [[]] * len(names)
             yield pa.StructArray.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
-    return measure(text, label)
+    return measure(text)
 
 
-def bands(figures: DataFrame) -> DataFrame:
-    """For each group and for the whole table (all_rows 1): count and quartiles of each measure over rows that pass the base rule."""
+def _quartiles(passing: DataFrame, key: str) -> DataFrame:
+    """For each value of a column: count n and quartiles of each measure."""
     quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 2000).alias(m) for m in MEASURES]
-    grouped = figures.filter(~F.col("base_failed")).rollup("group").agg(
-        F.grouping("group").alias("all_rows"), F.count("*").alias("n"), *quartiles
-    )
     edges = [F.col(m)[k].alias(f"{m}_{side}") for m in MEASURES for k, side in enumerate(("low", "high"))]
-    return grouped.select("group", "all_rows", "n", *edges)
+    return passing.groupBy(key).agg(F.count("*").alias("n"), *quartiles).select(key, "n", *edges)
+
+
+def bands(figures: DataFrame) -> DataFrame:
+    """For each group its quartiles of each measure over rows that pass the base rule, shrunk to those of its script."""
+    passing = figures.filter(~F.col("base_failed"))
+    most = passing.groupBy("group", "script").agg(F.count("*").alias("rows"))
+    most = most.groupBy("group").agg(F.min(F.struct(-F.col("rows"), "script"))["script"].alias("script"))
+    own, wide = _quartiles(passing, "group").alias("own"), _quartiles(passing, "script").alias("wide")
+    shrunk = []
+    for m in MEASURES:
+        low, high, wide_low, wide_high = (F.col(f"{t}.{m}_{side}") for t in ("own", "wide") for side in ("low", "high"))
+        spread = F.greatest(high - low, wide_high - wide_low, F.lit(LEAST_SPREAD[m]))
+        apart = (low + high - wide_low - wide_high) / 2 / spread
+        share = F.col("own.n") / (F.col("own.n") + SHRINK / (1 + apart * apart))
+        shrunk += [(wide_low + share * (low - wide_low)).alias(f"{m}_low"), (wide_high + share * (high - wide_high)).alias(f"{m}_high")]
+    return own.join(most, "group").join(wide, "script").select("group", *shrunk)
 
 
 def judged(figures: DataFrame) -> DataFrame:
     """Add kept and reason: the base rule first, then the bands of the document's group."""
-    edges = bands(figures)
-    names = [c for c in edges.columns if c.endswith(("_low", "_high"))]
-    own = edges.filter((F.col("all_rows") == 0) & (F.col("n") >= SMALL_GROUP)).select("group", *names)
-    # One row: the edges of the whole table, as literals.
-    rest = edges.filter(F.col("all_rows") == 1).first()
-    joined = figures.join(own, "group", "left")
+    # One row a group: written, its size is known and the figures need not move.
+    edges = written(bands(figures), "fertility-bands")
+    names = [c for c in edges.columns if c != "group"]
+    joined = figures.join(edges, "group", "left")
     wider = F.lit(WIDENING) * F.sqrt(1 + SPREAD_TOKENS / F.greatest("n_tokens", F.lit(1)))
     reason = F.when(F.col("n_words") < MIN_WORDS, "too few words").when(F.col("base_failed"), "repeated words")
     for m in MEASURES:
-        low, high = (F.coalesce(F.col(f"{m}_{side}"), F.lit(rest[f"{m}_{side}"] if rest else None)) for side in ("low", "high"))
+        low, high = F.col(f"{m}_low"), F.col(f"{m}_high")
         width = wider * F.greatest(high - low, F.lit(LEAST_SPREAD[m]))
         reason = reason.when(F.col(m) < low - width, f"{m} too low").when(F.col(m) > high + width, f"{m} too high")
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).drop(*names)
@@ -174,10 +192,10 @@ def judged(figures: DataFrame) -> DataFrame:
 
 def verdicts(documents: DataFrame, piece_path: str, rank_path: str, pattern: str) -> DataFrame:
     """doc_id, every figure, group, base_failed, reason and kept for each document (columns doc_id, text, lang)."""
-    figures = documents.select("doc_id", "lang", measured(piece_path, rank_path, pattern, whole(), F.col("lang")).alias("f"))
+    figures = documents.select("doc_id", "lang", measured(piece_path, rank_path, pattern, whole()).alias("f"))
     figures = figures.select("doc_id", "lang", "f.*").select(
         "*",
         F.coalesce(F.col("lang"), F.concat(F.lit("script "), F.col("script"))).alias("group"),
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
     )
-    return judged(written(figures.drop("lang", "script"), "fertility"))
+    return judged(written(figures.drop("lang"), "fertility")).drop("script")

@@ -58,6 +58,23 @@ def test_odd_texts_leave_the_bands(spark):
     assert sum(found[k]["kept"] for k in range(260)) >= 255
 
 
+def test_verdicts_of_a_small_clean_group_stay(spark):
+    common.prepared(spark)
+    chance = random.Random(4)
+    english = "the of and was people there which other about number water called who sound words first most very after".split()
+    polish = "że się książka również wszystko człowiek między które będzie żeby szczęście źródło dzień łąka świat trzeba".split()
+    greek = "και το βιβλίο είναι άνθρωπος μεταξύ κόσμος ημέρα πηγή ευτυχία όταν πρέπει νερό θάλασσα λέξη φωνή".split()
+
+    def made(first, n, words, lang):
+        return [(first + k, " ".join(chance.choice(words) for _ in range(chance.randint(90, 150))), lang, "x") for k in range(n)]
+
+    small = made(1000, 60, polish, "pl") + made(2000, 12, greek, "el") + made(3000, 4, greek, None)
+    alone = {r["doc_id"]: r["kept"] for r in verdicts(spark, small).collect()}
+    among = {r["doc_id"]: r["kept"] for r in verdicts(spark, small + made(0, 400, english, "en")).collect()}
+    assert all(alone.values())
+    assert all(among[k] for k in alone)
+
+
 def test_entropy_share():
     assert fertility.entropy_share(np.array([1])) == 1.0
     assert fertility.entropy_share(np.array([1, 1, 1, 1])) == 0.0
