@@ -4,8 +4,9 @@ The network predicts a token from the two tokens before and the two behind it: t
 two-level softmax gives exact probabilities (first the token's class, then the token within its class). A document's score is
 the sum over all its tokens of the log-probability given both sides.
 
-The vocabulary holds the most frequent words, counted over the whole corpus by a Spark aggregation, and hashed buckets for
-all other words. Training is data-parallel over all documents: in each round every task starts from the same parameters,
+The network's ids are the most frequent words, counted over the whole corpus by a Spark aggregation, and hashed buckets for
+all other words. A word in a bucket has the bucket's probability times its share of the bucket's tokens, so every word of the
+corpus has a probability of its own. The counts and shares of all words are tables; scoring joins them to the bucketed words. Training is data-parallel over all documents: in each round every task starts from the same parameters,
 masks a share of its positions (another share each round, until all were masked) and trains on them in numpy; Spark averages
 the parameters of all tasks, weighted by their positions. What a task sends is the size of the model, and the model is what the driver and
 the broadcasts hold; the corpus counts stay in Spark.
@@ -17,6 +18,7 @@ the words; repeated rows train as often as they occur; extra columns are ignored
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import whole
+from salesloom.llm.common import whole, written
 
 # Classes x members is the size of the vocabulary: 0 pads the ends, then words, then buckets.
 CLASSES, MEMBERS = 32, 32
@@ -69,17 +71,41 @@ class Vocabulary:
                 memory[word] = 1 + WORDS + zlib.crc32(word.encode("utf-8", "replace")) % buckets if known is None else known
         return np.fromiter(map(memory.__getitem__, words), np.int64, len(words))
 
+    def bucketed(self, text: str) -> Counter[str]:
+        """The words of a text that only have a bucket, with their counts."""
+        return Counter(w for w in text.lower().split() if w not in self.known)
+
     def __reduce__(self):
         return Vocabulary, (sorted(self.known, key=self.known.get),)
 
 
-def frequent_words(documents: DataFrame) -> list[str]:
-    """The WORDS most frequent words of all texts."""
-    words = documents.select(F.explode(F.split(F.lower(whole()), r"\s+")).alias("word")).filter("word <> ''")
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts: Counter[str] = Counter()
+        for text in batch.column(0).to_pylist():
+            counts.update(text.lower().split())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """Every word of all texts with its count, split as the network's ids are."""
+    words = documents.select(whole().alias("text")).mapInArrow(_count, "word string, n bigint")
+    return written(words.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+
+
+def frequent_words(counts: DataFrame) -> list[str]:
+    """The WORDS most frequent words."""
     return [r["word"] for r in counts.orderBy(F.col("n").desc(), "word").limit(WORDS).collect()]
 
 
+def log_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """word, log_share: of every word in a bucket, the log of its share of the bucket's tokens."""
+    bucket = F.crc32(F.col("word").cast("binary")) % (SIZE - 1 - WORDS)
+    rare = counts.filter(~F.col("word").isin(list(vocabulary.known))).withColumn("bucket", bucket)
+    totals = rare.groupBy("bucket").agg(F.sum("n").alias("total"))
+    return rare.join(totals, "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("log_share"))
+
+
 def windows(ids: np.ndarray) -> np.ndarray:
     """The tokens around each position, 0 beyond the ends."""
     padded = np.concatenate([np.zeros(SIDE, np.int64), ids, np.zeros(SIDE, np.int64)])
@@ -216,11 +242,11 @@ def _trainer(shared, round_: int):
     return train
 
 
-def learn(documents: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and network parameters from all texts."""
+def learn(documents: DataFrame, counts: DataFrame | None = None) -> tuple[Vocabulary, np.ndarray]:
+    """Vocabulary and network parameters from all texts; counts: their words, if already counted."""
     spark = documents.sparkSession
     texts = documents.select(whole().alias("text"))
-    vocabulary, values = Vocabulary(frequent_words(documents)), WindowNetwork().flat
+    vocabulary, values = Vocabulary(frequent_words(word_counts(documents) if counts is None else counts)), WindowNetwork().flat
     for round_ in range(ROUNDS):
         shared = spark.sparkContext.broadcast((vocabulary, values))
         parts = texts.mapInArrow(_trainer(shared, round_), "place int, value double, weight double")
@@ -246,14 +272,30 @@ def score_texts(vocabulary: Vocabulary, network: WindowNetwork, texts: list[str]
 
 
 def scored(spark: SparkSession, vocabulary: Vocabulary, values: np.ndarray, text: Column) -> Column:
-    """n_tokens and log_likelihood of a text column."""
+    """n_tokens, log_likelihood of the ids, and the words in buckets of a text column."""
     shared = spark.sparkContext.broadcast((vocabulary, values))
 
-    @F.arrow_udf("struct<n_tokens:bigint,log_likelihood:double>")
+    @F.arrow_udf("struct<n_tokens:bigint,log_likelihood:double,bucketed:array<struct<word:string,n:bigint>>>")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary, network = shared.value[0], WindowNetwork(shared.value[1])
         for batch in batches:
-            counts, sums = score_texts(vocabulary, network, [t or "" for t in batch.to_pylist()])
-            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], ["n_tokens", "log_likelihood"])
+            texts = [t or "" for t in batch.to_pylist()]
+            counts, sums = score_texts(vocabulary, network, texts)
+            rare = [[{"word": w, "n": n} for w, n in vocabulary.bucketed(t).items()] for t in texts]
+            kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+            columns = [pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(rare, kind)]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "log_likelihood", "bucketed"])
 
     return score(text)
+
+
+def likelihoods(documents: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and log_likelihood of every document under a model learned from all of them."""
+    counts = word_counts(documents)
+    vocabulary, values = learn(documents, counts)
+    found = documents.select("doc_id", scored(documents.sparkSession, vocabulary, values, F.col("text")).alias("f"))
+    found = written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.*"), "lm-scored")
+    words = found.select("row", F.explode("bucketed").alias("b")).select("row", "b.*")
+    inside = words.join(log_shares(counts, vocabulary), "word").groupBy("row").agg(F.sum(F.col("n") * F.col("log_share")).alias("inside"))
+    total = F.col("log_likelihood") + F.coalesce("inside", F.lit(0.0))
+    return found.join(inside, "row", "left").select("doc_id", "n_tokens", total.alias("log_likelihood"))

@@ -127,10 +127,8 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Summed conditional log-probability of every document under a network trained on all of them."""
     documents = common.table(spark, folder, "documents").select("doc_id", "text")
-    vocabulary, values = masked_lm.learn(documents)
-    found = documents.select("doc_id", masked_lm.scored(spark, vocabulary, values, F.col("text")).alias("f"))
-    per_token = F.when(F.col("f.n_tokens") > 0, F.col("f.log_likelihood") / F.col("f.n_tokens"))
-    return found.select("doc_id", "f.n_tokens", "f.log_likelihood", per_token.alias("per_token"))
+    per_token = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return masked_lm.likelihoods(documents).withColumn("per_token", per_token)
 
 
 @query()

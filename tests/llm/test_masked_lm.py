@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from types import SimpleNamespace
 
@@ -7,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from salesloom.llm import common, masked_lm
+from salesloom.llm.queries import QUERIES
 from tests.conftest import DATA
 
 
@@ -66,6 +68,20 @@ def test_rounds_train_on_every_position(monkeypatch):
     assert trained == Counter(range(1, 61))
 
 
+def test_words_of_one_bucket_have_their_own_probability(spark, folder):
+    buckets = {}
+    for k in range(300):
+        buckets.setdefault(zlib.crc32(b"r%d" % k) % (masked_lm.SIZE - 1 - masked_lm.WORDS), []).append(f"r{k}")
+    x, y = next(words for words in buckets.values() if len(words) > 1)[:2]
+    rows = [(1, " ".join(f"f{k}" for k in range(masked_lm.WORDS) for _ in range(4)))]
+    rows += [(2, f"f0 f1 {x} f2 f3"), (3, f"f0 f1 {y} f2 f3"), (4, x), (5, x), (None, "f0"), (6, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    found = {r["doc_id"]: r for r in QUERIES["op4_masked_lm"](spark, folder).collect()}
+    assert len(found) == len(rows)
+    assert abs(found[2]["log_likelihood"] - found[3]["log_likelihood"] - np.log(3)) < 1e-4
+    assert found[6]["log_likelihood"] == 0 and found[6]["per_token"] is None
+
+
 def test_learning_helps_on_texts_it_has_not_seen(spark):
     common.prepared(spark)
     documents = spark.read.parquet(f"{DATA}/documents.parquet")
