@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, masked_lm, mixing, multi_index, ngram_join, personal_data, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, masked_lm, mixing, multi_index, ngram_join, periodic, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +156,10 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "rate",
         mixing.copies_of(F.col("rate"), F.col("doc_id"), F.col("key")).alias("times"),
     )
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words in every document, its strongest one, and the text without their repetitions, as digests."""
+    found = periodic.periodic(common.table(spark, folder, "documents"), prepare=periodic.with_period, digests_only=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "n_words")
