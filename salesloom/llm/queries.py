@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, masked_lm, mixing, multi_index, ngram_join, periodic, personal_data, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, masked_lm, merkle, mixing, multi_index, ngram_join, periodic, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,3 +163,80 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of words in every document, its strongest one, and the text without their repetitions, as digests."""
     found = periodic.periodic(common.table(spark, folder, "documents"), prepare=periodic.with_period, digests_only=True)
     return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "n_words")
+
+
+# CRC-32 of the decimal digits of doc_id, bit by bit; leaves; levels of both trees; then proof and folding along each row's way.
+MERKLE_SQL = """
+WITH RECURSIVE rows_ AS (
+    SELECT doc_id, lang, coalesce(lang IS NULL, false) AS no_lang,
+        list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+            lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)::BIGINT[]), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)
+        ) AS crc,
+        coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+            || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-') AS head,
+        n_chars, coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS tail
+    FROM documents
+), leaves AS (
+    SELECT doc_id, lang, no_lang, sha256(head || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') || tail) AS leaf,
+        CASE WHEN xor(crc, 4294967295) % 7 = 0
+            THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR)::VARCHAR || ':' || (n_chars + 1)::VARCHAR, '-') || tail) END AS changed
+    FROM rows_
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY no_lang, lang ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY no_lang, lang) AS n,
+        dense_rank() OVER (ORDER BY CASE WHEN no_lang THEN '' ELSE '=' || lang END) AS g
+    FROM leaves
+), tree AS (
+    SELECT g, 0 AS level, pos, n AS nodes, leaf AS digest FROM placed
+    UNION ALL
+    SELECT l.g, l.level + 1, l.pos // 2, (l.nodes + 1) // 2, sha256(l.digest || coalesce(l.behind, ''))
+    FROM (SELECT *, lead(digest) OVER (PARTITION BY g ORDER BY pos) AS behind FROM tree WHERE nodes > 1) l
+    WHERE l.pos % 2 = 0
+), subroots AS (
+    SELECT g, digest, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE nodes = 1
+), top_tree AS (
+    SELECT 0 AS level, pos, n AS nodes, digest FROM subroots
+    UNION ALL
+    SELECT l.level + 1, l.pos // 2, (l.nodes + 1) // 2, sha256(l.digest || coalesce(l.behind, ''))
+    FROM (SELECT *, lead(digest) OVER (ORDER BY pos) AS behind FROM top_tree WHERE nodes > 1) l
+    WHERE l.pos % 2 = 0
+), heights AS (SELECT g, max(level) AS height FROM tree GROUP BY g),
+ways AS (
+    SELECT p.doc_id, p.leaf, p.pos AS own, p.g, t.level, t.digest AS sibling, (p.pos >> t.level) % 2 = 1 AS is_right
+    FROM placed p JOIN tree t ON t.g = p.g AND t.nodes > 1 AND (t.pos // 2) = (p.pos >> (t.level + 1)) AND t.pos <> (p.pos >> t.level)
+    UNION ALL
+    SELECT p.doc_id, p.leaf, p.pos, p.g, h.height + t.level, t.digest, (s.pos >> t.level) % 2 = 1
+    FROM placed p JOIN heights h USING (g) JOIN subroots s USING (g)
+    JOIN top_tree t ON t.nodes > 1 AND (t.pos // 2) = (s.pos >> (t.level + 1)) AND t.pos <> (s.pos >> t.level)
+), top_height AS (SELECT max(level) AS height FROM top_tree),
+steps AS (
+    SELECT g, own, list(struct_pack(level := level, sibling := sibling, is_right := is_right)) AS found, string_agg(sibling, '' ORDER BY level) AS proof
+    FROM ways GROUP BY g, own
+), fold AS (
+    SELECT p.g, p.pos, 0 AS level, h.height + t.height AS height, coalesce(p.changed, p.leaf) AS digest, coalesce(s.found, []) AS found
+    FROM placed p JOIN heights h USING (g) CROSS JOIN top_height t LEFT JOIN steps s ON s.g = p.g AND s.own = p.pos
+    UNION ALL
+    SELECT f.g, f.pos, f.level + 1, f.height, CASE WHEN w.sibling IS NULL THEN sha256(f.digest)
+        WHEN w.is_right THEN sha256(w.sibling || f.digest) ELSE sha256(f.digest || w.sibling) END, f.found
+    FROM (SELECT *, list_filter(found, lambda x: x.level = level)[1] AS w FROM fold WHERE level < height) f
+)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, sha256(coalesce(w.proof, '')) AS proof_sha256, f.digest AS folded_root,
+    f.digest = r.digest AS verified
+FROM placed p JOIN subroots s USING (g) JOIN top_tree r ON r.nodes = 1
+JOIN fold f ON f.g = p.g AND f.pos = p.pos AND f.level = f.height LEFT JOIN steps w ON w.g = p.g AND w.own = p.pos
+"""
+
+
+@query(MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as a leaf of one hash tree, with its proof and the root that its (partly tampered) leaf folds to."""
+    documents = common.table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+
+    def leaf(count):
+        return merkle.hashed_fields(F.col("doc_id").cast("string"), F.col("source"), F.col("lang"), count.cast("string"), F.col("text"))
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(tampered, leaf(n_chars + 1))
+    found = merkle.manifest(documents, F.col("lang"), F.col("doc_id"), leaf(n_chars), changed)
+    return found.withColumnRenamed("id", "doc_id")
