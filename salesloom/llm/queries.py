@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import common, fertility, languages, licenses, masked_lm, merkle, mixing, multi_index, ngram_join, periodic, personal_data, pieces, toxicity
+from salesloom.llm import common, fertility, languages, licenses, masked_lm, merkle, mixing, multi_index, ngram_join, page_text, periodic, personal_data, pieces, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,3 +240,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     changed = F.when(tampered, leaf(n_chars + 1))
     found = merkle.manifest(documents, F.col("lang"), F.col("doc_id"), leaf(n_chars), changed)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = common.table(spark, folder, "pages").select("page_id", "url", "html")
+    return page_text.extracted(pages, page_text.learn(pages, F.col("url")))
