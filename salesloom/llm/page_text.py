@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import chunks_by_size
+from salesloom.llm.common import chunks_by_size, written
 from salesloom.llm.page_blocks import INLINE, Block, blocks
 
 LEARNING_PAGES = 150
@@ -393,13 +393,13 @@ def fitted(pages: Sequence[Sequence[tuple[Block, int]]], seed: int = 13) -> Labe
 
 def labelled_pages(pages: DataFrame, key: Column) -> list[list[tuple[Block, int]]]:
     """Blocks of the learning pages with their labels; key orders the pages of the sample (smallest hash first)."""
-    chosen = (
-        pages.select(F.xxhash64(key).alias("hash"), "html")
-        .filter(F.length("html").between(1, LEARNING_CHARS))
-        .filter(F.col("html").rlike(r"(?i)<(article|main)[\s>]|role\s*=\s*[\"']?main"))
-        .orderBy("hash", F.xxhash64("html"))
-        .limit(LEARNING_PAGES)
-    )
+    marked = F.col("html").rlike(r"(?i)<(article|main)[\s>]|role\s*=\s*[\"']?main")
+    usable = pages.filter(F.length("html").between(1, LEARNING_CHARS)).filter(marked)
+    prints = usable.select(F.xxhash64(key).alias("hash"), F.xxhash64("html").alias("print"), "html")
+    # The hashes are chosen first: sorting whole pages would send as many of each task to the driver.
+    least = prints.groupBy("hash").agg(F.min("print").alias("print")).orderBy("hash").limit(LEARNING_PAGES)
+    least = written(least, "learning-pages")
+    chosen = prints.join(F.broadcast(least), ["hash", "print"]).groupBy("hash", "print").agg(F.first("html").alias("html")).orderBy("hash")
     found = []
     for row in chosen.collect():
         page = blocks(row["html"])
