@@ -5,7 +5,7 @@ STAGES lists the stages in order. Each takes (spark, docs, sf_dir) and returns a
 of their input. Near copies are documents whose five-word sets are at least 80 % alike.
 
 Defined cases: null and empty texts are not toxic, are nobody's copy, hold no personal data and encode to the end id; rows that repeat an
-id are one document for the near-copy stage, which keeps the first of them; extra columns pass through; empty tables work.
+id and a text stay once, other texts of the same id stay like texts of other ids; extra columns pass through; empty tables work.
 """
 
 from __future__ import annotations
@@ -34,13 +34,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     common.prepared(spark)
-    found = common.written(ngram_join.classes(docs.select("doc_id", "text"), NEAR), "near-classes")
-    known = found.filter(F.col("doc_id").isNotNull())
-    copies = known.filter(F.col("component") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti")
-    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept.select(*docs.columns)
-    return kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    return ngram_join.one_of_each(docs, NEAR)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,8 +21,8 @@ Hashes have 64 bits (classes 128); texts are hashed in Arrow batches, everything
 intermediate tables go to the shared folder.
 
 Defined cases: a null text or one without words has the empty set and links with nothing, not even with other empty ones;
-a text of fewer than n words has one n-gram, all its words; rows with one id are one node: if their texts differ, the set
-with the smallest key is compared and all rows get its component; a row without id has no component and links nothing; extra columns are ignored; empty tables work.
+a text of fewer than n words has one n-gram, all its words; rows with one id are one node, all their different sets are compared
+and share a component (`one_of_each` takes only near sets together); a row without id has no component and links nothing; extra columns are ignored; empty tables work.
 """
 
 from __future__ import annotations
@@ -45,7 +45,9 @@ from salesloom.llm.components import components
 FRAGMENT_BITS = 3
 FRAGMENTS = 1 << FRAGMENT_BITS
 STAR_ROUNDS = 2
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
+# Running sums go over so many bytes at once, cut between words; so the tables of powers stay small.
+WINDOW_BYTES = 1 << 18
 BLOOM_FROM = "32MB"
 LONG_WORD = 256
 
@@ -57,17 +59,14 @@ _STEP = 0x9E3779B97F4A7C15
 
 
 @lru_cache(maxsize=1)
-def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
-    steps = np.full(size, np.uint64(_STEP))
-    steps[0] = 1
-    back = np.full(size, np.uint64(pow(_STEP, -1, 1 << 64)))
-    back[0] = 1
-    return np.cumprod(steps, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the step and of its inverse modulo 2^64, for a text of this size."""
-    return _power_table(max(2 * CHUNK_BYTES, 1 << (size - 1).bit_length()))
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the step and of its inverse modulo 2^64, for the places of one window."""
+    found = []
+    for factor in (_STEP, pow(_STEP, -1, 1 << 64)):
+        steps = np.full(WINDOW_BYTES + 1, np.uint64(factor))
+        steps[0] = 1
+        found.append(np.cumprod(steps, dtype=np.uint64, out=steps))
+    return found[0], found[1]
 
 
 # The lowest hashes are the counted part: this share of all, as a multiple of the share that a linked set may miss.
@@ -104,9 +103,21 @@ def word_codes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     inside = ~_BLANK[raw]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
-    powers, inverses = _powers(len(raw))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_CODES[raw] * powers[: len(raw)], dtype=np.uint64)])
-    codes = (sums[ends] - sums[starts]) * inverses[starts]
+    powers, inverses = _powers()
+    codes = np.zeros(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        base = int(starts[first])
+        last = int(np.searchsorted(ends, base + WINDOW_BYTES, side="right"))
+        if last == first:  # one word longer than the window
+            first += 1
+            continue
+        piece = raw[base : ends[last - 1]]
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_BYTE_CODES[piece] * powers[: len(piece)], dtype=np.uint64, out=sums[1:])
+        begin, end = starts[first:last] - base, ends[first:last] - base
+        codes[first:last] = (sums[end] - sums[begin]) * inverses[begin]
+        first = last
     codes ^= (ends - starts).astype(np.uint64) * _FACTORS[3]
     codes = (codes ^ (codes >> np.uint64(30))) * _FACTORS[1]
     codes ^= codes >> np.uint64(27)
@@ -169,11 +180,6 @@ def hashed_sets(rule: Rule, part: str):
     return sets
 
 
-def _sets(documents: DataFrame, rule: Rule, part: str, *names: str) -> DataFrame:
-    found = documents.select("doc_id", hashed_sets(rule, part)(whole()).alias("s"))
-    return found.select("doc_id", *(F.col(f"s.{n}").alias(n) for n in names))
-
-
 def alone(counted: DataFrame, rule: Rule) -> DataFrame:
     """Ids of documents with more n-grams found nowhere else than a linked one may have."""
     each = counted.filter(F.col("doc_id").isNotNull()).select("doc_id", "n", F.explode("hashes").alias("hash"))
@@ -285,32 +291,93 @@ def links_between_sets(sets: DataFrame, rule: Rule) -> DataFrame:
     return labels
 
 
-def classes(documents: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n (set size) and component of every row of documents (doc_id, text)."""
-    members = written(_sets(documents, rule, "counted", "n", "key", "hashes"), "ngram-members")
-    held = members.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+def _nodes(held: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """key, first (its smallest doc_id), n and node of each different set; and links between the sets of one id, if an id has several.
+
+    The node of a set is its smallest id. Where another set has the same smallest id, the larger key gets a hash as its node.
+    """
     firsts = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"))
-    others = written(alone(members, rule), "ngram-alone")
-    chosen = firsts.groupBy(F.col("first").alias("doc_id")).agg(F.min("key").alias("wanted"), F.min("n").alias("n"))
-    chosen = written(chosen.join(others, "doc_id", "left_anti"), "ngram-chosen").filter("n > 0").select("doc_id", "wanted")
+    several = held.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("doc_id")
+    several = written(several, "ngram-several")
+    if several.isEmpty():
+        return firsts.withColumn("node", F.col("first")), None
+    least = firsts.groupBy("first").agg(F.min("key").alias("least"))
+    node = F.when(F.col("key") == F.col("least"), F.col("first")).otherwise(F.xxhash64("key", "first"))
+    firsts = written(firsts.join(least, "first").select("key", "first", "n", node.alias("node")), "ngram-nodes")
+    owned = held.join(several, "doc_id").select("doc_id", "key").distinct().join(firsts.select("key", "node"), "key")
+    hubs = owned.groupBy("doc_id").agg(F.min("node").alias("hub"))
+    same_id = owned.join(hubs, "doc_id").select(F.col("node").alias("x"), F.col("hub").alias("y"))
+    return firsts, written(same_id.filter("x <> y").distinct(), "ngram-same-id")
+
+
+def members_of(documents: DataFrame, rule: Rule, *more: str, ids_are_one: bool = True) -> DataFrame:
+    """doc_id, n (set size), key (of the set), component (smallest id), keeper (where its smallest id has several sets, the key of
+    the one that stands for the component; else the row's own key) and further columns
+    `more` of every row of documents (doc_id, text). ids_are_one: all sets of one id are one node, else only near sets are together."""
+    found = documents.select("doc_id", *more, hashed_sets(rule, "counted")(whole()).alias("s"))
+    members = written(found.select("doc_id", *more, "s.n", "s.key", "s.hashes"), "ngram-members")
+    held = members.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    firsts, same_id = _nodes(held)
+    others = alone(members, rule)
+    if same_id is not None:  # single n-grams are counted for an id, so ids with several sets go on in any case
+        several = held.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high")
+        others = others.join(several, "doc_id", "left_anti")
+    others = written(others, "ngram-alone")
+    chosen = firsts.select(F.col("first").alias("doc_id"), F.col("key").alias("wanted"), "node")
+    chosen = written(chosen.join(others, "doc_id", "left_anti"), "ngram-chosen")
     # Few documents are left. Where their ids make a small Bloom filter, Spark applies it before it moves any text.
     documents.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", BLOOM_FROM)
     texts = documents.select("doc_id", whole().alias("text")).join(chosen, "doc_id")
     # Not deterministic for the optimizer: it would hash all texts before the join to compare keys in it.
     hashed = hashed_sets(rule, "all").asNondeterministic()
-    sets = texts.select(F.col("doc_id").alias("id"), "wanted", hashed(F.col("text")).alias("s"))
+    sets = texts.select(F.col("node").alias("id"), "wanted", hashed(F.col("text")).alias("s"))
     sets = sets.filter(F.col("s.key") == F.col("wanted")).select("id", F.col("s.n").alias("n"), F.col("s.hashes").alias("hashes"))
     if not held.groupBy("doc_id").count().filter("count > 1").isEmpty():
         sets = sets.dropDuplicates(["id"])
     sets = written(sets, "ngram-sets")
     labels = links_between_sets(sets, rule)
+    if same_id is not None and ids_are_one:
+        near = same_id if labels is None else labels.select(F.col("id").alias("x"), F.col("component").alias("y")).union(same_id)
+        labels = components(near)
     if labels is None:
-        grouped = firsts.select("key", F.col("first").alias("component"))
+        grouped = firsts.select("key", F.col("first").alias("component"), F.col("key").alias("keeper"))
     else:
-        grouped = firsts.join(labels.withColumnRenamed("id", "first"), "first", "left").select(
-            "key", F.coalesce("component", "first").alias("component")
-        )
-    found = members.select("doc_id", "n", "key").join(grouped, "key", "left")
-    return found.select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component")
-    )
+        joined = firsts.join(labels.withColumnRenamed("id", "node"), "node", "left")
+        grouped = joined.select("key", "first", F.coalesce("component", "node").alias("label"))
+        if same_id is not None:
+            # A label may be the hash of a set: the smallest id of all its sets stands for it.
+            best = grouped.groupBy("label").agg(F.min(F.struct("first", "key")).alias("best"))
+            grouped = grouped.join(best, "label").select("key", F.col("best.first").alias("component"), F.col("best.key").alias("keeper"))
+        else:
+            grouped = grouped.select("key", F.col("label").alias("component"), F.col("key").alias("keeper"))
+    return members.select("doc_id", *more, "n", "key").join(grouped, "key", "left")
+
+
+def classes(documents: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, n (set size) and component of every row of documents (doc_id, text)."""
+    found = members_of(documents, rule)
+    own = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
+    return found.select("doc_id", "n", own.alias("component"))
+
+
+def one_of_each(documents: DataFrame, rule: Rule) -> DataFrame:
+    """The rows of documents without near copies: of each group of near sets stays the smallest id, of rows that repeat id and set one.
+
+    Rows of one id with texts that are not near stay all; rows without id or without words stay."""
+    print_of = F.xxhash64(whole())
+    found = members_of(documents.select("doc_id", "text", print_of.alias("print__")), rule, "print__", ids_are_one=False)
+    known = found.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    stands = (F.col("key") == F.col("keeper")) & (F.col("doc_id") == F.col("component"))
+    rows = known.groupBy("doc_id", "key", "print__").agg(F.count("*").alias("times"), F.min(stands).alias("stands"))
+    rows = written(rows, "ngram-rows")
+    # Of rows with one id and one set the smallest print stays, once.
+    least = rows.groupBy("doc_id", "key").agg(F.min("print__").alias("least"), F.count("*").alias("prints")).filter("prints > 1")
+    doubled = rows.join(least, ["doc_id", "key"]).filter("print__ <> least")
+    copies = rows.filter(~F.col("stands")).select("doc_id", "print__").union(doubled.select("doc_id", "print__")).distinct()
+    kept = documents.withColumn("print__", print_of).join(copies, ["doc_id", "print__"], "left_anti")
+    again = rows.filter(F.col("stands") & (F.col("times") > 1)).select("doc_id", "print__", F.lit(True).alias("again__"))
+    if again.isEmpty():
+        return kept.select(*documents.columns)
+    marked = kept.join(again, ["doc_id", "print__"], "left")
+    once = marked.filter("again__").dropDuplicates(["doc_id", "print__"])
+    return marked.filter("again__ is null").select(*documents.columns).unionByName(once.select(*documents.columns))

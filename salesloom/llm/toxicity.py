@@ -290,7 +290,7 @@ def scanned(spark: SparkSession, model: ToxicityModel, text: Column) -> Column:
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, memory = shared.value, {}
         for batch in batches:
-            if len(memory) > 1_000_000:
+            if len(memory) > 200_000:
                 memory.clear()
             rows = []
             for text in batch.to_pylist():

@@ -118,3 +118,50 @@ def test_components_equal_union_find(spark):
     found = components.components(spark.createDataFrame(edges, "x bigint, y bigint"))
     assert {r["id"]: r["component"] for r in found.collect()} == {i: root(i) for i in parent}
     assert components.components(spark.createDataFrame([], "x bigint, y bigint")).count() == 0
+
+
+def test_words_in_windows(monkeypatch):
+    chance = random.Random(8)
+    texts = [" ".join("x" * chance.choice((1, 3, 30, 90, 300)) + str(chance.randrange(9)) for _ in range(chance.randint(0, 40))) for _ in range(60)]
+    plain = [set(f.tolist()) for f in ngram_join.ngram_sets(texts, 2)]
+    monkeypatch.setattr(ngram_join, "WINDOW_BYTES", 512)
+    ngram_join._powers.cache_clear()
+    try:
+        assert [set(f.tolist()) for f in ngram_join.ngram_sets(texts, 2)] == plain
+    finally:
+        ngram_join._powers.cache_clear()
+    long = " ".join(f"w{k % 9000}" for k in range(200_000))
+    (found,) = ngram_join.ngram_sets([long], 4)
+    assert len(found) == 9000
+
+
+def numbered(prefix, n, changed=()):
+    return " ".join(f"other{k}" if k in changed else f"{prefix}{k}" for k in range(n))
+
+
+@pytest.mark.parametrize("a,b", [("a", "b"), ("b", "a"), ("q", "c")])
+def test_all_texts_of_an_id_are_compared(spark, a, b):
+    common.prepared(spark)
+    first, second = numbered(a, 60), numbered(b, 60)
+    rows = [(1, first), (1, second), (2, numbered(b, 60, (59,))), (3, numbered(a, 60, (0,))), (4, numbered("z", 60))]
+    rows += [(5, second), (6, numbered("y", 30)), (7, numbered("x", 30)), (6, numbered("x", 30)), (None, first)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component"] for r in ngram_join.classes(frame, ngram_join.Rule()).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1, 6: 6, 7: 6, None: None}
+    kept = sorted(map(str, (tuple(r) for r in ngram_join.one_of_each(frame.repartition(3), ngram_join.Rule()).collect())))
+    want = [(1, first), (1, second), (4, numbered("z", 60)), (6, numbered("y", 30)), (6, numbered("x", 30)), (None, first)]
+    assert kept == sorted(map(str, want))
+
+
+def test_one_row_of_each_group_stays(spark):
+    common.prepared(spark)
+    text = numbered("a", 40)
+    rows = [(3, text), (3, text), (3, text.upper()), (2, text + " "), (2, text + " "), (4, None), (4, None), (5, " "), (None, text), (None, text), (6, "one two")]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, key string")
+    found = ngram_join.one_of_each(frame, ngram_join.Rule(5, 80))
+    assert found.columns == frame.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in found.collect() if r["text"]) == sorted(
+        [("2", text + " "), ("5", " "), ("None", text), ("None", text), ("6", "one two")]
+    )
+    assert found.filter("text is null").count() == 2
+    assert ngram_join.one_of_each(frame.limit(0), ngram_join.Rule()).count() == 0
