@@ -2,7 +2,7 @@
 
 Every token carries the log-odds that it comes from a toxic text. Shares are posterior means under Dirichlet priors in
 two levels: the first letters of a word (its stem) start from the share of toxic texts, a word starts from its stem. A stem counts
-its different words, not their texts. So rare and unseen words take over what is known of their stem. DEVIATIONS posterior standard
+the texts of its words, damped for each word, so that no single frequent word decides. So rare and unseen words take over what is known of their stem. DEVIATIONS posterior standard
 deviations are taken off the log-odds, so that chance words of a few toxic texts stay small. Each token also pays a drift,
 which makes the expectation negative in clean text, as local scan statistics need.
 
@@ -41,6 +41,7 @@ STEM_LETTERS = 4
 # Weight of the prior in texts, for stems and for words.
 STEM_PRIOR = 10.0
 WORD_PRIOR = 5.0
+WORD_LIMIT = 20.0
 LEAST_TEXTS = 2
 DEVIATIONS = 1.0
 DRIFT = 1.5
@@ -174,9 +175,12 @@ def _weights(rows: DataFrame, model: ToxicityModel) -> None:
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic")
     ).filter(F.col("n") >= LEAST_TEXTS)
     stem = F.substring("word", 1, STEM_LETTERS)
+    # A word speaks for its stem with its texts, damped: one frequent word counts WORD_LIMIT texts at most.
+    damped = F.col("n") / (1 + F.col("n") / WORD_LIMIT)
     share = F.col("toxic") / F.col("n")
     stems = counts.groupBy(stem.alias("stem")).agg(
-        (F.sum(share) + STEM_PRIOR * model.base).alias("a"), (F.sum(1 - share) + STEM_PRIOR * (1 - model.base)).alias("b")
+        (F.sum(share * damped) + STEM_PRIOR * model.base).alias("a"),
+        (F.sum((1 - share) * damped) + STEM_PRIOR * (1 - model.base)).alias("b"),
     )
     start = F.col("a") / (F.col("a") + F.col("b"))
     words = counts.join(stems.select("stem", start.alias("start")), stem == F.col("stem")).select(
@@ -193,34 +197,51 @@ def _weights(rows: DataFrame, model: ToxicityModel) -> None:
 
 
 def _scan_learning(model):
+    """First pass: label, words and best segment of each learning text; and, with label -1, the scores of clean words by bins."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memories: dict[int, dict[str, float]] = {0: {}, 1: {}}
         histogram = np.zeros(BINS, np.int64)
-        for batch in batches:
-            rows = []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = tokens(text)
-                scores = model.value.token_scores(words, memories[label], label)
+        for batch, rows in _learning_scores(model, batches):
+            found = []
+            for label, scores in rows:
                 if not label:
                     place = np.clip(((scores - LOWEST) / BIN).astype(np.int64), 0, BINS - 1)
                     histogram += np.bincount(place, minlength=BINS)
-                rows.append((label, len(words), [x for _, _, x in maximal_segments(scores)]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.int32()),
-                    pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([sorted(r[2], reverse=True)[:64] for r in rows], pa.list_(pa.float64())),
-                ],
-                ["label", "n", "found"],
-            )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([histogram.astype(float)], pa.list_(pa.float64()))],
-            ["label", "n", "found"],
-        )
+                found.append((label, len(scores), [max((x for _, _, x in maximal_segments(scores)), default=0.0)]))
+            yield _learning_batch(found)
+        yield _learning_batch([(-1, 0, histogram.astype(float))])
 
     return scan
 
 
+def _weigh_learning(model):
+    """Second pass, with the law known: label, words and evidence of each learning text, summed over all its passages."""
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, rows in _learning_scores(model, batches):
+            fitted = model.value
+            found = []
+            for label, scores in rows:
+                found.append((label, len(scores), [fitted.evidence(fitted.passages(maximal_segments(scores), len(scores)))]))
+            yield _learning_batch(found)
+
+    return weigh
+
+
+def _learning_scores(model, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Iterator[tuple[int, np.ndarray]]]]:
+    memories: dict[int, dict[str, float]] = {0: {}, 1: {}}
+    for batch in batches:
+        labelled = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        yield batch, ((label, model.value.token_scores(tokens(text), memories[label], label)) for text, label in labelled)
+
+
+def _learning_batch(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.float64()))],
+        ["label", "n", "found"],
+    )
+
+
 def decay_rate(counts: np.ndarray) -> float:
     """The positive root of E[exp(rate * s)] = 1 over a histogram of scores; where scores never rise above 0, or rise on
     average, a rate of 1."""
@@ -258,7 +279,7 @@ def logistic_fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def learn(documents: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
     """Fit on documents (doc_id, text) and labels (doc_id, toxic); usable says which ids may teach.
 
-    To the driver come at most MOST_TERMS words and stems, and a row for each of the LEARNING_ROWS texts.
+    To the driver come at most MOST_TERMS words and stems, and twice a row of a few numbers for each of the LEARNING_ROWS texts.
     """
     spark = documents.sparkSession
     rows = learning_rows(documents, labels, usable)
@@ -270,14 +291,15 @@ def learn(documents: DataFrame, labels: DataFrame, usable: Column) -> ToxicityMo
     if not 0 < model.base < 1:
         return model
     _weights(rows, model)
-    found = rows.mapInArrow(_scan_learning(spark.sparkContext.broadcast(model)), "label int, n bigint, found array<double>").collect()
+    form = "label int, n bigint, found array<double>"
+    found = rows.mapInArrow(_scan_learning(spark.sparkContext.broadcast(model)), form).collect()
     model.rate = decay_rate(sum((np.array(r["found"]) for r in found if r["label"] < 0), np.zeros(BINS)))
-    clean = [(r["n"], r["found"][0] if r["found"] else 0.0) for r in found if r["label"] == 0 and r["n"]]
+    clean = [(r["n"], r["found"][0]) for r in found if r["label"] == 0 and r["n"]]
     expected = sum(n * math.exp(-min(model.rate * best, 700.0)) for n, best in clean)
     model.size = len(clean) / expected if expected else 1.0
-    texts = [r for r in found if r["label"] >= 0]
-    evidence = [model.evidence(model.passages([(0, 0, x) for x in r["found"]], r["n"])) for r in texts]
-    model.intercept, model.slope = logistic_fit(np.log1p(np.array(evidence)), np.array([float(r["label"]) for r in texts]))
+    texts = rows.mapInArrow(_weigh_learning(spark.sparkContext.broadcast(model)), form).collect()
+    evidence = np.array([r["found"][0] for r in texts])
+    model.intercept, model.slope = logistic_fit(np.log1p(evidence), np.array([float(r["label"]) for r in texts]))
     model.fitted = True
     return model
 
