@@ -2,7 +2,7 @@
 
 Public vocabularies measure every text: characters per token and share of byte-fallback tokens (a merge vocabulary with byte
 pieces), characters per token of a byte-level vocabulary, and the entropy of the tokens, divided by the entropy of as many
-different ones. The corpus gives the rejection bands: for each language (or, without one, each script) the quartiles
+different ones. Equal segments of a text (a word with the space before it) are encoded once a worker. The corpus gives the rejection bands: for each language (or, without one, each script) the quartiles
 of a measure, widened on both sides. A document outside a band of its group is rejected with the measure's name.
 A group of n documents has its own quartiles with the weight n / (n + k), the rest is those of its script (the script of most
 of its documents), at every size. k is SHRINK for a group that lies where its script does, and falls with the square of
@@ -17,6 +17,7 @@ alike; null languages go by script; extra columns are ignored; an empty table gi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,9 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import whole, written
-
-SYMBOLS = b"#*$%&|<>"
+from salesloom.llm.common import chunks_by_size, whole, written
+
+SYMBOLS = tuple(bytes([s]) for s in b"#*$%&|<>")
+SPACE = "▁"
+# Segments that a worker remembers for each vocabulary, and characters handled at once.
+REMEMBERED = 400_000
+CHUNK_CHARS = 1_000_000
+# How byte-level patterns end that cut at white space.
+SPACE_ENDING = r"|\s+(?!\S)|\s+"
+# White space as those patterns see it (Python's differs in four control characters).
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACED = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+_PIECES = re.compile(f"{SPACE}+[^{SPACE}]*")
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 # A band reaches this many quartile distances beyond the quartiles; short texts vary more, so it widens by
@@ -74,7 +85,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def repeated_lines(text: bytes) -> int:
-    lines = [line for line in text.split(b"\n") if line.split()] if b"\n" in text else []
+    lines = [line for line in text.split(b"\n") if line.strip()] if b"\n" in text else []
     return len(lines) - len(set(lines))
 
 
@@ -91,18 +102,67 @@ def script_of(text: str) -> str:
     return str(names[np.bincount(place, counts[points]).argmax()])
 
 
-@lru_cache(maxsize=2)
-def _vocabularies(piece_path: str, rank_path: str, pattern: str):
-    import base64
+class Vocabularies:
+    """Both vocabularies, with what they made of the segments met before.
+
+    Segments encode alone: no piece of the merge vocabulary crosses into the next space (checked when it is read, see `pieces`), and a
+    byte-level pattern that ends in SPACE_ENDING starts a new piece at every white space, so a run without white space
+    and the space before it is cut the same way wherever it stands. Other patterns encode whole texts.
+    """
+
+    def __init__(self, piece_path: str, rank_path: str, pattern: str):
+        import base64
+
+        import sentencepiece
+        import tiktoken
+
+        crossing = re.compile(f"[^{SPACE}]{SPACE}")
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
+        # Spaces must be kept, and the library must put one before a text.
+        keeps = self.pieces.decode(self.pieces.encode("  a ")) == "  a " and self.pieces.encode("a") == self.pieces.encode(" a")[-1:]
+        self.alone = not any(map(crossing.search, names)) and keeps
+        self.is_byte = np.array([self.pieces.is_byte(i) for i in range(len(names))])
+        self.space_id = names.index(SPACE) if SPACE in names else self.pieces.unk_id()
+        with open(rank_path, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.byte_level = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.spaced = pattern.endswith(SPACE_ENDING) and " ?" in pattern
+        self.ids: dict[str, bytes] = {}
+        self.counts: dict[str, int] = {}
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, int]]:
+        """Ids of each text in the merge vocabulary, and its number of byte-level tokens."""
+        if not self.alone:
+            split = [[] for _ in texts]
+            whole_ids = [np.array(i, np.int32) for i in self.pieces.encode(texts, num_threads=1)]
+        else:
+            split = [_PIECES.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+            fresh = {s for one in split for s in one if s not in self.ids}
+            if len(self.ids) + len(fresh) > REMEMBERED:
+                self.ids.clear()
+                fresh = {s for one in split for s in one}
+            fresh_list = list(fresh)
+            # The library puts the first space symbol itself, but not before nothing.
+            for s, ids in zip(fresh_list, self.pieces.encode([s[1:] for s in fresh_list], num_threads=1)):
+                self.ids[s] = np.array(ids if s != SPACE else [self.space_id], np.int32).tobytes()
+            whole_ids = [np.frombuffer(b"".join(map(self.ids.__getitem__, one)), np.int32) for one in split]
+        for text, ids in zip(texts, whole_ids):
+            if self.spaced:
+                parts = _SPACED.findall(text)
+                if len(self.counts) > REMEMBERED:
+                    self.counts.clear()
+                for part in parts:
+                    if part not in self.counts:
+                        self.counts[part] = len(self.byte_level.encode_ordinary(part))
+                yield ids, sum(map(self.counts.__getitem__, parts))
+            else:
+                yield ids, len(self.byte_level.encode_ordinary(text)) if text else 0
 
-    import sentencepiece
-    import tiktoken
 
-    pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-    bytes_of = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
-    with open(rank_path, "rb") as file:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return pieces, bytes_of, tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+@lru_cache(maxsize=2)
+def _vocabularies(piece_path: str, rank_path: str, pattern: str) -> Vocabularies:
+    return Vocabularies(piece_path, rank_path, pattern)
 
 
 def entropy_share(ids: np.ndarray) -> float:
@@ -113,24 +173,22 @@ def entropy_share(ids: np.ndarray) -> float:
     return float(-(shares * np.log2(shares)).sum() / np.log2(len(ids)))
 
 
-def _measure(text: str, pieces, bytes_of, byte_level) -> tuple:
+def _measure(text: str, ids: np.ndarray, others: int, is_byte: np.ndarray) -> tuple:
     raw = text.encode()
     words = raw.split()
     data = np.frombuffer(raw, np.uint8)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
-    chars = int(((data & 0xC0) != 0x80).sum())
-    ids = np.array(pieces.encode(text, num_threads=1), np.int64)
-    others = len(byte_level.encode_ordinary(text)) if text else 0
+    chars = len(text)
     return (
         len(words),
         chars - int(blank.sum()),
-        sum(raw.count(bytes([s])) for s in SYMBOLS),
+        sum(raw.count(s) for s in SYMBOLS),
         repeated_lines(raw),
         repeated_words(words),
         len(ids),
         chars / len(ids) if len(ids) else 0.0,
         chars / others if others else 0.0,
-        float(bytes_of[ids].mean()) if len(ids) else 0.0,
+        float(is_byte[ids].mean()) if len(ids) else 0.0,
         entropy_share(ids),
         script_of(text),
     )
@@ -145,7 +203,11 @@ def measured(piece_path: str, rank_path: str, pattern: str, text: Column) -> Col
         names = [part.partition(":")[0] for part in FIGURES[7:-1].split(",")]
         kinds = [pa.int64()] * 6 + [pa.float64()] * 4 + [pa.string()]
         for texts in batches:
-            rows = [_measure(t, *tools) for t in texts.to_pylist()]
+            rows = []
+            held = texts.to_pylist()
+            for part in chunks_by_size([len(t) for t in held], CHUNK_CHARS):
+                found = tools.encoded(held[part])
+                rows += [_measure(t, ids, others, tools.is_byte) for t, (ids, others) in zip(held[part], found)]
             columns = list(zip(*rows)) if rows else [[]] * len(names)
             yield pa.StructArray.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 

@@ -93,3 +93,25 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     assert verdicts(spark, rows).limit(0).count() == 0
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert fertility.verdicts(empty, *TOOLS).count() == 0
+
+
+def test_segments_encode_as_whole_texts():
+    import base64
+
+    import sentencepiece
+    import tiktoken
+
+    library = sentencepiece.SentencePieceProcessor(model_file=TOOLS[0])
+    with open(TOOLS[1], "rb") as file:
+        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, file)}
+    whole = tiktoken.Encoding("plain", pat_str=TOOLS[2], mergeable_ranks=ranks, special_tokens={})
+    chance = random.Random(12)
+    parts = ["a", "It's", " ", "  ", "\n", "\n\n", "\t", "é", "▁", "漢字", "\x1c", "\x85", "\u00a0", "don't!", "12,5", "😀", "'ll", "\u3000", "word", "...", "\x0b"]
+    texts = ["".join(chance.choice(parts) for _ in range(chance.randint(0, 30))) for _ in range(3000)] + ["", " ", "▁", "  a", "x" * 5000, "long word " * 30_000]
+    tools = fertility.Vocabularies(*TOOLS)
+    assert tools.alone and tools.spaced
+    for text, (ids, others) in zip(texts, tools.encoded(texts)):
+        assert ids.tolist() == library.encode(text), repr(text)
+        assert others == len(whole.encode_ordinary(text)), repr(text)
+    other = fertility.Vocabularies(TOOLS[0], TOOLS[1], r"\S+|\s+")
+    assert not other.spaced and next(other.encoded(["a b"]))[0].tolist() == library.encode("a b")
