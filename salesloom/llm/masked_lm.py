@@ -6,7 +6,8 @@ the sum over all its tokens of the log-probability given both sides.
 
 The network's ids are the most frequent words, counted over the whole corpus by a Spark aggregation, and hashed buckets for
 all other words. A word in a bucket has the bucket's probability times its share of the bucket's tokens, so every word of the
-corpus has a probability of its own. The counts and shares of all words are tables; scoring joins them to the bucketed words. Training is data-parallel over all documents: in each round every task starts from the same parameters,
+corpus has a probability of its own. The counts and shares of all words are tables; scoring joins
+them to the bucketed words. Texts are turned into ids once and written; every round and the scoring read the ids. Training is data-parallel over all documents: in each round every task starts from the same parameters,
 masks a share of its positions (another share each round, until all were masked) and trains on them in numpy; Spark averages
 the parameters of all tasks, weighted by their positions. What a task sends is the size of the model, and the model is what the driver and
 the broadcasts hold; the corpus counts stay in Spark.
@@ -35,7 +36,7 @@ SIDE = 2
 EMBEDDING, HIDDEN = 12, 24
 # A round masks one position in ROUNDS, each round another phase: all rounds together train on every position once.
 ROUNDS = 2
-TRAIN_BATCH, SCORE_BATCH = 1024, 16384
+TRAIN_BATCH, SCORE_BATCH = 8192, 16384
 RATE = 0.1
 SEED = 17
 REMEMBERED = 300_000
@@ -60,20 +61,24 @@ class Vocabulary:
         self.memory: dict[str, int] = {}
 
     def ids(self, text: str) -> np.ndarray:
-        words = text.lower().split()
+        return self.ids_of(text.lower().split())
+
+    def ids_of(self, words: list[str]) -> np.ndarray:
         memory = self.memory
         if len(memory) > REMEMBERED:
             memory.clear()
         buckets = SIZE - 1 - WORDS
-        for word in words:
-            if word not in memory:
-                known = self.known.get(word)
-                memory[word] = 1 + WORDS + zlib.crc32(word.encode("utf-8", "replace")) % buckets if known is None else known
+        for word in set(words).difference(memory):
+            known = self.known.get(word)
+            memory[word] = 1 + WORDS + zlib.crc32(word.encode("utf-8", "replace")) % buckets if known is None else known
         return np.fromiter(map(memory.__getitem__, words), np.int64, len(words))
 
-    def bucketed(self, text: str) -> Counter[str]:
-        """The words of a text that only have a bucket, with their counts."""
-        return Counter(w for w in text.lower().split() if w not in self.known)
+    def bucketed(self, words: list[str]) -> Counter[str]:
+        """Those words that only have a bucket, with their counts."""
+        counts = Counter(words)
+        for word in self.known.keys() & counts.keys():
+            del counts[word]
+        return counts
 
     def __reduce__(self):
         return Vocabulary, (sorted(self.known, key=self.known.get),)
@@ -113,11 +118,6 @@ def windows(ids: np.ndarray) -> np.ndarray:
     return np.stack([padded[k : k + len(ids)] for k in offsets], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 class WindowNetwork:
     """Parameters with their forward and backward passes."""
 
@@ -132,58 +132,97 @@ class WindowNetwork:
             self.parts[name] = self.flat[at : at + size].reshape(shape)
             at += size
 
-    def _forward(self, around: np.ndarray):
+    def _forward(self, around: np.ndarray, targets: np.ndarray):
+        """Hidden values and both softmax layers: exponentials, their sums and the target's place; the members' rows are sorted by class."""
         p = self.parts
-        inputs = p["embedding"][around].reshape(len(around), -1)
-        hidden = np.tanh(inputs @ p["mix"] + p["mix_bias"])
-        return inputs, hidden, _log_softmax(hidden @ p["classes"] + p["class_bias"])
+        inputs = np.take(p["embedding"], around, axis=0).reshape(len(around), -1)
+        hidden = _tanh(inputs @ p["mix"] + p["mix_bias"])
+        group, member = targets // MEMBERS, targets % MEMBERS
+        class_part = _exponentials(hidden @ p["classes"] + p["class_bias"]), group
+        # One byte a class sorts in linear time.
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        inner = np.take(hidden, order, axis=0)
+        logits = np.empty((len(targets), MEMBERS), np.float32)
+        slices = _slices(group)
+        for c, rows in slices:
+            np.matmul(inner[rows], p["members"][c], out=logits[rows])
+            logits[rows] += p["member_bias"][c]
+        return inputs, hidden, class_part, order, inner, slices, (_exponentials(logits), np.take(member, order))
 
     def log_probabilities(self, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Log-probability of each target between its neighbours."""
-        _, hidden, classes = self._forward(around)
-        group, member = targets // MEMBERS, targets % MEMBERS
-        out = classes[np.arange(len(targets)), group].astype(np.float64)
-        for c, rows in _by_class(group):
-            logs = _log_softmax(hidden[rows] @ self.parts["members"][c] + self.parts["member_bias"][c])
-            out[rows] += logs[np.arange(len(rows)), member[rows]]
+        _, _, classes, order, _, _, members = self._forward(around, targets)
+        out = _log_of(classes)
+        out[order] += _log_of(members)
         return out
 
     def gradients(self, around: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-probability and its gradient."""
         p, n = self.parts, len(targets)
-        inputs, hidden, classes = self._forward(around)
-        group, member = targets // MEMBERS, targets % MEMBERS
-        loss = -float(classes[np.arange(n), group].sum())
-        d_class = np.exp(classes)
-        d_class[np.arange(n), group] -= 1
-        d_class /= n
-        grads = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
-        grads["classes"], grads["class_bias"] = hidden.T @ d_class, d_class.sum(axis=0)
+        inputs, hidden, classes, order, inner, slices, members = self._forward(around, targets)
+        loss = -float(_log_of(classes).sum() + _log_of(members).sum())
+        d_class, d_member = _error_of(classes, n), _error_of(members, n)
+        grads = {"classes": hidden.T @ d_class, "class_bias": _columns(d_class)}
+        grads["members"], grads["member_bias"] = np.zeros(SHAPES["members"], np.float32), np.zeros(SHAPES["member_bias"], np.float32)
+        d_inner = np.empty_like(inner)
+        for c, rows in slices:
+            d = d_member[rows]
+            np.matmul(inner[rows].T, d, out=grads["members"][c])
+            grads["member_bias"][c] = _columns(d)
+            np.matmul(d, p["members"][c].T, out=d_inner[rows])
         d_hidden = d_class @ p["classes"].T
-        for c, rows in _by_class(group):
-            logs = _log_softmax(hidden[rows] @ p["members"][c] + p["member_bias"][c])
-            at = np.arange(len(rows)), member[rows]
-            loss -= float(logs[at].sum())
-            d = np.exp(logs)
-            d[at] -= 1
-            d /= n
-            grads["members"][c], grads["member_bias"][c] = hidden[rows].T @ d, d.sum(axis=0)
-            d_hidden[rows] += d @ p["members"][c].T
+        back = np.empty_like(order)
+        back[order] = np.arange(n)
+        d_hidden += np.take(d_inner, back, axis=0)
         d_hidden *= 1 - hidden**2
-        grads["mix"], grads["mix_bias"] = inputs.T @ d_hidden, d_hidden.sum(axis=0)
+        grads["mix"], grads["mix_bias"] = inputs.T @ d_hidden, _columns(d_hidden)
         d_inputs = (d_hidden @ p["mix"].T).reshape(-1, EMBEDDING)
-        flat = around.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        grads["embedding"][flat[order][starts]] = np.add.reduceat(d_inputs[order], starts, axis=0)
+        flat = around.reshape(-1).astype(np.uint16)
+        places = np.argsort(flat, kind="stable")
+        starts = np.flatnonzero(np.diff(flat[places].astype(np.int64), prepend=-1))
+        grads["embedding"] = np.zeros(SHAPES["embedding"], np.float32)
+        grads["embedding"][flat[places][starts]] = np.add.reduceat(np.take(d_inputs, places, axis=0), starts, axis=0)
         return loss / n, grads
 
 
-def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(group, kind="stable")
-    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-    for begin, end in zip(starts, [*starts[1:], len(group)]):
-        yield int(group[order[begin]]), order[begin:end]
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of bounded logits and their sum in each row."""
+    values = np.exp(np.clip(logits, -40, 40, out=logits), out=logits)
+    return values, values @ np.ones(values.shape[1], np.float32)
+
+
+def _log_of(layer) -> np.ndarray:
+    (values, sums), at = layer
+    chosen = np.take(values.reshape(-1), np.arange(len(at)) * values.shape[1] + at)
+    return np.log(chosen.astype(np.float64) / sums)
+
+
+def _error_of(layer, n: int) -> np.ndarray:
+    """Gradient of the mean loss by the logits; overwrites the exponentials."""
+    (values, sums), at = layer
+    values *= (1 / (n * sums))[:, None]
+    values.reshape(-1)[np.arange(len(at)) * values.shape[1] + at] -= 1 / n
+    return values
+
+
+def _columns(values: np.ndarray) -> np.ndarray:
+    return np.ones(len(values), np.float32) @ values
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """The hyperbolic tangent by one exponential."""
+    x = np.exp(np.clip(2 * x, -30, 30, out=x), out=x)
+    x += 1
+    np.divide(-2, x, out=x)
+    x += 1
+    return x
+
+
+def _slices(group: np.ndarray) -> list[tuple[int, slice]]:
+    """Rows of each class that occurs, when rows are sorted by class."""
+    counts = np.bincount(group, minlength=CLASSES)
+    ends = np.cumsum(counts)
+    return [(int(c), slice(int(ends[c] - counts[c]), int(ends[c]))) for c in np.flatnonzero(counts)]
 
 
 def _blocks(rows: Iterator[tuple[np.ndarray, np.ndarray]], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -217,14 +256,12 @@ def train_on(network: WindowNetwork, rows: Iterator[tuple[np.ndarray, np.ndarray
 
 def _trainer(shared, round_: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start = shared.value
-        network = WindowNetwork(start)
+        network = WindowNetwork(shared.value)
 
         def masked() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    ids = vocabulary.ids(text)
-                    at = np.arange((zlib.crc32(text[:64].encode("utf-8", "replace")) + round_) % ROUNDS, len(ids), ROUNDS)
+                for phase, ids in zip(batch.column(0).to_pylist(), map(read_ids, batch.column(1).to_pylist())):
+                    at = np.arange((phase + round_) % ROUNDS, len(ids), ROUNDS)
                     if len(at):
                         yield windows(ids)[at], ids[at]
 
@@ -242,60 +279,85 @@ def _trainer(shared, round_: int):
     return train
 
 
-def learn(documents: DataFrame, counts: DataFrame | None = None) -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and network parameters from all texts; counts: their words, if already counted."""
-    spark = documents.sparkSession
-    texts = documents.select(whole().alias("text"))
-    vocabulary, values = Vocabulary(frequent_words(word_counts(documents) if counts is None else counts)), WindowNetwork().flat
+def read_ids(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.uint16).astype(np.int64)
+
+
+def encoded(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """row, doc_id, phase, ids (two bytes each) and the words in buckets of every text: written once, read by every round."""
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf("struct<phase:int,ids:binary,bucketed:array<struct<word:string,n:bigint>>>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary = shared.value
+        kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+        for batch in batches:
+            phases, ids, rare = [], [], []
+            for text in batch.to_pylist():
+                words = text.lower().split()
+                phases.append(zlib.crc32(text[:64].encode("utf-8", "replace")) % ROUNDS)
+                ids.append(vocabulary.ids_of(words).astype(np.uint16).tobytes())
+                rare.append([{"word": w, "n": n} for w, n in vocabulary.bucketed(words).items()])
+            yield pa.StructArray.from_arrays([pa.array(phases, pa.int32()), pa.array(ids, pa.binary()), pa.array(rare, kind)], ["phase", "ids", "bucketed"])
+
+    found = documents.select("doc_id", encode(whole()).alias("f"))
+    return written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.*"), "lm-ids")
+
+
+def trained(texts: DataFrame) -> np.ndarray:
+    """Network parameters from all encoded texts (phase, ids)."""
+    spark, values = texts.sparkSession, WindowNetwork().flat
     for round_ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((vocabulary, values))
-        parts = texts.mapInArrow(_trainer(shared, round_), "place int, value double, weight double")
+        shared = spark.sparkContext.broadcast(values)
+        parts = texts.select("phase", "ids").mapInArrow(_trainer(shared, round_), "place int, value double, weight double")
         means = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas()
         if len(means):
             values = np.zeros(len(values), np.float32)
             values[means["place"].to_numpy()] = means["value"].to_numpy()
-    return vocabulary, values
+    return values
+
+
+def learn(documents: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """Vocabulary and network parameters from all texts."""
+    vocabulary = Vocabulary(frequent_words(word_counts(documents)))
+    return vocabulary, trained(encoded(documents, vocabulary))
 
 
-def score_texts(vocabulary: Vocabulary, network: WindowNetwork, texts: list[str]) -> tuple[list[int], list[float]]:
-    """Number of tokens and summed log-probability of each text."""
-    ids = [vocabulary.ids(t) for t in texts]
-    counts = [len(i) for i in ids]
-    sums = np.zeros(len(texts))
-    owners = np.repeat(np.arange(len(texts)), counts)
+def score_ids(network: WindowNetwork, ids: list[np.ndarray]) -> list[float]:
+    """Summed log-probability of each text."""
+    sums = np.zeros(len(ids))
+    owners = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
     at = 0
     for around, targets in _blocks(((windows(i), i) for i in ids if len(i)), SCORE_BATCH):
         logs = network.log_probabilities(around, targets)
-        np.add.at(sums, owners[at : at + len(targets)], logs)
+        sums += np.bincount(owners[at : at + len(targets)], logs, minlength=len(ids))
         at += len(targets)
-    return counts, sums.tolist()
+    return sums.tolist()
 
 
-def scored(spark: SparkSession, vocabulary: Vocabulary, values: np.ndarray, text: Column) -> Column:
-    """n_tokens, log_likelihood of the ids, and the words in buckets of a text column."""
-    shared = spark.sparkContext.broadcast((vocabulary, values))
+def scored(spark: SparkSession, values: np.ndarray, ids: Column) -> Column:
+    """n_tokens and log_likelihood of a column of ids."""
+    shared = spark.sparkContext.broadcast(values)
 
-    @F.arrow_udf("struct<n_tokens:bigint,log_likelihood:double,bucketed:array<struct<word:string,n:bigint>>>")
+    @F.arrow_udf("struct<n_tokens:bigint,log_likelihood:double>")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary, network = shared.value[0], WindowNetwork(shared.value[1])
+        network = WindowNetwork(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            counts, sums = score_texts(vocabulary, network, texts)
-            rare = [[{"word": w, "n": n} for w, n in vocabulary.bucketed(t).items()] for t in texts]
-            kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
-            columns = [pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(rare, kind)]
-            yield pa.StructArray.from_arrays(columns, ["n_tokens", "log_likelihood", "bucketed"])
+            texts = [read_ids(i) for i in batch.to_pylist()]
+            columns = [pa.array([len(i) for i in texts], pa.int64()), pa.array(score_ids(network, texts), pa.float64())]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "log_likelihood"])
 
-    return score(text)
+    return score(ids)
 
 
 def likelihoods(documents: DataFrame) -> DataFrame:
     """doc_id, n_tokens and log_likelihood of every document under a model learned from all of them."""
     counts = word_counts(documents)
-    vocabulary, values = learn(documents, counts)
-    found = documents.select("doc_id", scored(documents.sparkSession, vocabulary, values, F.col("text")).alias("f"))
-    found = written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.*"), "lm-scored")
-    words = found.select("row", F.explode("bucketed").alias("b")).select("row", "b.*")
+    vocabulary = Vocabulary(frequent_words(counts))
+    texts = encoded(documents, vocabulary)
+    values = trained(texts)
+    words = texts.select("row", F.explode("bucketed").alias("b")).select("row", "b.*")
     inside = words.join(log_shares(counts, vocabulary), "word").groupBy("row").agg(F.sum(F.col("n") * F.col("log_share")).alias("inside"))
+    found = texts.select("row", "doc_id", scored(documents.sparkSession, values, F.col("ids")).alias("f")).select("row", "doc_id", "f.*")
     total = F.col("log_likelihood") + F.coalesce("inside", F.lit(0.0))
     return found.join(inside, "row", "left").select("doc_id", "n_tokens", total.alias("log_likelihood"))

@@ -39,8 +39,9 @@ def test_scores_are_sums_over_tokens(monkeypatch):
     monkeypatch.setattr(masked_lm, "SCORE_BATCH", 7)
     vocabulary, network = masked_lm.Vocabulary(["the", "cat"]), masked_lm.WindowNetwork()
     texts = ["The cat sat on the mat", "", "x", "the cat " * 11]
-    counts, sums = masked_lm.score_texts(vocabulary, network, texts)
-    assert counts == [6, 0, 1, 22]
+    encoded = [vocabulary.ids(t) for t in texts]
+    assert [len(i) for i in encoded] == [6, 0, 1, 22]
+    sums = masked_lm.score_ids(network, encoded)
     for text, total in zip(texts, sums):
         ids = [0, 0, *vocabulary.ids(text).tolist(), 0, 0]
         want = sum(
@@ -61,9 +62,10 @@ def test_rounds_train_on_every_position(monkeypatch):
     words = [f"w{k}" for k in range(60)]
     vocabulary = masked_lm.Vocabulary(words)
     texts = [" ".join(words[:41]), words[41], "", " ".join(words[42:45]), " ".join(words[45:])]
-    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    ids = [vocabulary.ids(t).astype(np.uint16).tobytes() for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array([k % masked_lm.ROUNDS for k in range(len(ids))]), pa.array(ids, pa.binary())], ["phase", "ids"])
     for round_ in range(masked_lm.ROUNDS):
-        shared = SimpleNamespace(value=(vocabulary, masked_lm.WindowNetwork().flat))
+        shared = SimpleNamespace(value=masked_lm.WindowNetwork().flat)
         assert not list(masked_lm._trainer(shared, round_)(iter([batch])))
     assert trained == Counter(range(1, 61))
 
@@ -87,9 +89,9 @@ def test_learning_helps_on_texts_it_has_not_seen(spark):
     documents = spark.read.parquet(f"{DATA}/documents.parquet")
     seen, unseen = documents.filter("doc_id % 5 <> 0"), [r["text"] for r in documents.filter("doc_id % 5 = 0").collect()]
     vocabulary, values = masked_lm.learn(seen)
-    counts, sums = masked_lm.score_texts(vocabulary, masked_lm.WindowNetwork(values), unseen)
-    _, before = masked_lm.score_texts(vocabulary, masked_lm.WindowNetwork(), unseen)
-    assert sum(sums) / sum(counts) > sum(before) / sum(counts) + 0.3
+    ids = [vocabulary.ids(t or "") for t in unseen]
+    gain = sum(masked_lm.score_ids(masked_lm.WindowNetwork(values), ids)) - sum(masked_lm.score_ids(masked_lm.WindowNetwork(), ids))
+    assert gain / sum(map(len, ids)) > 0.3
 
 
 def test_defined_cases(spark):
@@ -97,9 +99,27 @@ def test_defined_cases(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     vocabulary, values = masked_lm.learn(empty)
     assert np.array_equal(values, masked_lm.WindowNetwork().flat)
-    rows = spark.createDataFrame([(1, None, 2), (1, None, 2), (None, "", 0), (3, "a b", 1)], "doc_id bigint, text string, n_tokens int")
-    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(1, None, 2), (1, None, 2), (None, "", 0), (3, "a b " * 50_000, 1)], "doc_id bigint, text string, n_tokens int")
+    found = masked_lm.likelihoods(rows).collect()
+    assert sorted(r["n_tokens"] for r in found) == [0, 0, 0, 100_000]
+    assert all(r["log_likelihood"] == 0 for r in found if not r["n_tokens"])
+    assert masked_lm.likelihoods(empty).count() == 0
 
-    found = rows.select("doc_id", masked_lm.scored(spark, vocabulary, values, F.col("text")).alias("f")).collect()
-    assert sorted(r["f"]["n_tokens"] for r in found) == [0, 0, 0, 2]
-    assert all(r["f"]["log_likelihood"] == 0 for r in found if not r["f"]["n_tokens"])
+
+def test_likelihoods_equal_plain_sums(spark):
+    """End to end against the network applied word by word and shares counted in plain Python."""
+    common.prepared(spark)
+    documents = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    texts = {r["doc_id"]: (r["text"] or "").lower().split() for r in documents.collect()}
+    vocabulary, values = masked_lm.learn(documents)
+    network = masked_lm.WindowNetwork(values)
+    counts = Counter(w for words in texts.values() for w in words)
+    rare = {w: zlib.crc32(w.encode()) % (masked_lm.SIZE - 1 - masked_lm.WORDS) for w in counts if w not in vocabulary.known}
+    totals = Counter()
+    for w, bucket in rare.items():
+        totals[bucket] += counts[w]
+    for r in masked_lm.likelihoods(documents).collect():
+        words = texts[r["doc_id"]]
+        want = masked_lm.score_ids(network, [vocabulary.ids(" ".join(words))])[0]
+        want += sum(np.log(counts[w] / totals[rare[w]]) for w in words if w in rare)
+        assert r["n_tokens"] == len(words) and abs(r["log_likelihood"] - want) < 1e-3 * max(1, len(words))
