@@ -11,6 +11,9 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesloom.session import shared_dir
+from salesloom.sources.pages import read_pages
+
 MONEY = "decimal(18,2)"
 
 
@@ -113,7 +116,9 @@ def order_parts(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_tax").cast(MONEY).alias("tax"),
     )
     lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    return orders_with_customers(spark, folder).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = orders_with_customers(spark, folder).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # The joined sides may all be broadcast, and the scan of the orders be one split: the texts are built in many tasks.
+    return joined.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
 
 
 def _money(amount: Column, code: Column | None = None) -> Column:
@@ -182,7 +187,15 @@ def created_text(status: Column, day: Column) -> Column:
     )
 
 
+@cache
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The order pages as text files, written once a session, as recorded pages lie: queries start from them."""
+    path = f"{shared_dir(spark, 'order-pages')}/orders"
+    built_order_pages(spark, folder).write.text(path)
+    return read_pages(spark, path)
+
+
+def built_order_pages(spark: SparkSession, folder: str) -> DataFrame:
     """One page document per order; pages of pending orders have two edges that hold no order."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     key = F.col("o_orderkey").cast("string")

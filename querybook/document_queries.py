@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from salesloom import schemas
 from salesloom.functions.money import as_doubles
 from salesloom.functions.text import level_from_tags, shop_label, store_domain
 from salesloom.operators import children, narrow, products
+from salesloom.operators.wide import wide_columns
 from salesloom.operators.wide import wide_orders as map_orders
 from salesloom.plans.run import day_summary
 from salesloom.sources import inbox, pages
@@ -30,6 +33,10 @@ def wide(spark: SparkSession, folder: str) -> DataFrame:
     return map_orders(nodes(spark, folder), "demo")
 
 
+def some_wide(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+    return wide_columns(adapters.order_pages(spark, folder), "demo", columns)
+
+
 def _wide_sql(columns: list[str]) -> str:
     shown = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in _WIDE_MONEY else c for c in columns)
     return f"WITH {sql.WIDE} SELECT {shown} FROM wide"
@@ -87,12 +94,12 @@ def wide_discounts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {sql.WIDE}, {sql.NARROW} SELECT {sql.RAW_OUT} FROM raw_orders")
 def narrow_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return as_doubles(narrow.narrow_orders(wide(spark, folder)))
+    return as_doubles(narrow.narrow_orders(some_wide(spark, folder, narrow.ORDER_READS)))
 
 
 @query(f"WITH {sql.WIDE}, {sql.NARROW} SELECT * FROM raw_customers")
 def narrow_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return narrow.narrow_customers(wide(spark, folder))
+    return narrow.narrow_customers(some_wide(spark, folder, narrow.CUSTOMER_READS))
 
 
 @query(
@@ -118,7 +125,8 @@ _KNOWN = "JOIN customer ON o_custkey = c_custkey"
 FROM orders {_KNOWN} LEFT JOIN placed ON l_orderkey = o_orderkey"""
 )
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    rows = children.order_lines(nodes(spark, folder)).select(
+    parsed = pages.order_nodes(adapters.order_pages(spark, folder), fields=children.LINE_READS)
+    rows = children.order_lines(parsed).select(
         "shopify_gid", "legacy_order_id", F.col("position").cast("bigint").alias("position"), "line_id", "line_name", "sku",
         F.col("quantity").cast("bigint").alias("quantity"), "unit_price", "total_discount",
     )

@@ -25,9 +25,14 @@ def _children(nodes: DataFrame, items: Column, name: str) -> DataFrame:
     )
 
 
+# What the child tables read of a node.
+CHILD_KEYS = ("id", "legacyResourceId")
+LINE_READS = (*CHILD_KEYS, "lineItems")
+
+
 def order_lines(nodes: DataFrame) -> DataFrame:
     line = F.col("line")
-    return _children(with_lines(nodes), F.col("lines"), "line").select(
+    return _children(with_lines(nodes, schemas.ORDER_LINE), F.col("lines"), "line").select(
         "shopify_gid",
         "legacy_order_id",
         "position",

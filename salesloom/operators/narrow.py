@@ -11,6 +11,11 @@ from salesloom.functions.text import empty_to, trim_u
 from salesloom.operators.incremental import latest
 
 
+# What the narrow tables read of the wide one.
+ORDER_READS = ("legacy_order_id", "customer_legacy_id", "created_at", "total_price", "currency_code", "shipping_country", "totalrefunded")
+CUSTOMER_READS = ("customer_legacy_id", "customer_display_name", "shipping_city", "legacy_order_id", "shopify_gid")
+
+
 def narrow_orders(wide: DataFrame) -> DataFrame:
     """raw_orders out of the wide table; rows without id, customer, time or price drop out."""
     complete = wide.dropna(subset=["legacy_order_id", "customer_legacy_id", "created_at", "total_price"])

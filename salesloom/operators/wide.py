@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from salesloom import schemas
 from salesloom.functions.clock import CITY_ZONES, city_clock, instant, wall_clock
 from salesloom.functions.money import money_or_zero, to_money
 from salesloom.functions.text import blank_to, or_empty, strip_all
-from salesloom.sources.pages import objects, order_number, whole_number
+from salesloom.sources.pages import objects, order_nodes, order_number, whole_number
 
 # Gift and sample items that do not count as products.
 EXCLUDED_SKUS = ("DG-002", "DG-004", "TBFS-01")
@@ -75,15 +75,66 @@ def line_discounts(lines: Column) -> Column:
     return F.transform(lines, line_info)
 
 
-def with_lines(nodes: DataFrame) -> DataFrame:
+def with_lines(nodes: DataFrame, shape: str = schemas.WIDE_LINE) -> DataFrame:
     """Nodes with their parsed lines, so that no later expression parses them again."""
     none = F.array().cast("array<string>")
     given = F.coalesce(F.col("node.lineItems.nodes"), none)
     return nodes.withColumn("line_texts", F.filter(given, lambda item: item.startswith("{"))).withColumn(
-        "lines", F.transform("line_texts", lambda item: F.from_json(item, schemas.ORDER_LINE))
+        "lines", F.transform("line_texts", lambda item: F.from_json(item, shape))
     )
 
 
+_ID, _CUSTOMER_ID = ("legacyResourceId", "id"), "customer.legacyResourceId"
+# What each wide column reads of an order node.
+NODE_READS: dict[str, tuple[str, ...]] = {
+    "shopify_gid": ("id",),
+    "shop_name": (),
+    "order_id": ("name",),
+    "legacy_order_id": _ID,
+    "customer_legacy_id": (*_ID, _CUSTOMER_ID),
+    "created_at": ("createdAt",),
+    **{name: ("createdAt",) for name in CITY_ZONES},
+    "order_status": ("displayFinancialStatus",),
+    "product_quantity": ("currentSubtotalLineItemsQuantity",),
+    "total_product_amount": ("lineItems",),
+    "shippingfee": ("totalShippingPriceSet",),
+    "total_product_discount": ("lineItems",),
+    "discountfee": ("totalDiscountsSet",),
+    "tax": ("totalTaxSet",),
+    "logistics_status": ("displayFulfillmentStatus",),
+    "marketing_intention": ("customerAcceptsMarketing",),
+    "currency_code": ("currencyCode",),
+    "total_price": ("totalPriceSet",),
+    "product_sales": ("subtotalPriceSet",),
+    "totalrefunded": ("totalRefundedSet",),
+    "discount_method": (),
+    "customer_display_name": ("customer.displayName", "customer.firstName", "customer.lastName"),
+    "customer_email": ("customer.email",),
+    "customer_phone": ("customer.phone",),
+    "bill_country": ("billingAddress",),
+    **{f"shipping_{part}": (f"shippingAddress.{part}",) for part in ("address1", "address2", "city", "province", "country", "zip", "phone", "name")},
+    "discount_code": ("discountCode",),
+    "updated_at": ("updatedAt",),
+    "cancelled_at": ("cancelledAt",),
+    "cancel_reason": ("cancelReason",),
+    "product_details": ("lineItems",),
+    "discount_information": ("lineItems",),
+    "billing_address": ("billingAddress",),
+    "refunds": ("refunds",),
+    "etl_synced_at": (),
+}
+
+
+def node_fields(columns: Iterable[str]) -> list[str]:
+    """The node fields that these wide columns read, for `order_nodes(fields=...)`."""
+    return list(dict.fromkeys(path for name in columns for path in NODE_READS[name])) or ["id"]
+
+
+def wide_columns(pages_: DataFrame, shop_name: str, columns: Sequence[str], on_fault: str = "raise") -> DataFrame:
+    """Some wide columns straight from order pages; of each node only what they read is parsed."""
+    return wide_orders(order_nodes(pages_, on_fault, fields=node_fields(columns)), shop_name, columns=columns)
+
+
 def _json(value: Column) -> Column:
     return F.to_json(value, {"ignoreNullFields": "false"})
 
@@ -94,31 +145,36 @@ def wide_orders(
     excluded_skus: Sequence[str] = EXCLUDED_SKUS,
     keep: Sequence[str] = (),
     versioned: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The 44 columns of the wide order table, plus `keep` columns of the pages.
+    """The 44 columns of the wide order table, or those in `columns`, plus `keep` columns of the pages.
 
     `versioned` adds `version_at`, the point in time of the update: the text columns drop the offset and the
     fractions of a second, so they cannot order versions.
     """
     node = F.col("node")
-    prepared = with_lines(nodes).select(
-        *keep,
-        "node",
-        "line_texts",
-        "lines",
-        instant(node["createdAt"]).alias("created"),
-        order_number(node).alias("legacy_order_id"),
-        whole_number(node["customer"]["legacyResourceId"]).alias("customer_number"),
-        F.when(node["billingAddress"].startswith("{"), node["billingAddress"]).alias("billing"),
-        _line_totals(F.col("lines"), excluded_skus).alias("products"),
-    )
+    wanted = list(schemas.WIDE_ORDER_TYPES) if columns is None else list(columns)
+    reads = {path.partition(".")[0] for path in node_fields(wanted)}
+    helpers = {"node": node}
+    if "lineItems" in reads:
+        nodes = with_lines(nodes)
+        helpers |= {"line_texts": F.col("line_texts"), "lines": F.col("lines"), "products": _line_totals(F.col("lines"), excluded_skus)}
+    if "createdAt" in reads:
+        helpers["created"] = instant(node["createdAt"])
+    if "legacyResourceId" in reads:
+        helpers["legacy_order_id"] = order_number(node)
+    if "customer_legacy_id" in wanted:
+        helpers["customer_number"] = whole_number(node["customer"]["legacyResourceId"])
+    if "billingAddress" in reads:
+        helpers["billing"] = F.when(node["billingAddress"].startswith("{"), node["billingAddress"])
+    prepared = nodes.select(*keep, *[value.alias(name) for name, value in helpers.items()])
     lines, created = F.col("lines"), F.col("created")
     customer, shipping = node["customer"], node["shippingAddress"]
     no_customer = F.coalesce(F.col("customer_number"), F.lit(0)) == 0
     full_name = strip_all(
         F.concat(strip_all(or_empty(customer["firstName"])), F.lit(" "), strip_all(or_empty(customer["lastName"])))
     )
-    columns = {
+    values = {
         "shopify_gid": or_empty(node["id"]),
         "shop_name": F.lit(shop_name),
         "order_id": or_empty(node["name"]),
@@ -164,6 +220,6 @@ def wide_orders(
         "refunds": F.coalesce(node["refunds"], F.lit("null")),
         "etl_synced_at": F.current_timestamp(),
     }
-    typed = [columns[name].cast(kind).alias(name) for name, kind in schemas.WIDE_ORDER_TYPES.items()]
+    typed = [values[name].cast(schemas.WIDE_ORDER_TYPES[name]).alias(name) for name in wanted]
     version = [instant(node["updatedAt"]).alias("version_at")] if versioned else []
     return prepared.select(*keep, *typed, *version)

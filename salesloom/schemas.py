@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 # ---- warehouse layers ------------------------------------------------------
@@ -211,11 +212,15 @@ _ADDRESS = (
     " country: STRING, zip: STRING, phone: STRING, name: STRING>"
 )
 
+# What the wide table reads of a line, and what the table of lines reads.
+WIDE_LINE = (
+    f"name STRING, quantity STRING, sku STRING, originalUnitPriceSet {_MONEY}, totalDiscountSet {_MONEY},"
+    " discountAllocations ARRAY<STRING>"
+)
 ORDER_LINE = (
     "id STRING, name STRING, quantity STRING, currentQuantity STRING, isGiftCard BOOLEAN, sku STRING, vendor STRING,"
     " product STRUCT<id: STRING, title: STRING>,"
-    f" originalTotalSet {_MONEY}, originalUnitPriceSet {_MONEY}, discountedTotalSet {_MONEY}, totalDiscountSet {_MONEY},"
-    " discountAllocations ARRAY<STRING>"
+    f" originalTotalSet {_MONEY}, originalUnitPriceSet {_MONEY}, discountedTotalSet {_MONEY}, totalDiscountSet {_MONEY}"
 )
 
 DISCOUNT_ALLOCATION = (
@@ -224,12 +229,12 @@ DISCOUNT_ALLOCATION = (
 )
 
 ORDER_NODE = (
-    "STRUCT<id: STRING, legacyResourceId: STRING, name: STRING, createdAt: STRING, processedAt: STRING,"
+    "STRUCT<id: STRING, legacyResourceId: STRING, name: STRING, createdAt: STRING,"
     " updatedAt: STRING, cancelledAt: STRING, cancelReason: STRING, displayFinancialStatus: STRING,"
     " displayFulfillmentStatus: STRING, customerAcceptsMarketing: BOOLEAN, currentSubtotalLineItemsQuantity: STRING,"
-    " email: STRING, phone: STRING, currencyCode: STRING, discountCode: STRING, tags: ARRAY<STRING>, note: STRING,"
+    " currencyCode: STRING, discountCode: STRING,"
     f" subtotalPriceSet: {_MONEY}, totalShippingPriceSet: {_MONEY}, totalDiscountsSet: {_MONEY}, totalTaxSet: {_MONEY},"
-    f" currentCartDiscountAmountSet: {_MONEY}, totalPriceSet: {_MONEY}, totalRefundedSet: {_MONEY},"
+    f" totalPriceSet: {_MONEY}, totalRefundedSet: {_MONEY},"
     " customer: STRUCT<id: STRING, legacyResourceId: STRING, displayName: STRING, email: STRING, phone: STRING,"
     " firstName: STRING, lastName: STRING>,"
     f" shippingAddress: {_ADDRESS}, billingAddress: STRING, lineItems: STRUCT<nodes: ARRAY<STRING>>,"
@@ -279,3 +284,34 @@ COMPACT_ORDER_NODE = (
     f" currentTotalPriceSet: {_MONEY},"
     f" customer: {CUSTOMER_NODE}>"
 )
+
+
+def pruned(shape: str, paths: Iterable[str]) -> str:
+    """A struct type with only those fields that the dotted paths name, in its own order.
+
+    The JSON parser then passes over everything else without building values. A path to a struct takes all of it; an unknown one is an error.
+    """
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        name, _, rest = path.partition(".")
+        wanted.setdefault(name, []).append(rest)
+    fields, known = [], dict(_fields(shape))
+    for name, rests in wanted.items():
+        if name not in known or (all(rests) and not known[name].startswith("STRUCT<")):
+            raise ValueError(f"no field {name} in {shape}")
+    for name, kind in known.items():
+        if name in wanted:
+            fields.append(f"{name}: {kind if '' in wanted[name] else pruned(kind, wanted[name])}")
+    return f"STRUCT<{', '.join(fields)}>"
+
+
+def _fields(shape: str) -> list[tuple[str, str]]:
+    """Names and types of a struct type's fields."""
+    found, depth, start, inner = [], 0, 0, shape.removeprefix("STRUCT<").removesuffix(">")
+    for at, sign in enumerate(f"{inner},"):
+        depth += (sign == "<") - (sign == ">")
+        if sign == "," and depth == 0:
+            name, _, kind = inner[start:at].strip().partition(":")
+            found.append((name.strip(), kind.strip()))
+            start = at + 1
+    return found

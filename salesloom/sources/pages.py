@@ -7,6 +7,8 @@ split; `day=YYYY-MM-DD` folders become a `day` column and prune the scan.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,8 +92,12 @@ def unfinished(pages: DataFrame, root: str, by: str = "day") -> DataFrame:
     return pages.groupBy(by).agg(F.bool_and(more).alias("unfinished"), F.count("*").alias("page_count")).filter("unfinished").drop("unfinished")
 
 
-def order_nodes(pages: DataFrame, on_fault: str = "raise", position: str | None = None) -> DataFrame:
-    return nodes(pages, "orders", schemas.ORDER_NODE, on_fault, position)
+def order_nodes(
+    pages: DataFrame, on_fault: str = "raise", position: str | None = None, fields: Iterable[str] | None = None
+) -> DataFrame:
+    """Order nodes; `fields` are the dotted paths that are read of them, all by default."""
+    shape = schemas.ORDER_NODE if fields is None else schemas.pruned(schemas.ORDER_NODE, fields)
+    return nodes(pages, "orders", shape, on_fault, position)
 
 
 def product_nodes(pages: DataFrame) -> DataFrame:
