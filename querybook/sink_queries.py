@@ -17,6 +17,7 @@ from salesloom.plans.run import Paths, RunOptions, run
 from salesloom.plans.warehouse import write_warehouse
 from salesloom.session import shared_dir
 from salesloom.sinks import files
+from salesloom.sinks.versioned import VersionedTable
 from salesloom.sources import csv_files, pages
 from salesloom.sources.tables import Warehouse
 from salesloom.streaming import jobs
@@ -138,13 +139,13 @@ def stream_without_repeats(spark: SparkSession, folder: str) -> DataFrame:
     " QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 )
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Four micro-batches of events merged by user, the folders compacted on the way."""
     events = adapters.table(spark, folder, "events")
-    stream = jobs.file_stream(spark, _event_pattern(folder), events.schema).select(
-        "user_id", "event_id", "ts", "event_type", "value"
-    )
-    out, checkpoint = shared_dir(spark, "stream-upsert"), shared_dir(spark, "stream-upsert-state")
-    jobs.land_latest(stream, ["user_id"], ["ts", "event_id"], out, checkpoint).awaitTermination()
-    return jobs.current_rows(spark, out, ["user_id"], ["ts", "event_id"])
+    path, events = _stored(spark, events.repartition(4, F.xxhash64("event_id")), "events")
+    stream = jobs.file_stream(spark, path, events.schema, max_files=1).select("user_id", "event_id", "ts", "event_type", "value")
+    table = VersionedTable(spark, shared_dir(spark, "stream-upsert"), ("user_id",), ("ts", "event_id"))
+    jobs.merge_latest(stream, table, shared_dir(spark, "stream-upsert-state"), "events", compact_every=2).awaitTermination()
+    return table.read()
 
 
 @query(
@@ -198,11 +199,10 @@ def stream_day_sync(spark: SparkSession, folder: str) -> DataFrame:
     root = f"{shared_dir(spark, 'pages')}/orders"
     documents = adapters.event_pages(spark, folder).withColumnRenamed("document", "value")
     documents.hint("rebalance", "day").write.partitionBy("day").text(root)
-    out, checkpoint = shared_dir(spark, "stream-days"), shared_dir(spark, "stream-days-state")
+    table = VersionedTable(spark, shared_dir(spark, "stream-days"), ("shopify_gid",), ("version_at", "edge"))
     stream = jobs.page_stream(spark, root, max_files=20)
-    jobs.land_wide_orders(stream, "demo", out, checkpoint).awaitTermination()
-    current = jobs.current_rows(spark, out, ["shopify_gid"], ["version_at", "edge"])
-    return current.select("shopify_gid", F.date_format("version_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"), "day")
+    jobs.merge_wide_orders(stream, "demo", table, shared_dir(spark, "stream-days-state")).awaitTermination()
+    return table.read().select("shopify_gid", F.date_format("version_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"), "day")
 
 
 # ---- CSV and the run --------------------------------------------------------

@@ -200,6 +200,8 @@ PUBLISHED: tuple[PublishedTable, ...] = (
 # The wide order table is upserted on its own and is not part of the full publish.
 WIDE_TABLE_NAME = "shopify_orders"
 WIDE_KEY = ("shopify_gid",)
+# Tables that are merged when read: their key, and what orders the versions of a key.
+VERSIONED: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {"raw_shopify_orders": (WIDE_KEY, ("version_at", "edge"))}
 WIDE_NOT_NULL = ("shopify_gid", "shop_name", "etl_synced_at")
 
 # ---- page documents --------------------------------------------------------

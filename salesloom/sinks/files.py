@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom import schemas
-from salesloom.operators.incremental import latest, unseen
+from salesloom.operators.incremental import unseen
 from salesloom.session import shared_dir
 from salesloom.sources.tables import Warehouse
 
@@ -31,13 +33,13 @@ def write_partitioned(warehouse: Warehouse, table: str, rows: DataFrame, column:
 def append_unseen_orders(warehouse: Warehouse, incoming: DataFrame) -> int:
     """Append orders with new ids to raw_orders; returns how many. A repeated run appends nothing."""
     existing = warehouse.read("raw_orders")
-    before = existing.count()
     # Held as files: the batch is read for its bounds and for its rows, and its source is parsed once.
     arrived = f"{shared_dir(warehouse.spark, 'orders-batch')}/rows"
     incoming.write.parquet(arrived)
     fresh = unseen(existing, warehouse.spark.read.parquet(arrived)).select(*existing.columns)
-    fresh.write.mode("append").parquet(warehouse.path("raw_orders"))
-    return warehouse.read("raw_orders").count() - before
+    added = Observation()
+    fresh.observe(added, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(warehouse.path("raw_orders"))
+    return added.get["rows"]
 
 
 def write_csv(rows: DataFrame, path: str) -> str:
@@ -88,15 +90,47 @@ def write_quality_report(checks: DataFrame, path: str) -> DataFrame:
     return checks.sparkSession.read.schema(shape).json(path).select(F.inline("checks"))
 
 
-def append_snapshot(wide: DataFrame, path: str, day: str = "snapshot_day") -> None:
-    """Append the rows of a run to the JSON snapshot, in folders by day; nothing is rewritten."""
-    stamped = wide.withColumn("snapshot_saved_at", F.current_timestamp())
+def append_snapshot(
+    wide: DataFrame, path: str, day: str = "snapshot_day", log: str | None = None, shop_name: str = "", days: tuple[Column, Column] | None = None
+) -> None:
+    """Append the rows of a run to the JSON snapshot, in folders by day; nothing is rewritten.
+
+    `log` names the folder of the commit log: one record a run, written behind the rows. Rows of a run without record (a job
+    that died) are not part of the snapshot; see `read_snapshot`.
+    """
+    run_id = uuid.uuid4().hex
+    added = Observation()
+    stamped = wide.withColumn("snapshot_saved_at", F.current_timestamp()).withColumn("snapshot_run", F.lit(run_id))
+    stamped = stamped.observe(added, F.count(F.lit(1)).alias("rows"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
     stamped.hint("rebalance", day).write.mode("append").partitionBy(day).json(path)
+    if log is None:
+        return
+    found = added.get
+    first, last = days or (F.lit(found["first_day"]).cast("date"), F.lit(found["last_day"]).cast("date"))
+    spark = wide.sparkSession
+    record = spark.range(1).select(
+        F.lit(run_id).alias("run_id"), F.lit(shop_name).alias("shop_name"), first.alias("first_day"), last.alias("last_day"),
+        F.lit(found["rows"]).cast("bigint").alias("rows_added"), F.current_timestamp().alias("saved_at"),
+    )
+    record.coalesce(1).write.mode("append").json(log)
+
+
+def snapshot_runs(spark: SparkSession, log: str) -> DataFrame:
+    """The commit log of the snapshot: each run with shop, day range, rows added and the rows of the snapshot after it."""
+    shape = "run_id string, shop_name string, first_day date, last_day date, rows_added bigint, saved_at timestamp"
+    # One row a run: the log is as long as the snapshot has runs.
+    until = Window.partitionBy("shop_name").orderBy("saved_at", "run_id").rowsBetween(Window.unboundedPreceding, 0)
+    return spark.read.schema(shape).json(log).withColumn("snapshot_total_orders", F.sum("rows_added").over(until))
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, log: str | None = None) -> DataFrame:
+    """The rows of the snapshot; with its log, those of committed runs only."""
     kinds = ", ".join(f"{name} {kind}" for name, kind in schemas.WIDE_ORDER_TYPES.items())
-    return spark.read.schema(f"{kinds}, snapshot_saved_at timestamp, snapshot_day date").json(path)
+    rows = spark.read.schema(f"{kinds}, snapshot_saved_at timestamp, snapshot_run string, snapshot_day date").json(path)
+    if log is None:
+        return rows
+    runs = snapshot_runs(spark, log).select(F.col("run_id").alias("snapshot_run"))
+    return rows.join(runs, "snapshot_run", "left_semi").select(*rows.columns)
 
 
 def snapshot_summary(snapshot: DataFrame, shop_label: Column | str) -> DataFrame:
@@ -118,46 +152,25 @@ def export_products(nodes: DataFrame, path: str, store_domain: str) -> DataFrame
     return nodes.sparkSession.read.json(f"{path}/meta")
 
 
-# Folders of the wide table. Fixed for the life of a table: rows would not meet their older versions otherwise.
-WIDE_BUCKETS = 64
-
-
 def _versioned(rows: DataFrame) -> DataFrame:
-    """The wide columns with version, place in the page and bucket; rows without a version take their update text as UTC."""
+    """The wide columns with version and place in the page; rows without a version take their update text as UTC."""
     version = F.col("version_at") if "version_at" in rows.columns else F.to_timestamp("updated_at", "yyyy-MM-dd HH:mm:ss")
     edge = F.col("edge") if "edge" in rows.columns else F.lit(0)
-    bucket = F.pmod(F.xxhash64(*schemas.WIDE_KEY), F.lit(WIDE_BUCKETS)).cast("int")
-    return rows.select(
-        *schemas.WIDE_ORDER_COLUMNS, version.alias("version_at"), edge.cast("int").alias("edge"), bucket.alias("bucket")
-    )
+    return rows.select(*schemas.WIDE_ORDER_COLUMNS, version.alias("version_at"), edge.cast("int").alias("edge"))
 
 
 def upsert_wide(warehouse: Warehouse, incoming: DataFrame) -> int:
-    """Replace the incoming orders in raw_shopify_orders by their latest version; returns rows touched.
+    """Add the incoming orders to raw_shopify_orders; returns the orders written.
 
-    The table lies in folders by a hash of the order's key, so all versions of an order meet whatever else changes, and
-    only the folders that the batch touches are read and rewritten. The latest point in time wins; of equal ones the
-    incoming row, and within a batch the later place in its page. Upserts are idempotent: a run that dies while
-    folders are replaced is run again.
+    Only the batch is written; readers take the latest point in time of every order. Of equal ones the later batch
+    wins, and within a batch the later place in its page. Upserts are idempotent: a run that dies is run again.
     """
-    spark = warehouse.spark
-    table = "raw_shopify_orders"
-    arrived = f"{shared_dir(spark, 'wide-batch')}/rows"
-    _versioned(incoming).write.parquet(arrived)
-    batch = spark.read.parquet(arrived)
-    rows = batch.withColumn("arrival", F.lit(1))
-    if warehouse.exists(table):
-        # WIDE_BUCKETS numbers at most: as literals they prune the folders of the table.
-        buckets = [r.bucket for r in batch.select("bucket").distinct().collect()]
-        touched = warehouse.read(table).filter(F.col("bucket").isin(buckets))
-        rows = rows.unionByName(touched.withColumn("arrival", F.lit(0)))
-    merged = f"{shared_dir(spark, 'wide-merged')}/rows"
-    newest = latest(rows, [*schemas.WIDE_KEY, "bucket"], ["version_at", "arrival", "edge"]).drop("arrival")
-    newest.hint("rebalance", "bucket").write.parquet(merged)
-    spark.read.parquet(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(
-        warehouse.path(table)
-    )
-    return batch.count()
+    return warehouse.versioned("raw_shopify_orders").upsert(_versioned(incoming))
+
+
+def compact_wide(warehouse: Warehouse, everything: bool = False) -> int:
+    """Merge the youngest batches of the wide table (or all) into one folder: a job of its own, beside running syncs."""
+    return warehouse.versioned("raw_shopify_orders").compact(everything)
 
 
 def read_wide(warehouse: Warehouse) -> DataFrame:

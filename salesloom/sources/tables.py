@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom import schemas
+from salesloom.sinks.versioned import VersionedTable
 
 # Rows shown by default and at most.
 DEFAULT_ROWS = 500
@@ -26,10 +27,18 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{schemas.LAYER_OF[table]}/{table}"
 
+    def versioned(self, table: str) -> VersionedTable:
+        """A table that is kept as versions and merged when read."""
+        return VersionedTable(self.spark, self.path(table), *schemas.VERSIONED[table])
+
     def read(self, table: str) -> DataFrame:
+        if table in schemas.VERSIONED:
+            return self.versioned(table).read()
         return self.spark.read.parquet(self.path(table))
 
     def exists(self, table: str) -> bool:
+        if table in schemas.VERSIONED:
+            return self.versioned(table).exists()
         try:
             self.read(table)
         except AnalysisException as error:

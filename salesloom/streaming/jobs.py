@@ -1,6 +1,6 @@
 """Structured Streaming forms of the incremental jobs.
 
-Every job lands its micro-batches as folders `batch_id=<n>` of immutable files. A
+Upserts go into versioned tables. Every other job lands its micro-batches as folders `batch_id=<n>` of immutable files. A
 batch that runs again after a failure replaces its own folder and nothing else, so
 results are exactly-once; readers resolve versions with the batch operators.
 """
@@ -8,6 +8,7 @@ results are exactly-once; readers resolve versions with the batch operators.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.operators import marts
-from salesloom.operators.incremental import latest, unseen
+from salesloom.operators.incremental import unseen
 from salesloom.operators.wide import wide_orders
 from salesloom.session import configure
+from salesloom.sinks.versioned import VersionedTable
 from salesloom.sources import pages
 
 # State on disk instead of in executor memory.
@@ -100,33 +102,30 @@ def without_repeats(stream: DataFrame, key: Sequence[str], clock: str, delay: st
     return stream.withWatermark(clock, delay).dropDuplicatesWithinWatermark(list(key))
 
 
-def land_latest(
-    stream: DataFrame, key: Sequence[str], version: Sequence[str], out: str, checkpoint: str
+def merge_latest(
+    stream: DataFrame, table: VersionedTable, checkpoint: str, writer: str, compact_every: int = 8, available_now: bool = True
 ) -> StreamingQuery:
-    """Land each micro-batch's latest row per key."""
-    return land(stream, out, checkpoint, lambda batch, _: latest(batch, key, version))
-
-
-def current_rows(spark: SparkSession, out: str, key: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The latest version of every key over all landed batches; a late old version changes nothing."""
-    rows = landed(spark, out)
-    if rows is None:
-        raise ValueError(f"nothing has landed in {out} yet")
-    return latest(rows, key, [*version, "batch_id"]).drop("batch_id")
+    """Upsert a stream into a versioned table: each micro-batch writes its latest rows and commits them under its number.
 
+    A micro-batch that runs again after a failure finds its number committed and changes nothing. Every `compact_every` batches the youngest
+    folders of like size are merged, so readers meet few folders however long the stream has run.
+    """
 
-def compact(spark: SparkSession, out: str, key: Sequence[str], version: Sequence[str], target: str) -> None:
-    """Write the current rows as the base of a new folder, for streams with a long history.
+    def write(batch: DataFrame, batch_id: int) -> None:
+        configure(batch.sparkSession)
+        here = replace(table, spark=batch.sparkSession)
+        here.upsert(batch, writer, batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            here.compact()
 
-    The base is batch -1, a number that no micro-batch has: a stream that starts on the folder leaves it alone.
-    """
-    current_rows(spark, out, key, version).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    started = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (started.trigger(availableNow=True) if available_now else started).start()
 
 
-def land_wide_orders(page_documents: DataFrame, shop_name: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Stream order pages into wide order rows, the latest per order of each micro-batch."""
+def merge_wide_orders(page_documents: DataFrame, shop_name: str, table: VersionedTable, checkpoint: str) -> StreamingQuery:
+    """Stream order pages into a versioned wide table with the day of each row's page."""
     wide = wide_orders(pages.order_nodes(page_documents, position="edge"), shop_name, keep=("day", "edge"), versioned=True)
-    return land_latest(wide, ["shopify_gid"], ["version_at", "edge"], out, checkpoint)
+    return merge_latest(wide, table, checkpoint, f"pages of {shop_name}")
 
 
 _CUSTOMER_DAY = ("customer_id", "order_date", "order_month", "currency_code")

@@ -109,21 +109,21 @@ def updates(spark, *rows):
     return wide_orders(pages.order_nodes(documents(spark, page(*nodes))), "demo")
 
 
-def test_wide_upsert_rewrites_touched_folders_only(spark, folder):
+def test_wide_upsert_writes_its_batch_only(spark, folder):
     warehouse = Warehouse(spark, folder)
+    assert not warehouse.exists("raw_shopify_orders")
     files.upsert_wide(warehouse, updates(spark, (1, "2026-01-05T00:00:00Z", "2026-01-05T00:00:00Z", "a"),
                                          (3, "2026-02-05T00:00:00Z", "2026-02-05T00:00:00Z", "a"), (4, None, None, "a")))
-    stored = spark.read.parquet(warehouse.path("raw_shopify_orders"))
-    bucket = {r.shopify_gid: r.bucket for r in stored.collect()}
-    assert bucket["g/1"] not in (bucket["g/3"], bucket["g/4"])
-    old_files = [f for f in stored.inputFiles() if f"bucket={bucket['g/1']}/" in f]
+    held = warehouse.versioned("raw_shopify_orders").manifest().folders
     touched = files.upsert_wide(warehouse, updates(spark, (3, "2026-02-05T00:00:00Z", "2026-03-01T00:00:00Z", "b"),
                                                    (3, "2026-02-05T00:00:00Z", "2026-02-01T00:00:00Z", "stale"), (4, None, None, "c")))
-    assert touched == 3
-    names = {r.shopify_gid: r.order_id for r in files.read_wide(warehouse).collect()}
-    assert names == {"g/1": "a", "g/3": "b", "g/4": "c"}
-    now = spark.read.parquet(warehouse.path("raw_shopify_orders")).inputFiles()
-    assert set(old_files) <= set(now) and old_files
+    assert touched == 2
+    now = warehouse.versioned("raw_shopify_orders").manifest().folders
+    assert now[:1] == held and [f.rows for f in now] == [3, 2]
+    want = {"g/1": "a", "g/3": "b", "g/4": "c"}
+    assert {r.shopify_gid: r.order_id for r in files.read_wide(warehouse).collect()} == want
+    assert files.compact_wide(warehouse) == 2 and files.compact_wide(warehouse) == 0
+    assert {r.shopify_gid: r.order_id for r in files.read_wide(warehouse).collect()} == want
 
 
 def versions(spark, *rows):
