@@ -290,15 +290,19 @@ def encoded(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     @F.arrow_udf("struct<phase:int,ids:binary,bucketed:array<struct<word:string,n:bigint>>>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = shared.value
-        kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
         for batch in batches:
-            phases, ids, rare = [], [], []
+            phases, ids, words, counts, ends = [], [], [], [], [0]
             for text in batch.to_pylist():
-                words = text.lower().split()
+                given = text.lower().split()
                 phases.append(zlib.crc32(text[:64].encode("utf-8", "replace")) % ROUNDS)
-                ids.append(vocabulary.ids_of(words).astype(np.uint16).tobytes())
-                rare.append([{"word": w, "n": n} for w, n in vocabulary.bucketed(words).items()])
-            yield pa.StructArray.from_arrays([pa.array(phases, pa.int32()), pa.array(ids, pa.binary()), pa.array(rare, kind)], ["phase", "ids", "bucketed"])
+                ids.append(vocabulary.ids_of(given).astype(np.uint16).tobytes())
+                rare = vocabulary.bucketed(given)
+                words += rare.keys()
+                counts += rare.values()
+                ends.append(len(words))
+            entries = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+            rare_lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+            yield pa.StructArray.from_arrays([pa.array(phases, pa.int32()), pa.array(ids, pa.binary()), rare_lists], ["phase", "ids", "bucketed"])
 
     found = documents.select("doc_id", encode(whole()).alias("f"))
     return written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.*"), "lm-ids")
