@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,17 @@ from salesloom.llm.common import chunks_by_size, whole, written
 SYMBOLS = tuple(bytes([s]) for s in b"#*$%&|<>")
 SPACE = "▁"
 # Segments that a worker remembers for each vocabulary, and characters handled at once.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 CHUNK_CHARS = 1_000_000
 # How byte-level patterns end that cut at white space.
 SPACE_ENDING = r"|\s+(?!\S)|\s+"
 # White space as those patterns see it (Python's differs in four control characters).
-_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RARE_WHITE = r"\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WHITE = rf"\n {_RARE_WHITE}"
 _SPACED = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+# Where words cannot just be cut at single spaces: other white space beside a space or of another kind than a line break, space symbols.
+_ODD = re.compile(f"[{_RARE_WHITE}{SPACE}]| [ \\n]|\\n ")
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 _PIECES = re.compile(f"{SPACE}+[^{SPACE}]*")
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -128,13 +133,34 @@ class Vocabularies:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.byte_level = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.spaced = pattern.endswith(SPACE_ENDING) and " ?" in pattern
+        self.words: dict[str, tuple[bytes, int]] = {}
         self.ids: dict[str, bytes] = {}
         self.counts: dict[str, int] = {}
 
     def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, int]]:
         """Ids of each text in the merge vocabulary, and its number of byte-level tokens."""
+        plain = [bool(t) and self.alone and self.spaced and t[0] != " " and t[-1] != " " and not _ODD.search(t) for t in texts]
+        split = [t.split(" ") if p else [] for t, p in zip(texts, plain)]
+        fresh = {w for one in split for w in one if w not in self.words}
+        if len(self.words) + len(fresh) > REMEMBERED:
+            self.words.clear()
+            fresh = {w for one in split for w in one}
+        fresh_list = list(fresh)
+        for w, ids in zip(fresh_list, self.pieces.encode(fresh_list, num_threads=1)):
+            self.words[w] = np.array(ids, np.int32).tobytes(), len(self.byte_level.encode_ordinary(" " + w))
+        others = self._by_runs([t for t, p in zip(texts, plain) if not p])
+        for text, is_plain, one in zip(texts, plain, split):
+            if not is_plain:
+                yield next(others)
+                continue
+            found = list(map(self.words.__getitem__, one))
+            ids = np.frombuffer(b"".join(map(_FIRST, found)), np.int32)
+            # The first word has no space before it.
+            yield ids, sum(map(_SECOND, found)) - found[0][1] + len(self.byte_level.encode_ordinary(one[0]))
+
+    def _by_runs(self, texts: list[str]) -> Iterator[tuple[np.ndarray, int]]:
+        """The same for texts with runs of white space or space symbols, cut by expressions; or whole, where segments do not encode alone."""
         if not self.alone:
-            split = [[] for _ in texts]
             whole_ids = [np.array(i, np.int32) for i in self.pieces.encode(texts, num_threads=1)]
         else:
             split = [_PIECES.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
