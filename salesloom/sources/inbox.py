@@ -1,7 +1,7 @@
 """Inbox source: customers and orders as JSON documents or CSV, with alias names.
 
-A JSON array cannot be split, so one file is one task; a large delivery is a folder
-`orders.json/` of many files. CSV files split.
+A small JSON file is read whole, by one task. An array in a file of more than SPLIT_FROM bytes is read by many tasks (see
+`json_arrays`); an object that holds its array is always read whole. CSV files split.
 """
 
 from __future__ import annotations
@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from salesloom.functions.clock import lenient_date
 from salesloom.functions.money import to_money
 from salesloom.functions.text import blank_to, strip_all
+from salesloom.session import shared_dir
 from salesloom.sources.csv_files import path_exists, read_csv_text
+from salesloom.sources.json_arrays import items_of_arrays
+
+
+SPLIT_FROM = 32 << 20
 
 
 class InboxError(FileNotFoundError):
@@ -54,10 +59,15 @@ def json_records(documents: DataFrame, base: str) -> DataFrame:
         .otherwise(F.raise_error(F.lit(f"{base}: the JSON array cannot be read")))
         .alias("items")
     )
+    return _objects(items)
+
+
+def _objects(lists: DataFrame) -> DataFrame:
+    """One row with a text map for every object in the `items`."""
     records = F.transform(
         F.filter("items", lambda item: item.startswith("{")), lambda item: F.from_json(item, "map<string,string>")
     )
-    return items.select(F.explode(records).alias("record"))
+    return lists.select(F.explode(records).alias("record"))
 
 
 def csv_records(rows: DataFrame) -> DataFrame:
@@ -130,11 +140,29 @@ def inbox_orders(records: DataFrame, today: Column | None = None, cut_ids: bool
 def inbox_records(spark: SparkSession, inbox: str, base: str) -> DataFrame:
     path = pick_inbox_file(spark, inbox, base)
     if path.endswith(".json"):
-        documents = spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
-        return json_records(documents, base)
+        return json_file_records(spark, path, base)
     return csv_records(read_csv_text(spark, path, multiline=True))
 
 
+def json_file_records(spark: SparkSession, path: str, base: str, split_from: int = SPLIT_FROM) -> DataFrame:
+    """Records of a JSON file or a folder of them; large arrays are read by many tasks."""
+    documents = spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
+    size = F.col("_metadata.file_size")
+    small = json_records(documents.filter(size <= split_from).select("document"), base)
+    if documents.filter(size > split_from).select(F.col("_metadata.file_path")).limit(1).isEmpty():
+        return small
+    lists = items_of_arrays(spark, path, split_from)
+    held = f"{shared_dir(spark, 'inbox-items')}/rows"
+    lists.write.parquet(held)
+    lists = spark.read.parquet(held)
+    found = small.unionByName(_objects(lists))
+    objects = lists.filter("items IS NULL").select("file")
+    if objects.isEmpty():
+        return found
+    named = documents.filter(size > split_from).withColumn("file", F.col("_metadata.file_path")).join(objects, "file", "left_semi")
+    return found.unionByName(json_records(named.select("document"), base))
+
+
 def read_inbox(spark: SparkSession, inbox: str, today: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Customers and orders of an inbox folder."""
     if not path_exists(spark, inbox):
