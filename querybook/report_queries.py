@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from querybook import adapters
 from querybook import sql_parts as sql
 from querybook.registry import query
 from querybook.warehouse_queries import _dim, fact
 from salesloom.functions.money import as_doubles
-from salesloom.operators import layers, marts, reports
+from salesloom.operators import customer_bitmaps, layers, marts, reports
+from salesloom.session import shared_dir
 from salesloom.sources.tables import CATALOG_BY_TABLE, row_limit
 
 
@@ -111,6 +113,26 @@ def distinct_customers(spark: SparkSession, folder: str) -> DataFrame:
     return reports.distinct_customers(fact(spark, folder))
 
 
+_PERIODS = """SELECT 'week' AS kind, date_trunc('week', order_date)::DATE AS period, currency_code, count(DISTINCT customer_id) AS distinct_customers
+FROM fact_orders GROUP BY 2, 3 UNION ALL
+SELECT 'month', date_trunc('month', order_date)::DATE, currency_code, count(DISTINCT customer_id) FROM fact_orders GROUP BY 2, 3"""
+
+
+@query(f"WITH {sql.PLACES}, {sql.ORDERS} {_PERIODS}")
+def period_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct customers of weeks and months out of the stored daily bitmaps of two loads, the orders being read once."""
+    orders = fact(spark, folder)
+    path = f"{shared_dir(spark, 'customer-bitmaps')}/days"
+    loads = [customer_bitmaps.daily_customers(orders.filter(F.col("order_id") % 2 == part)) for part in (0, 1)]
+    customer_bitmaps.merged_days(*loads).write.parquet(path)
+    daily = spark.read.parquet(path)
+    kinds = [
+        customer_bitmaps.distinct_customers(daily, F.trunc("order_date", kind), "currency_code").select(F.lit(kind).alias("kind"), "*")
+        for kind in ("week", "month")
+    ]
+    return kinds[0].unionByName(kinds[1])
+
+
 _CITIES = f"""WITH {sql.WAREHOUSE}, {sql.CITY}, cities AS (
   SELECT city, sum(gross_merchandise_value) AS gmv, CAST(sum(order_count) AS BIGINT) AS order_count
   FROM mart_city_sales GROUP BY city)"""

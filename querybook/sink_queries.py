@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from querybook import adapters
@@ -80,6 +80,27 @@ def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
     return as_doubles(stored.select("snapshot_day", "shopify_gid", "order_id", "total_price"))
 
 
+_RUNS = "(VALUES (1, DATE '2024-01-15', DATE '1900-01-01'), (2, DATE '2999-01-01', DATE '2024-01-10'))"
+
+
+@query(
+    f"""WITH runs AS (SELECT r.n AS run_number, count(*) AS rows_added, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day
+  FROM events JOIN {_RUNS} r(n, until, since) ON CAST(ts AS DATE) BETWEEN r.since AND r.until GROUP BY r.n)
+SELECT run_number::INTEGER AS run_number, 'demo' AS shop_name, first_day, last_day, rows_added,
+  CAST(sum(rows_added) OVER (ORDER BY run_number) AS BIGINT) AS snapshot_total_orders FROM runs"""
+)
+def snapshot_run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The commit log of two snapshot runs whose days overlap: range, rows and running total of each run."""
+    path, log = shared_dir(spark, "snapshot"), shared_dir(spark, "snapshot-log")
+    updates = wide_orders(pages.order_nodes(adapters.event_pages(spark, folder)), "demo", keep=("day",))
+    for run in (F.col("day") <= "2024-01-15", F.col("day") >= "2024-01-10"):
+        files.append_snapshot(updates.filter(run).withColumnRenamed("day", "snapshot_day"), path, log=log, shop_name="demo")
+    number = F.row_number().over(Window.partitionBy("shop_name").orderBy("saved_at"))
+    return files.snapshot_runs(spark, log).select(
+        number.alias("run_number"), "shop_name", "first_day", "last_day", "rows_added", "snapshot_total_orders"
+    )
+
+
 @query(
     "SELECT 'gid://shop/Order/' || user_id AS shopify_gid, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS updated_at,"
     " 1::BIGINT AS row_count FROM events GROUP BY user_id"
@@ -92,6 +113,7 @@ def wide_table_upsert(spark: SparkSession, folder: str) -> DataFrame:
     for run in (F.col("day") <= "2024-01-20", F.col("day") >= "2024-01-15"):
         nodes = pages.order_nodes(documents.filter(run), position="edge")
         files.upsert_wide(warehouse, wide_orders(nodes, "demo", keep=("edge",), versioned=True))
+    files.compact_wide(warehouse)
     stored = warehouse.read("raw_shopify_orders")
     moment = F.date_format(F.max("version_at"), "yyyy-MM-dd HH:mm:ss")
     return stored.groupBy("shopify_gid").agg(moment.alias("updated_at"), F.count("*").alias("row_count"))
@@ -254,6 +276,10 @@ SELECT CAST(o_orderdate AS DATE) AS order_date, strftime(o_orderdate, '%Y-%m') A
 )
 def full_then_incremental_run(spark: SparkSession, folder: str) -> DataFrame:
     """Two whole runs from CSV: the first half of the orders, then all of them incrementally; the stored daily mart."""
+    return as_doubles(Warehouse(spark, _two_runs(spark, folder).warehouse).read("mart_daily_sales"))
+
+
+def _two_runs(spark: SparkSession, folder: str) -> Paths:
     paths = Paths(shared_dir(spark, "run"))
     customers = adapters.places(spark, folder).select(
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("n_name").alias("city"),
@@ -267,7 +293,45 @@ def full_then_incremental_run(spark: SparkSession, folder: str) -> DataFrame:
     for rows, incremental in ((orders.filter(F.col("order_id") % 2 == 0), False), (orders, True)):
         files.write_csv(rows, paths.orders)
         run(spark, paths, RunOptions(incremental_load=incremental, export_layer_backups=False))
-    return as_doubles(Warehouse(spark, paths.warehouse).read("mart_daily_sales"))
+    return paths
+
+
+@query(
+    """WITH runs AS (SELECT 1 AS run_number, 2 AS step UNION ALL SELECT 2, 1),
+loaded AS (SELECT run_number, o.* FROM runs JOIN orders o ON o.o_orderkey % step = 0),
+counts AS (SELECT run_number, 'raw_customers' AS table_name, (SELECT count(*) FROM customer) AS row_count FROM runs
+  UNION ALL SELECT run_number, 'dim_customers', (SELECT count(*) FROM customer) FROM runs
+  UNION ALL SELECT run_number, 'raw_orders', count(*) FILTER (WHERE run_number = 1 OR o_orderkey % 2 <> 0) FROM loaded GROUP BY run_number
+  UNION ALL SELECT run_number, 'fact_orders', count(*) FILTER (WHERE o_totalprice > 0) FROM loaded GROUP BY run_number
+  UNION ALL SELECT run_number, 'mart_daily_sales', count(DISTINCT CAST(o_orderdate AS DATE)) FILTER (WHERE o_totalprice > 0) FROM loaded GROUP BY run_number)
+SELECT run_number::INTEGER AS run_number, 'csv' AS data_source, table_name, row_count, true AS succeeded FROM counts"""
+)
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """What two whole runs logged: rows written to each table, counted by the writes."""
+    log = files.read_run_log(spark, _two_runs(spark, folder).run_log)
+    shown = log.filter(F.col("table_name").isin("raw_customers", "dim_customers", "raw_orders", "fact_orders", "mart_daily_sales"))
+    return shown.select("run_number", "data_source", "table_name", "row_count", F.col("problem").isNull().alias("succeeded"))
+
+
+@query(
+    """WITH hours AS (SELECT DISTINCT CAST(ts AS DATE) AS day, hour(ts) AS h FROM events),
+kept AS (SELECT * FROM hours WHERE NOT (day(day) % 5 = 0 AND h = 7) AND NOT (day(day) % 7 = 0 AND h = 23)),
+chained AS (SELECT k.day, k.h > 0 AND p.h IS NULL AS gap, k.h < 23 AND n.h IS NULL AS open_end
+  FROM kept k LEFT JOIN kept p ON p.day = k.day AND p.h = k.h - 1 LEFT JOIN kept n ON n.day = k.day AND n.h = k.h + 1)
+SELECT day, count(*) AS page_count, count(*) FILTER (WHERE gap) AS gaps, count(*) FILTER (WHERE open_end) AS open_ends,
+  NOT bool_or(gap OR open_end) AS complete FROM chained GROUP BY day"""
+)
+def page_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly pages of each day, some twice, some missing: which days are whole."""
+    hour, day = F.hour("ts"), F.dayofmonth("ts")
+    kept = ~((day % 5 == 0) & (hour == 7)) & ~((day % 7 == 0) & (hour == 23))
+    events = adapters.table(spark, folder, "events").filter(kept)
+    info = F.struct((hour < 23).alias("hasNextPage"), F.concat(F.lit("h"), hour).alias("endCursor"))
+    answer = F.struct(F.struct(F.struct(F.array().cast("array<string>").alias("edges"), info.alias("pageInfo")).alias("orders")).alias("data"))
+    page = F.struct(F.when(hour > 0, F.concat(F.lit("h"), hour - 1)).alias("after"), answer["data"].alias("data"))
+    # Every event of an hour delivers that hour's page once more.
+    documents = events.select(F.to_json(page).alias("document"), F.col("ts").cast("date").alias("day"))
+    return pages.page_chains(documents, "orders")
 
 
 @query(

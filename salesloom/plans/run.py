@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +56,14 @@ class Paths:
     def snapshot(self) -> str:
         return self.at("orders", "shopify_orders_snapshot.json")
 
+    @property
+    def snapshot_log(self) -> str:
+        return self.at("orders", "shopify_orders_runs")
+
+    @property
+    def run_log(self) -> str:
+        return self.at("output", "run_log")
+
     @property
     def warehouse(self) -> str:
         return self.at("warehouse")
@@ -108,6 +116,10 @@ class RunResult:
     shopify_wide_orders_merged: int | None = None
 
 
+class IncompletePages(ValueError):
+    """The pages of a day break off or leave out others."""
+
+
 def materialize_inbox(spark: SparkSession, paths: Paths) -> tuple[int, int]:
     """Normalised inbox rows as raw CSV; returns the customer and order counts."""
     customers, orders = inbox.read_inbox(spark, paths.inbox)
@@ -129,8 +141,10 @@ def load_raw(warehouse: Warehouse, paths: Paths, incremental_load: bool, multili
     files.write_table(warehouse, "raw_customers", csv_files.customers_csv(spark, paths.customers, multiline=multiline))
     incoming = csv_files.orders_csv(spark, paths.orders, multiline=multiline)
     if incremental_load and warehouse.exists("raw_orders"):
-        return files.append_unseen_orders(warehouse, incoming)
-    return files.write_table(warehouse, "raw_orders", incoming).count()
+        warehouse.counts["raw_orders"] = files.append_unseen_orders(warehouse, incoming)
+    else:
+        files.write_table(warehouse, "raw_orders", incoming)
+    return warehouse.counts["raw_orders"]
 
 
 def sync_orders(warehouse: Warehouse, paths: Paths, options: RunOptions) -> DataFrame:
@@ -143,14 +157,22 @@ def sync_orders(warehouse: Warehouse, paths: Paths, options: RunOptions) -> Data
     last = F.lit(options.end_day) if options.end_day else F.current_date()
     recorded = pages.read_pages(spark, paths.order_pages, options.page_per_line)
     wanted = recorded.filter(F.col("day").between(F.date_sub(last, days - 1), last))
+    # One row a day of the look-back at most.
+    broken = pages.page_chains(wanted, "orders").filter(~F.col("complete")).orderBy("day").collect()
+    if broken:
+        found = ", ".join(f"{r.day}: {r.page_count} pages, {r.gaps} gaps, {r.open_ends} open ends" for r in broken)
+        raise IncompletePages(f"recorded pages are incomplete ({found})")
     nodes = pages.order_nodes(wanted, position="edge")
     wide = wide_orders(nodes, options.shop_name, keep=("day", "edge"), versioned=True)
     arrived = f"{files.shared_dir(spark, 'order-sync')}/rows"
-    wide.write.parquet(arrived)
+    warehouse.counts["synced_orders"] = files.counted_write(wide, lambda seen: seen.write.parquet(arrived))
     rows = spark.read.parquet(arrived)
-    files.upsert_wide(warehouse, rows)
+    warehouse.counts["raw_shopify_orders"] = files.upsert_wide(warehouse, rows)
     if options.write_snapshot:
-        files.append_snapshot(rows.drop("edge", "version_at").withColumnRenamed("day", "snapshot_day"), paths.snapshot)
+        stamped = rows.drop("edge", "version_at").withColumnRenamed("day", "snapshot_day")
+        files.append_snapshot(
+            stamped, paths.snapshot, log=paths.snapshot_log, shop_name=options.shop_name, days=(F.date_sub(last, days - 1), last)
+        )
     table = files.read_wide(warehouse)
     files.write_table(warehouse, "raw_orders", narrow.narrow_orders(table))
     files.write_table(warehouse, "raw_customers", narrow.narrow_customers(table))
@@ -171,20 +193,41 @@ def run(
     write_database: database.TableWriter | None = None,
     run_in_transaction: database.StatementRunner | None = None,
 ) -> RunResult:
-    """One full run. A failed check stops it after the report is written, before exports and publishing."""
+    """One full run. A failed check stops it after the report is written, before exports and publishing.
+
+    Each run appends to the run log what it wrote, table by table, counted by the writes themselves; a failed run is logged as such.
+    """
     configure(spark)
+    warehouse = Warehouse(spark, paths.warehouse)
+    started = datetime.now(timezone.utc)
+    try:
+        result = _run(warehouse, paths, options, write_database, run_in_transaction)
+    except Exception as error:
+        files.append_run_log(warehouse, paths.run_log, options.data_source, started, f"{type(error).__name__}: {error}"[:500])
+        raise
+    files.append_run_log(warehouse, paths.run_log, options.data_source, started)
+    return result
+
+
+def _run(
+    warehouse: Warehouse,
+    paths: Paths,
+    options: RunOptions,
+    write_database: database.TableWriter | None,
+    run_in_transaction: database.StatementRunner | None,
+) -> RunResult:
+    spark = warehouse.spark
     if options.target == "postgres" and (write_database is None or run_in_transaction is None):
         raise ValueError("target postgres needs a table writer and a statement runner")
-    warehouse = Warehouse(spark, paths.warehouse)
     counts: dict[str, int] = {}
 
     if options.data_source == "shopify":
         synced = sync_orders(warehouse, paths, options)
         loaded = ["shopify_orders_wide"]
-        inserted = warehouse.read("raw_orders").count()
+        inserted = warehouse.counts["raw_orders"]
         counts = {
-            "shopify_wide_orders_merged": synced.count(),
-            "shopify_customer_rows": warehouse.read("raw_customers").count(),
+            "shopify_wide_orders_merged": warehouse.counts["synced_orders"],
+            "shopify_customer_rows": warehouse.counts["raw_customers"],
             "shopify_order_rows": inserted,
         }
     else:
@@ -265,6 +308,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--shopify-days", type=int, default=None, help="days to look back, 14 by default")
     parser.add_argument("--end-day", type=date.fromisoformat, default=None, help="last day to sync, today by default")
     parser.add_argument("--probe-products", action="store_true", help="count the recorded product pages and stop")
+    parser.add_argument("--compact-wide", action="store_true", help="merge the batches of the wide order table and stop")
     parser.add_argument("--export-products", action="store_true", help="export the recorded products and stop")
     return parser.parse_args(arguments)
 
@@ -289,6 +333,9 @@ def main(arguments: list[str] | None = None) -> None:
     if given.probe_products:
         print(pages.page_probe(pages.read_pages(spark, paths.product_pages)).first().asDict())
         return
+    if given.compact_wide:
+        print(files.compact_wide(Warehouse(spark, paths.warehouse)))
+        return
     if given.export_products:
         nodes = pages.product_nodes(pages.read_pages(spark, paths.product_pages))
         print(files.export_products(nodes, paths.products, RunOptions.shop_name).first().asDict())

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,9 +15,17 @@ from salesloom.session import shared_dir
 from salesloom.sources.tables import Warehouse
 
 
+def counted_write(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write rows and return their number, counted on the way and not by reading them again."""
+    seen = Observation()
+    write(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
 def write_table(warehouse: Warehouse, table: str, rows: DataFrame) -> DataFrame:
     """Create or replace a table and read it back, so later steps start from files."""
-    rows.write.mode("overwrite").parquet(warehouse.path(table))
+    path = warehouse.path(table)
+    warehouse.counts[table] = counted_write(rows, lambda seen: seen.write.mode("overwrite").parquet(path))
     return warehouse.read(table)
 
 
@@ -26,7 +36,10 @@ def write_partitioned(warehouse: Warehouse, table: str, rows: DataFrame, column:
     holds most of the rows over several tasks.
     """
     order = rows.columns
-    rows.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(warehouse.path(table))
+    path = warehouse.path(table)
+    warehouse.counts[table] = counted_write(
+        rows, lambda seen: seen.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
+    )
     return warehouse.read(table).select(*order)
 
 
@@ -37,9 +50,7 @@ def append_unseen_orders(warehouse: Warehouse, incoming: DataFrame) -> int:
     arrived = f"{shared_dir(warehouse.spark, 'orders-batch')}/rows"
     incoming.write.parquet(arrived)
     fresh = unseen(existing, warehouse.spark.read.parquet(arrived)).select(*existing.columns)
-    added = Observation()
-    fresh.observe(added, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(warehouse.path("raw_orders"))
-    return added.get["rows"]
+    return counted_write(fresh, lambda seen: seen.write.mode("append").parquet(warehouse.path("raw_orders")))
 
 
 def write_csv(rows: DataFrame, path: str) -> str:
@@ -99,7 +110,7 @@ def append_snapshot(
     that died) are not part of the snapshot; see `read_snapshot`.
     """
     run_id = uuid.uuid4().hex
-    added = Observation()
+    added, spark = Observation(), wide.sparkSession
     stamped = wide.withColumn("snapshot_saved_at", F.current_timestamp()).withColumn("snapshot_run", F.lit(run_id))
     stamped = stamped.observe(added, F.count(F.lit(1)).alias("rows"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
     stamped.hint("rebalance", day).write.mode("append").partitionBy(day).json(path)
@@ -107,7 +118,6 @@ def append_snapshot(
         return
     found = added.get
     first, last = days or (F.lit(found["first_day"]).cast("date"), F.lit(found["last_day"]).cast("date"))
-    spark = wide.sparkSession
     record = spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.lit(shop_name).alias("shop_name"), first.alias("first_day"), last.alias("last_day"),
         F.lit(found["rows"]).cast("bigint").alias("rows_added"), F.current_timestamp().alias("saved_at"),
@@ -133,6 +143,28 @@ def read_snapshot(spark: SparkSession, path: str, log: str | None = None) -> Dat
     return rows.join(runs, "snapshot_run", "left_semi").select(*rows.columns)
 
 
+def append_run_log(warehouse: Warehouse, path: str, source: str, started: datetime, problem: str | None = None) -> None:
+    """Append one row for each table that a run wrote (one without table, if none) to the run log."""
+    run_id, spark = uuid.uuid4().hex, warehouse.spark
+    rows = [(run_id, source, started, problem, name, n) for name, n in (warehouse.counts.items() or [(None, None)])]
+    shape = "run_id string, data_source string, started_at timestamp, problem string, table_name string, row_count bigint"
+    log = spark.createDataFrame(rows, shape).withColumn("finished_at", F.current_timestamp())
+    log.coalesce(1).write.mode("append").json(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The run log with the number of each run, in the order of their starts."""
+    shape = (
+        "run_id string, data_source string, started_at timestamp, finished_at timestamp, problem string, table_name string, row_count bigint"
+    )
+    log = spark.read.schema(shape).json(path)
+    # One row a run.
+    numbered = log.select("run_id", "started_at", "data_source").distinct().withColumn(
+        "run_number", F.row_number().over(Window.partitionBy("data_source").orderBy("started_at", "run_id"))
+    )
+    return log.join(numbered.select("run_id", "run_number"), "run_id")
+
+
 def snapshot_summary(snapshot: DataFrame, shop_label: Column | str) -> DataFrame:
     """What the snapshot holds per day."""
     label = F.lit(shop_label) if isinstance(shop_label, str) else shop_label

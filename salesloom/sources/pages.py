@@ -85,11 +85,34 @@ def rejected_pages(pages: DataFrame, root: str) -> DataFrame:
     return parsed.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull()).drop("page__")
 
 
-def unfinished(pages: DataFrame, root: str, by: str = "day") -> DataFrame:
-    """The folders whose pages all announce a next one: their last page is missing."""
-    page = F.from_json("document", _answer(root, "STRING"))
-    more = F.coalesce(page["data"][root]["pageInfo"]["hasNextPage"], page[root]["pageInfo"]["hasNextPage"], F.lit(False))
-    return pages.groupBy(by).agg(F.bool_and(more).alias("unfinished"), F.count("*").alias("page_count")).filter("unfinished").drop("unfinished")
+def page_chains(pages: DataFrame, root: str, by: str = "day") -> DataFrame:
+    """Whether the recorded pages of each folder are one unbroken chain: page_count, gaps, open_ends, complete.
+
+    A page may record the cursor it was asked with (`after`) and where it ends (`pageInfo.endCursor`, else the cursor of its last edge). A gap is a page
+    whose `after` is no other page's end; an open end is a page that announces a next one which is not there. Pages that were recorded
+    twice count once. A folder whose pages record no `after` has an open end if all of its pages announce a next one.
+    """
+    info = "pageInfo: STRUCT<hasNextPage: BOOLEAN, endCursor: STRING>"
+    connection = f"{root}: STRUCT<edges: ARRAY<STRUCT<cursor: STRING>>, {info}>"
+    page = F.from_json("document", f"STRUCT<after: STRING, data: STRUCT<{connection}>, {connection}>")
+    parsed = pages.select(by, page.alias("page"))
+    part = F.coalesce(F.col("page.data")[root], F.col("page")[root])
+    end = F.coalesce(part["pageInfo"]["endCursor"], F.try_element_at(part["edges"], F.lit(-1))["cursor"])
+    more = F.coalesce(part["pageInfo"]["hasNextPage"], F.lit(False))
+    links = parsed.select(by, F.col("page.after").alias("after"), end.alias("end"), more.alias("more")).distinct()
+    ends = links.filter(F.col("end").isNotNull()).select(by, F.col("end").alias("after"), F.lit(True).alias("has_before")).distinct()
+    starts = links.filter(F.col("after").isNotNull()).select(by, F.col("after").alias("end"), F.lit(True).alias("has_next")).distinct()
+    joined = links.join(ends, [by, "after"], "left").join(starts, [by, "end"], "left")
+    counted = joined.groupBy(by).agg(
+        F.count("*").alias("page_count"),
+        F.count_if(F.col("after").isNotNull() & F.col("has_before").isNull()).alias("gaps"),
+        F.count_if(F.col("more") & F.col("has_next").isNull()).alias("open"),
+        F.bool_or(F.col("after").isNotNull()).alias("linked"),
+        F.bool_and("more").alias("all_more"),
+    )
+    open_ends = F.when(F.col("linked"), F.col("open")).otherwise(F.col("all_more").cast("bigint"))
+    counted = counted.select(by, "page_count", "gaps", open_ends.alias("open_ends"))
+    return counted.withColumn("complete", (F.col("gaps") == 0) & (F.col("open_ends") == 0))
 
 
 def order_nodes(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,8 @@ class Warehouse:
 
     spark: SparkSession
     root: str
+    # Rows that were written to each table through this object.
+    counts: dict[str, int] = field(default_factory=dict, compare=False)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{schemas.LAYER_OF[table]}/{table}"

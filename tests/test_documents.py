@@ -125,12 +125,23 @@ def test_damaged_pages_stop_the_job_or_are_rejected(spark, bad):
     assert [r.document for r in rejected] == [bad] and rejected[0].reject_reason
 
 
-def test_missing_last_page(spark):
-    def part(more):
-        return json.dumps({"orders": {"edges": [], "pageInfo": {"hasNextPage": more}}})
-
-    rows = spark.createDataFrame([(part(True), 1), (part(False), 1), (part(True), 2), (part(True), 2)], "document string, day int")
-    assert [tuple(r) for r in pages.unfinished(rows, "orders").collect()] == [(2, 2)]
+def test_page_chains(spark):
+    def part(more, after=None, end=None, wrap=False, cursors=()):
+        orders = {"edges": [{"cursor": c} for c in cursors], "pageInfo": {"hasNextPage": more, "endCursor": end}}
+        return json.dumps({"after": after, **({"data": {"orders": orders}} if wrap else {"orders": orders})})
+
+    days = {
+        1: [part(True), part(False)],  # nothing recorded about the order of pages
+        2: [part(True), part(True)],
+        3: [part(True, None, "a"), part(True, "a", None, True, ("x", "b")), part(False, "b", "c"), part(False, "b", "c")],
+        4: [part(True, None, "a"), part(False, "b", "c")],  # the page between is missing
+        5: [part(True, None, "a"), part(True, "a", "b")],  # the last page is missing
+        6: ["not json", part(False)],
+        7: [part(False)],
+    }
+    rows = spark.createDataFrame([(d, day) for day, docs in days.items() for d in docs], "document string, day int")
+    found = {r.day: (r.page_count, r.gaps, r.open_ends, r.complete) for r in pages.page_chains(rows, "orders").collect()}
+    assert found == {1: (2, 0, 0, True), 2: (1, 0, 1, False), 3: (3, 0, 0, True), 4: (2, 1, 1, False), 5: (2, 0, 1, False), 6: (2, 0, 0, True), 7: (1, 0, 0, True)}
 
 
 def test_page_folders(spark, folder):
