@@ -136,11 +136,11 @@ def _event_pattern(folder: str) -> str:
 
 @query(f"WITH {sql.PLACES}, {sql.RAW_ORDERS}, {_SPLIT} SELECT {sql.RAW_OUT} FROM unseen")
 def stream_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Unseen orders out of a file stream; all files are one micro-batch, as in the batch job."""
+    """Unseen orders out of a file stream in several micro-batches: copies of an order come in one batch, as in the batch job."""
     existing, incoming = split_orders(spark, folder)
-    path, stored = _stored(spark, incoming, "incoming")
+    path, stored = _stored(spark, incoming.repartition(4, "order_id"), "incoming")
     out, checkpoint = shared_dir(spark, "stream-append"), shared_dir(spark, "stream-append-state")
-    jobs.land_unseen(jobs.file_stream(spark, path, stored.schema), existing, out, checkpoint).awaitTermination()
+    jobs.land_unseen(jobs.file_stream(spark, path, stored.schema, max_files=1), existing, out, checkpoint).awaitTermination()
     return as_doubles(jobs.landed(spark, out).drop("batch_id"))
 
 

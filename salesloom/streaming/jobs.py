@@ -20,6 +20,7 @@ from salesloom.operators import marts
 from salesloom.operators.incremental import unseen
 from salesloom.operators.wide import wide_orders
 from salesloom.session import configure
+from salesloom.sinks.key_index import KeyIndex
 from salesloom.sinks.versioned import VersionedTable
 from salesloom.sources import pages
 
@@ -50,8 +51,9 @@ def land(
     prepare: Callable[[DataFrame, int], DataFrame] = lambda batch, _: batch,
     mode: str = "append",
     available_now: bool = True,
+    after: Callable[[SparkSession, int], None] | None = None,
 ) -> StreamingQuery:
-    """Start the stream; each micro-batch becomes the folder `batch_id=<n>` under `out`."""
+    """Start the stream; each micro-batch becomes the folder `batch_id=<n>` under `out`. `after` runs behind each of them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A stream's own session switches adaptive execution off; the batch jobs need it for skewed keys.
@@ -60,6 +62,8 @@ def land(
         held = batch.persist()
         prepare(held, batch_id).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         held.unpersist()
+        if after is not None:
+            after(batch.sparkSession, batch_id)
 
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
@@ -81,16 +85,31 @@ def landed(spark: SparkSession, out: str) -> DataFrame | None:
 def land_unseen(
     stream: DataFrame, existing: DataFrame, out: str, checkpoint: str, key: str = "order_id"
 ) -> StreamingQuery:
-    """Land the rows whose key is neither in the existing table nor in an earlier batch."""
+    """Land the rows whose key is neither in the existing table nor in an earlier batch.
+
+    Every landed batch is indexed (`KeyIndex`), and of the earlier batches only those are read that may hold a key of the new
+    one, so a micro-batch does not read the stream's whole history. A batch that runs again replaces its folder and its entry.
+    """
+    index_path = f"{out.rstrip('/')}-keys"
 
     def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
-        known = existing.select(key)
-        before = landed(batch.sparkSession, out)
-        if before is not None:
-            known = known.unionByName(before.filter(F.col("batch_id") < batch_id).select(key))
-        return unseen(known, batch, key)
+        spark = batch.sparkSession
+        return unseen(earlier_keys(spark, out, index_path, existing, batch, batch_id, key), batch, key)
+
+    def index(spark: SparkSession, batch_id: int) -> None:
+        KeyIndex(spark, index_path, key).add(f"b{batch_id}", spark.read.parquet(f"{out}/batch_id={batch_id}"))
+
+    return land(stream, out, checkpoint, prepare, after=index)
+
 
-    return land(stream, out, checkpoint, prepare)
+def earlier_keys(
+    spark: SparkSession, out: str, index_path: str, existing: DataFrame, batch: DataFrame, batch_id: int, key: str
+) -> DataFrame:
+    """The known keys that a batch has to be compared with: those of the table, and of the earlier batches that may hold one of its keys."""
+    known = existing.select(key)
+    folders = KeyIndex(spark, index_path, key).folders_that_may_hold(batch)
+    paths = [f"{out}/batch_id={f[1:]}" for f in folders if int(f[1:]) < batch_id]
+    return known.unionByName(spark.read.parquet(*paths).select(key)) if paths else known
 
 
 def without_repeats(stream: DataFrame, key: Sequence[str], clock: str, delay: str) -> DataFrame:
