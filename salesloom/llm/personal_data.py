@@ -2,11 +2,12 @@
 
 Seeds are the matches of four fixed kinds that pass their checks. Identifier-like tokens (runs with a digit) that overlap no
 seed are the candidates. Every seed and candidate is an instance with lexical patterns: the word before it, the word behind
-it and both together, each with the instance's character shape. The patterns and instances form a graph:
+it and both together, whatever it looks like; and the same three with its character shape, which gain weight when instances of
+that shape are accepted. So identifiers of a form that no seed has are found by their contexts. The patterns and instances form a graph:
 
 * a pattern's confidence is the share of its distinct instances that are known, damped for patterns with little support;
-* an instance's confidence is 1 - product(1 - confidence) over its patterns;
-* instances above ACCEPT with enough patterns become known, and the next round scores the patterns again.
+* an instance's confidence is 1 - product(1 - confidence) over the sides (before, behind, both), each with its stronger pattern;
+* instances above ACCEPT with evidence from enough sides become known, and the next round scores the patterns again.
 
 The graph holds hashes of patterns and values; each round is two aggregations with partial sums, so a frequent word as
 context is no hot spot, and its known set is written out. Discovered spans have the kind `other`.
@@ -39,7 +40,12 @@ PATTERNS = {
 GATES = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
 _TOKEN = "[A-Za-z0-9_@+/-]"
-CANDIDATE = rf"(?<!{_TOKEN})(?=[A-Za-z_@+/-]*+[0-9]){_TOKEN}{{6,}}+"
+# Groups of digits, some in brackets, with one blank, dot or hyphen between them; or one run with a digit, dots inside it.
+_GROUP = r"(?:\([0-9]{2,}+\)|[0-9]{2,}+)"
+CANDIDATE = (
+    rf"(?<![A-Za-z0-9_@+/.-])(?:{_GROUP}(?:[ .-]{_GROUP})++(?!{_TOKEN})"
+    rf"|(?=[A-Za-z_@+/.-]*+[0-9])(?=[A-Za-z0-9_@+/.-]{{6}}){_TOKEN}++(?:\.{_TOKEN}++)*+)"
+)
 
 ROUNDS = 3
 ACCEPT = 0.8
@@ -113,21 +119,21 @@ def _instances(found: DataFrame) -> DataFrame:
 
 
 def _graph(instances: DataFrame) -> DataFrame:
-    """Edges between patterns and values, without repetition: pattern, value (hashes) and whether the value is a seed."""
+    """Edges between patterns and values, without repetition: side, pattern, value (hashes) and whether the value is a seed."""
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("match", "[0-9]+", "9"), "[A-Z]+", "A"), "[a-z]+", "a")
     shape = F.left(shape, F.lit(CONTEXT_CHARS))
     before = F.lower(F.regexp_extract("before", r"(\S+)\s*$", 1))
     behind = F.lower(F.regexp_extract("behind", r"^\s*(\S+)", 1))
     rows = instances.select(shape.alias("shape"), before.alias("before"), behind.alias("behind"), "match", "known")
+    sides = (["before"], ["behind"], ["before", "behind"])
     pattern = F.explode(
         F.array(
-            F.xxhash64(F.lit("before"), "before", "shape"),
-            F.xxhash64(F.lit("behind"), "behind", "shape"),
-            F.xxhash64(F.lit("both"), "before", "behind", "shape"),
+            *[F.struct(F.lit(k).alias("side"), F.xxhash64(F.lit(k), *words).alias("pattern")) for k, words in enumerate(sides)],
+            *[F.struct(F.lit(k).alias("side"), F.xxhash64(F.lit(k), *words, "shape").alias("pattern")) for k, words in enumerate(sides)],
         )
     )
-    edges = rows.select(pattern.alias("pattern"), F.xxhash64("match").alias("value"), "known")
-    return edges.groupBy("pattern", "value").agg(F.max("known").alias("seed"))
+    edges = rows.select(pattern.alias("p"), F.xxhash64("match").alias("value"), "known").select("p.*", "value", "known")
+    return edges.groupBy("side", "pattern", "value").agg(F.max("known").alias("seed"))
 
 
 def discovered(instances: DataFrame) -> DataFrame:
@@ -145,7 +151,9 @@ def discovered(instances: DataFrame) -> DataFrame:
         patterns = patterns.filter((F.col("hits") >= LEAST_KNOWN) & (F.col("hits") < F.col("n"))).select(
             "pattern", (F.col("hits") / (F.col("n") + 1)).alias("confidence")
         )
-        scored = edges.filter(~F.col("seed")).join(patterns, "pattern").groupBy("value").agg(
+        # With and without the shape a side is one piece of evidence: the stronger of the two counts.
+        sides = edges.filter(~F.col("seed")).join(patterns, "pattern").groupBy("value", "side").agg(F.max("confidence").alias("confidence"))
+        scored = sides.groupBy("value").agg(
             (1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("confidence"), F.count("*").alias("patterns")
         )
         known = written(
