@@ -141,7 +141,7 @@ def test_page_chains(spark):
     }
     rows = spark.createDataFrame([(d, day) for day, docs in days.items() for d in docs], "document string, day int")
     found = {r.day: (r.page_count, r.gaps, r.open_ends, r.complete) for r in pages.page_chains(rows, "orders").collect()}
-    assert found == {1: (2, 0, 0, True), 2: (1, 0, 1, False), 3: (3, 0, 0, True), 4: (2, 1, 1, False), 5: (2, 0, 1, False), 6: (2, 0, 0, True), 7: (1, 0, 0, True)}
+    assert found == {1: (2, 0, 0, True), 2: (1, 0, 1, False), 3: (3, 0, 0, True), 4: (2, 1, 1, False), 5: (2, 0, 1, False), 6: (1, 0, 0, True), 7: (1, 0, 0, True)}
 
 
 def test_page_folders(spark, folder):
