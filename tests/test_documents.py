@@ -253,3 +253,27 @@ def test_customer_and_compact_order_pages(spark):
     node = {"legacyResourceId": "8", "createdAt": "2026-04-01T23:00:00-10:00", "currentTotalPriceSet": money("7.5", "EUR"), "customer": {"legacyResourceId": "4"}}
     row = pages.orders_from_pages(documents(spark, orders_page(node))).first()
     assert (row.order_id, row.customer_id, float(row.order_amount), row.order_date, row.currency_code) == (8, 4, 7.5, date(2026, 4, 1), "EUR")
+
+
+def test_nodes_are_parsed_with_the_fields_that_are_read(spark):
+    from salesloom import schemas
+    from salesloom.operators import narrow
+    from salesloom.operators.wide import NODE_READS, node_fields, wide_columns
+
+    assert schemas.pruned("STRUCT<a: STRUCT<b: INT, c: ARRAY<STRING>>, d: INT>", ["a.c", "d"]) == "STRUCT<a: STRUCT<c: ARRAY<STRING>>, d: INT>"
+    assert schemas.pruned("STRUCT<a: STRUCT<b: INT, c: INT>, d: INT>", ["a.b", "a"]) == "STRUCT<a: STRUCT<b: INT, c: INT>>"
+    for wrong in ("x", "d.e"):
+        with pytest.raises(ValueError):
+            schemas.pruned("STRUCT<a: INT, d: INT>", [wrong])
+    assert list(NODE_READS) == list(schemas.WIDE_ORDER_TYPES)
+    node = {"id": "gid://x/Order/7", "createdAt": "2026-04-01T10:00:00Z", "totalPriceSet": {"shopMoney": {"amount": "3.50"}}, "refunds": [{"id": 1}],
+            "customer": {"legacyResourceId": "4", "displayName": "A"}, "shippingAddress": {"country": "DE", "city": "B"}, "currencyCode": "EUR"}
+    recorded = documents(spark, orders_page(node))
+    whole = wide_orders(pages.order_nodes(recorded), "demo")
+    for columns in (narrow.ORDER_READS, narrow.CUSTOMER_READS, *[[c] for c in NODE_READS if c != "etl_synced_at"]):
+        some = wide_columns(recorded, "demo", columns)
+        assert some.collect() == whole.select(*columns).collect(), columns
+    assert set(node_fields(narrow.ORDER_READS)) == {
+        "legacyResourceId", "id", "customer.legacyResourceId", "createdAt", "totalPriceSet", "currencyCode", "shippingAddress.country", "totalRefundedSet"}
+    plan = wide_columns(recorded, "demo", narrow.ORDER_READS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "totalRefundedSet" in plan and "transactions" not in plan and "lineItems" not in plan
