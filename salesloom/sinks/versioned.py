@@ -6,7 +6,8 @@ A table is a list of immutable folders of rows, oldest first, and a manifest tha
     <table>/manifest/<number>          the list as JSON, one file for each commit
 
 An upsert writes its batch as one more folder and commits a manifest with one entry more. A reader takes the newest manifest and keeps
-the latest version of every key; of equal versions the later folder wins. Compaction merges neighbouring folders of like size, so
+the latest version of every key; of equal versions the later folder wins. The reader finds the replaced rows from keys and versions
+alone and leaves them out, so whole rows are not sorted. Compaction merges neighbouring folders of like size, so
 there are few folders (their number grows with the logarithm of the rows) and a row is rewritten that many times at most.
 
 A commit is one rename to the next number, which fails if another writer was faster; then the change is made anew on top of that
@@ -86,7 +87,27 @@ class VersionedTable:
             return self._rows(folders[0])
         ranked = [self._rows(f).withColumn(_RANK, F.lit(rank)) for rank, f in enumerate(folders)]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
-        return latest(rows, self.key, [*self.version, _RANK]).drop(_RANK)
+        lost = self._superseded(ranked)
+        same = reduce(lambda a, b: a & b, (rows[c].eqNullSafe(lost[f"{c}__lost"]) for c in (*self.key, _RANK)))
+        return rows.join(lost, same, "left_anti").drop(_RANK)
+
+    def _superseded(self, ranked: Sequence[DataFrame]) -> DataFrame:
+        """Key and folder (with `__lost` behind their names) of the rows that a later version replaces.
+
+        Only keys and versions are read for it. A folder holds a key once, so key and folder name a row; only keys of the younger
+        folders can have replaced one, so the oldest folder, usually by far the largest, gives its rows of those keys only. Whole rows
+        are not shuffled while the replaced ones are few enough for Spark to broadcast, and are never grouped.
+        """
+        narrow = [rows.select(*self.key, *self.version, _RANK) for rows in ranked]
+        younger = reduce(DataFrame.unionByName, narrow[1:])
+        renamed = {c: f"{c}__young" for c in self.key}
+        keys = younger.select(*self.key).distinct().withColumnsRenamed(renamed)
+        meets = reduce(lambda a, b: a & b, (narrow[0][c].eqNullSafe(keys[new]) for c, new in renamed.items()))
+        rivals = narrow[0].join(keys, meets, "left_semi").unionByName(younger)
+        # As many folders a key as the table has, at most.
+        won = rivals.groupBy(*self.key).agg(F.max(F.struct(*self.version, _RANK)).alias("won"), F.collect_set(_RANK).alias("ranks"))
+        others = F.array_remove("ranks", F.col(f"won.{_RANK}"))
+        return won.select(*(F.col(c).alias(f"{c}__lost") for c in self.key), F.explode(others).alias(f"{_RANK}__lost"))
 
     def _rows(self, folder: Folder) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/data/{folder.name}")

@@ -129,3 +129,20 @@ def test_folders_of_like_size():
     assert versioned.like_size(sized(100, 10, 10)) == 1
     assert versioned.like_size(sized(100, 30, 10)) == 0
     assert versioned.like_size(sized(1, 1, 1, 1)) == 0 and versioned.like_size([]) == 0
+
+
+def test_reading_leaves_out_replaced_rows_without_moving_whole_rows(spark, folder):
+    pairs = VersionedTable(spark, f"{folder}/t", ("k", "part"), ("v", "w"))
+    shape = "k bigint, part string, v int, w string, name string"
+    old = [(1, "a", 1, None, "old"), (1, None, 1, "x", "old"), (None, None, 1, "x", "old"), (2, "a", None, None, "old"), (3, "a", 5, "x", "stays")]
+    pairs.upsert(spark.createDataFrame(old, shape))
+    pairs.upsert(spark.createDataFrame([(1, "a", 1, "x", "new"), (None, None, 1, "x", "tie"), (2, "a", None, None, "tie"), (3, "a", 4, "z", "late")], shape))
+    pairs.upsert(spark.createDataFrame([(1, None, None, None, "late"), (1, "a", 2, None, "newest"), (4, "a", 1, "x", "first")], shape))
+    read = pairs.read()
+    assert sorted(((r.k or 0, r.part or "", r.name) for r in read.collect())) == [
+        (0, "", "tie"), (1, "", "old"), (1, "a", "newest"), (2, "a", "tie"), (3, "a", "stays"), (4, "a", "first")]
+    plan = read._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "LeftAnti, BuildRight" in plan
+    # Names are read once for each folder, by the scan that the anti join filters, and by no other.
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert sum("name" in line.split("ReadSchema")[1] for line in scans) == 3 and len(scans) > 3
