@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from salesloom.sinks import files
 from salesloom.sinks.versioned import VersionedTable
 from salesloom.sources import csv_files, pages
 from salesloom.sources.tables import Warehouse
-from salesloom.streaming import jobs
+from salesloom.streaming import event_days, jobs
 
 _SUMMARY_TYPES = (
     "summary_key string, city string, customer_level string, order_month string, currency_code string, order_count bigint,"
@@ -193,6 +195,42 @@ def stream_daily(spark: SparkSession, folder: str) -> DataFrame:
     return as_doubles(jobs.daily_sales_of_stream(spark, out))
 
 
+_DELIVERIES = ("2024-01-12", "2024-01-22")
+
+
+@query(
+    f"""WITH dealt AS (SELECT *, CAST(ts AS DATE) AS day, least(3, 1 + (ts >= DATE '{_DELIVERIES[0]}')::INT + (ts >= DATE '{_DELIVERIES[1]}')::INT
+    + (event_id % 10 = 0)::INT) AS delivery FROM events),
+numbers AS (SELECT unnest([1, 2, 3]) AS number),
+marks AS (SELECT number, CAST(max(ts) - INTERVAL 2 DAY AS DATE) AS open_from FROM numbers LEFT JOIN dealt ON delivery < number GROUP BY number),
+judged AS (SELECT d.*, CASE WHEN day < open_from THEN 'late' WHEN day < (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) FROM events) THEN 'closed' ELSE 'open' END AS state
+  FROM dealt d JOIN marks ON number = delivery)
+SELECT state, day AS order_date, event_type AS currency_code, count(*) AS order_count, count(DISTINCT user_id) AS customer_count,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS gross_merchandise_value FROM judged GROUP BY 1, 2, 3"""
+)
+def stream_event_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries of events, one in ten a delivery late: days closed behind the watermark, open days, and what came too late."""
+    events = adapters.table(spark, folder, "events")
+    behind = [(F.col("ts") >= F.lit(day).cast("date")).cast("int") for day in _DELIVERIES]
+    delivery = F.least(F.lit(3), 1 + behind[0] + behind[1] + (F.col("event_id") % 10 == 0).cast("int"))
+    path, out, state = f"{shared_dir(spark, 'deliveries')}/rows", shared_dir(spark, "stream-days-out"), shared_dir(spark, "stream-days-clock")
+    for number in (1, 2, 3):
+        events.filter(delivery == number).write.mode("append").parquet(path)
+        amount = F.col("value").cast(MONEY)
+        orders = jobs.file_stream(spark, path, events.schema).select(
+            F.col("ts").cast("timestamp").alias("order_time"), F.col("user_id").alias("customer_id"),
+            F.col("event_type").alias("currency_code"), amount.alias("order_amount"),
+            F.lit(0).cast(MONEY).alias("refund_amount"), amount.alias("net_amount"),
+        )
+        event_days.land_event_days(orders, out, state).awaitTermination()
+    late = event_days.late_rows(spark, out).groupBy(F.col("order_time").cast("date").alias("order_date"), "currency_code").agg(
+        F.count("*").alias("order_count"), F.countDistinct("customer_id").alias("customer_count"), F.sum("order_amount").alias("gross_merchandise_value"))
+    shown = ["order_date", "currency_code", "order_count", "customer_count", "gross_merchandise_value"]
+    parts = {"closed": event_days.closed_days(spark, out), "open": event_days.open_days(spark, out), "late": late}
+    rows = [found.select(F.lit(name).alias("state"), *shown) for name, found in parts.items() if found is not None]
+    return as_doubles(reduce(DataFrame.unionByName, rows))
+
+
 @query(
     f"""WITH {sql.PLACES}, {sql.BASE_ORDERS}, staged AS (
   SELECT order_id, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE customer_id END AS customer_id,

@@ -147,14 +147,14 @@ def merge_wide_orders(page_documents: DataFrame, shop_name: str, table: Versione
     return merge_latest(wide, table, checkpoint, f"pages of {shop_name}")
 
 
-_CUSTOMER_DAY = ("customer_id", "order_date", "order_month", "currency_code")
+CUSTOMER_DAY = ("customer_id", "order_date", "order_month", "currency_code")
 
 
 def customer_days(orders: DataFrame, clock: str = "order_time") -> DataFrame:
     """Order sums per customer, day and currency."""
     order_date = F.col(clock).cast("date")
     dated = orders.withColumns({"order_date": order_date, "order_month": F.date_format(order_date, "yyyy-MM")})
-    return dated.groupBy(*_CUSTOMER_DAY).agg(
+    return dated.groupBy(*CUSTOMER_DAY).agg(
         F.count("*").alias("order_count"),
         F.sum("order_amount").alias("order_amount"),
         F.sum("refund_amount").alias("refund_amount"),
@@ -173,7 +173,7 @@ def land_customer_days(orders: DataFrame, out: str, checkpoint: str, clock: str
 def daily_sales_of_stream(spark: SparkSession, out: str) -> DataFrame:
     """The daily mart over the landed customer days; one row per customer and day keeps customer counts exact."""
     sums = [F.sum(c).alias(c) for c in ("order_count", "order_amount", "refund_amount", "net_amount")]
-    return marts.daily_sales(landed(spark, out).groupBy(*_CUSTOMER_DAY).agg(*sums))
+    return marts.daily_sales(landed(spark, out).groupBy(*CUSTOMER_DAY).agg(*sums))
 
 
 def with_reject_reason(orders: DataFrame, dim: DataFrame) -> DataFrame:

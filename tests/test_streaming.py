@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salesloom.operators import marts
 from salesloom.sinks.versioned import VersionedTable
-from salesloom.streaming import jobs
+from salesloom.streaming import event_days, jobs
 from tests.conftest import values
 
 ORDERS = "order_id bigint, customer_id bigint, order_amount decimal(18,4), order_time timestamp, currency_code string"
@@ -95,6 +95,49 @@ def test_late_orders_count(spark, folder):
         "2026-03-01": (2, 1), "2026-03-02": (1, 1), "2026-01-01": (1, 1)}
 
 
+def test_days_close_and_late_rows_are_kept(spark, folder):
+    def day(d, h=0):
+        return datetime(2026, 3, d, h)
+
+    def one(i, customer, amount, when, currency="EUR"):
+        return (i, customer, Decimal(amount), when, currency)
+
+    batches = [
+        [one(1, 7, "1", day(1)), one(2, 7, "2", day(1, 23)), one(3, 8, "4", day(3)), one(4, 9, "1", None)],
+        [one(5, 7, "8", day(1, 5)), one(6, 7, "1", day(8)), one(7, None, "3", day(3), "USD")],
+        [one(8, 7, "5", day(1)), one(9, 7, "6", day(5)), one(10, 9, "7", day(6)), one(11, 9, "7", day(8, 1))],
+    ]
+    out, state = f"{folder}/out", f"{folder}/state"
+    assert event_days.closed_days(spark, out) is None and event_days.open_days(spark, out) is None
+
+    def run():
+        stream = stream_of(spark, folder).select("*", F.lit(0).cast("decimal(18,4)").alias("refund_amount"), F.col("order_amount").alias("net_amount"))
+        event_days.land_event_days(stream, out, state).awaitTermination()
+
+    def seen():
+        closed = {(r.order_date.day, r.currency_code): (r.order_count, r.customer_count) for r in event_days.closed_days(spark, out).collect()}
+        opened = {(r.order_date.day, r.currency_code): (r.order_count, r.customer_count) for r in event_days.open_days(spark, out).collect()}
+        late = {r.order_id: r.open_from.day if r.open_from else None for r in event_days.late_rows(spark, out).collect()}
+        return closed, opened, late
+
+    for number, rows in enumerate(batches, 1):
+        drop_file(spark, folder, number, rows, ORDERS)
+        run()
+    # Watermarks: none, the 1st, the 6th; the last batch ends with the 6th too.
+    want = (
+        {(1, "EUR"): (3, 1), (3, "EUR"): (1, 1), (3, "USD"): (1, 0)},
+        {(6, "EUR"): (1, 1), (8, "EUR"): (2, 2)},
+        {4: None, 8: 6, 9: 6},
+    )
+    assert seen() == want
+    accepted = sum(n for part in want[:2] for n, _ in part.values())
+    assert accepted + len(want[2]) == sum(len(rows) for rows in batches)
+    # A lost commit makes the last batch run again: same result.
+    shutil.rmtree(f"{state}/commits")
+    run()
+    assert seen() == want
+
+
 def test_repeats_within_the_delay(spark, folder):
     drop_file(spark, folder, 1, [(1, 7, Decimal("1"), datetime(2026, 3, 1), "EUR")] * 3, ORDERS)
     drop_file(spark, folder, 2, [(1, 7, Decimal("1"), datetime(2026, 3, 1), "EUR"), (2, 7, Decimal("1"), datetime(2026, 3, 1), "EUR")], ORDERS)
