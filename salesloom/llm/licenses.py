@@ -33,6 +33,15 @@ _LICENCE = "licen[cs]e"
 _UNDER = rf"(?:licen[cs]ed|released|distributed|available|published|provided|made available) under (?:the )?(?:terms of )?(?:the )?"
 
 
+# SPDX identifiers whose short form is no licence name by itself, with their versions.
+SPDX_IDENTIFIERS = (
+    ("mit", ()), ("isc", ()), ("zlib", ()), ("x11", ()), ("ncsa", ()), ("openssl", ()), ("ms-pl", ()), ("ms-rl", ()),
+    ("apache", ("1.0", "1.1", "2.0")), ("bsl", ("1.0",)), ("afl", ("1.1", "1.2", "2.0", "2.1", "3.0")), ("artistic", ("1.0", "2.0")),
+    ("osl", ("1.0", "2.0", "2.1", "3.0")), ("psf", ("2.0",)), ("php", ("3.0", "3.01")), ("ofl", ("1.0", "1.1")), ("busl", ("1.1",)),
+    ("elastic", ("2.0",)), ("sspl", ("1.0",)), ("gfdl", ("1.1", "1.2", "1.3")),
+)
+
+
 def _family_rules() -> list[tuple[int, str, str, str]]:
     rules: list[tuple[int, str, str, str]] = []
 
@@ -108,6 +117,14 @@ def _family_rules() -> list[tuple[int, str, str, str]]:
     named("cc0", "creative", r"creative commons zero", ("1.0",))
     named("odbl", "odbl", r"odbl", ("1.0",))
     named("odbl", "database", rf"open database {_LICENCE}", ("1.0",))
+    # Identifiers behind the SPDX mark, and those that `or` or `and` joins to one; the mark is the keyword, so few texts meet them.
+    for family, versions in SPDX_IDENTIFIERS:
+        for label in [f"{family}-{version}" for version in versions] or [family]:
+            words = label.replace("-", " ").replace(".", " ")
+            rules.append((0, label, "spdx", rf"spdx licen[cs]e identifier {words}(?: only| or later)?"))
+            rules.append((1, label, "spdx", rf"(?:or|and) {words}(?: only| or later)?"))
+    # The version makes a licence of the bare name, unless a third number follows: that is a release of the server.
+    rules.append((2, "apache-2.0", "apache", r"apache (?:version |v ?)?2 0(?! [0-9])"))
     # Sentences of the notices themselves.
     rules += [
         (0, "mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -120,7 +137,8 @@ def _family_rules() -> list[tuple[int, str, str, str]]:
         (0, "unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
         (0, "zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
         (0, "wtfpl", "fuck", r"do what the fuck you want to public licen[cs]e"),
-        (1, "spdx", "spdx", r"spdx licen[cs]e identifier(?: [a-z0-9]+){1,4}"),
+        # A hint only: as a name it would suppress the names of the identifiers inside it.
+        (3, "spdx", "spdx", r"spdx licen[cs]e identifier(?: [a-z0-9]+){1,4}"),
         (1, "public-domain", "domain", r"(?:released|placed|dedicated|is|are) (?:in|into|to) the public domain"),
         (2, "public-domain", "domain", r"public domain"),
         (1, "reserved", "reserved", r"all rights (?:are )?reserved"),

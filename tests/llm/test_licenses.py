@@ -61,6 +61,28 @@ def test_rules_priorities_and_containment(spark):
     assert found[8] == ["gpl", "lgpl-2.1"]
 
 
+def test_identifiers_behind_the_spdx_mark_and_bare_versions(spark):
+    common.prepared(spark)
+    cases = {
+        "SPDX-License-Identifier: Apache-2.0": ["apache-2.0"],
+        "SPDX-License-Identifier: MIT": ["mit"],
+        "// SPDX-License-Identifier: MIT OR Apache-2.0 */": ["apache-2.0", "mit", "spdx"],
+        "SPDX-License-Identifier: GPL-2.0-only": ["gpl-2.0", "spdx"],
+        "SPDX-License-Identifier: BSL-1.0 int main": ["bsl-1.0", "spdx"],
+        "SPDX-License-Identifier: MS-PL": ["ms-pl"],
+        "SPDX-License-Identifier: ISC OR Zlib OR Apache-2.0 OR BSD-3-Clause": ["apache-2.0", "bsd-3-clause", "isc", "spdx", "zlib"],
+        "SPDX-License-Identifier: LicenseRef-own": ["spdx"],
+        "under Apache 2.0": ["apache-2.0"],
+        "Apache v2.0 is fine": ["apache-2.0"],
+        "Apache version 2.0": ["apache-2.0"],
+        "the server Apache 2.0.52 runs": [],
+        "mit apache zlib": [],
+    }
+    found = scan(spark, [(k, text, None) for k, text in enumerate(cases)])
+    got = {text: [x for x in found[k]["labels"] if not x.startswith("unknown")] for k, text in enumerate(cases)}
+    assert got == cases
+
+
 def test_all_matches_have_their_places(spark):
     common.prepared(spark)
     frame = spark.createDataFrame([(1, "MIT license, a MIT license b mit license")], "doc_id bigint, text string")
