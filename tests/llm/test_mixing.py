@@ -58,6 +58,33 @@ def test_impossible_targets_stay_nonnegative(spark):
     assert sums["reached"][0] < 0.02 * sums["totals"][0] + 1
 
 
+def nearest_in_cone(rows, target, metric):
+    """The totals nearest to the target that nonnegative rates can give, for two domains: the target itself inside the cone of the
+    documents' vectors, or its projection on an edge."""
+    vectors = [np.array(r["p"]) for r in rows if r["n"]]
+    edges = [min(vectors, key=lambda v: v[0] / v.sum()), max(vectors, key=lambda v: v[0] / v.sum())]
+    inside = np.linalg.solve(np.array(edges).T, target)
+    if (inside >= 0).all():
+        return target
+    ends = [max(0.0, (e @ metric @ target) / (e @ metric @ e)) * e for e in edges]
+    return min(ends, key=lambda x: (x - target) @ metric @ (x - target))
+
+
+def test_totals_equal_those_of_a_second_solver(spark):
+    common.prepared(spark)
+    documents, labels = corpus(spark)
+    names, members = mixing.memberships(documents, mixing.domains_of(labels))
+    members = common.written(members, "test-members")
+    rows = members.collect()
+    mass = [r["n"] * r["copies"] for r in rows]
+    gram = sum(m * np.outer(r["p"], r["p"]) for m, r in zip(mass, rows))
+    metric = np.linalg.inv(gram)
+    for weights in ({"q1t0": 0.9, "q0t0": 0.1}, {"q1t0": 0.5, "q0t0": 0.5}, {"q1t0": 1.0, "q0t0": 0.0}):
+        _, sums = mixing.fitted(members, names, weights, "q1t0")
+        best = nearest_in_cone(rows, sums["targets"], metric)
+        assert np.abs(sums["reached"] - best).max() <= 1e-3 * sums["targets"].sum(), weights
+
+
 def test_steps_in_blocks_change_nothing(spark, monkeypatch):
     common.prepared(spark)
     documents, labels = corpus(spark)
