@@ -292,12 +292,17 @@ def learn(documents: DataFrame, labels: DataFrame, usable: Column) -> ToxicityMo
         return model
     _weights(rows, model)
     form = "label int, n bigint, found array<double>"
-    found = rows.mapInArrow(_scan_learning(spark.sparkContext.broadcast(model)), form).collect()
+    # Destroyed after use, so that executors and their workers hold the final model only.
+    unfitted = spark.sparkContext.broadcast(model)
+    found = rows.mapInArrow(_scan_learning(unfitted), form).collect()
+    unfitted.destroy()
     model.rate = decay_rate(sum((np.array(r["found"]) for r in found if r["label"] < 0), np.zeros(BINS)))
     clean = [(r["n"], r["found"][0]) for r in found if r["label"] == 0 and r["n"]]
     expected = sum(n * math.exp(-min(model.rate * best, 700.0)) for n, best in clean)
     model.size = len(clean) / expected if expected else 1.0
-    texts = rows.mapInArrow(_weigh_learning(spark.sparkContext.broadcast(model)), form).collect()
+    calibrated = spark.sparkContext.broadcast(model)
+    texts = rows.mapInArrow(_weigh_learning(calibrated), form).collect()
+    calibrated.destroy()
     evidence = np.array([r["found"][0] for r in texts])
     model.intercept, model.slope = logistic_fit(np.log1p(evidence), np.array([float(r["label"]) for r in texts]))
     model.fitted = True
