@@ -44,11 +44,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
+def written(frame: DataFrame, name: str, **options) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: lost executors cost no earlier stage."""
     spark = frame.sparkSession
     path = shared_dir(spark, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -6,8 +6,14 @@ the sum over all its tokens of the log-probability given both sides.
 
 The network's ids are the most frequent words, counted over the whole corpus by a Spark aggregation, and hashed buckets for
 all other words. A word in a bucket has the bucket's probability times its share of the bucket's tokens, so every word of the
-corpus has a probability of its own. The counts and shares of all words are tables; scoring joins
-them to the bucketed words. Texts are turned into ids once and written; every round and the scoring read the ids. Training is data-parallel over all documents: in each round every task starts from the same parameters,
+corpus has a probability of its own.
+
+Texts are split once. Runs of documents (CHUNK_CHARS characters, at least one document) become rows of a written table: the
+run's different words with their counts, and each token as the place of its word in that list. Counting, every round and the
+scoring read this table; a word is looked up once a run, not once a token. A share is the word's count over its bucket's tokens:
+the bucket's tokens are as many numbers as there are buckets and are broadcast, the counts are a table, joined to the runs' words
+(a word that occurs once in the corpus has the logarithm 0 and needs no row) and brought back to their run, where they are summed per document.
+Training is data-parallel over all documents: in each round every task starts from the same parameters,
 masks a share of its positions (another share each round, until all were masked) and trains on them in numpy; Spark averages
 the parameters of all tasks, weighted by their positions. What a task sends is the size of the model, and the model is what the driver and
 the broadcasts hold; the corpus counts stay in Spark.
@@ -19,15 +25,15 @@ the words; repeated rows train as often as they occur; extra columns are ignored
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import whole, written
+from salesloom.llm.common import chunks_by_size, whole, written
 
 # Classes x members is the size of the vocabulary: 0 pads the ends, then words, then buckets.
 CLASSES, MEMBERS = 32, 32
@@ -39,7 +45,11 @@ ROUNDS = 2
 TRAIN_BATCH, SCORE_BATCH = 8192, 16384
 RATE = 0.1
 SEED = 17
-REMEMBERED = 300_000
+# Characters of the texts that share a list of words, and how the table of these lists is cut on disk: a row is some MB.
+CHUNK_CHARS = 24_000_000
+CHUNK_FILES = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "compression": "zstd"}
+# Tokens of the texts whose windows are held at once.
+WINDOW_TOKENS = 50_000
 
 SIZE = CLASSES * MEMBERS
 SHAPES = {
@@ -58,43 +68,109 @@ class Vocabulary:
 
     def __init__(self, words: list[str]):
         self.known = {w: k + 1 for k, w in enumerate(words)}
-        self.memory: dict[str, int] = {}
 
     def ids(self, text: str) -> np.ndarray:
         return self.ids_of(text.lower().split())
 
     def ids_of(self, words: list[str]) -> np.ndarray:
-        memory = self.memory
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        buckets = SIZE - 1 - WORDS
-        for word in set(words).difference(memory):
-            known = self.known.get(word)
-            memory[word] = 1 + WORDS + zlib.crc32(word.encode("utf-8", "replace")) % buckets if known is None else known
-        return np.fromiter(map(memory.__getitem__, words), np.int64, len(words))
-
-    def bucketed(self, words: list[str]) -> Counter[str]:
-        """Those words that only have a bucket, with their counts."""
-        counts = Counter(words)
-        for word in self.known.keys() & counts.keys():
-            del counts[word]
-        return counts
+        known, buckets = self.known.get, SIZE - 1 - WORDS
+        found = (known(w) or 1 + WORDS + zlib.crc32(w.encode("utf-8", "replace")) % buckets for w in words)
+        return np.fromiter(found, np.int64, len(words))
 
     def __reduce__(self):
         return Vocabulary, (sorted(self.known, key=self.known.get),)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts: Counter[str] = Counter()
-        for text in batch.column(0).to_pylist():
-            counts.update(text.lower().split())
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class Chunk(NamedTuple):
+    """A run of documents: for each its id, phase and number of tokens; the run's words; every token's place among them."""
+
+    doc_ids: pa.Array
+    phases: np.ndarray
+    lengths: np.ndarray
+    words: list[str]
+    codes: np.ndarray
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Numbers byte by byte: all lowest ones first, so that the mostly empty high ones compress to nothing."""
+    return codes.astype("<u4").view(np.uint8).reshape(len(codes), 4).T.tobytes()
+
 
+def unpacked(data: pa.Buffer) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, data.size // 4)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
-def word_counts(documents: DataFrame) -> DataFrame:
-    """Every word of all texts with its count, split as the network's ids are."""
-    words = documents.select(whole().alias("text")).mapInArrow(_count, "word string, n bigint")
+
+def _chunk_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (row, doc_id, text) to runs; a run is named by its first row."""
+    first, kind = None, None
+    size, keys, phases, codes, numbers = 0, [], [], [], Numbers()
+
+    def run() -> pa.RecordBatch:
+        flat = np.concatenate(codes)
+        counts = np.bincount(flat, minlength=len(numbers))
+        # Frequent words first: small numbers.
+        order = np.argsort(-counts, kind="stable")
+        places = np.empty(len(order), np.uint32)
+        places[order] = np.arange(len(order), dtype=np.uint32)
+        words = pa.array(list(numbers), pa.string()).take(pa.array(order))
+        lengths = pa.array([len(c) for c in codes], pa.int32())
+        lists = [pa.array(keys, kind), pa.array(phases, pa.int32()), lengths, words, pa.array(counts[order], pa.int64())]
+        columns = [pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values) for values in lists]
+        columns = [pa.array([first], pa.int64()), *columns, pa.array([packed(places[flat])], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_ids", "phases", "lengths", "words", "counts", "codes"])
+
+    for batch in batches:
+        kind = batch.schema.field(1).type
+        for row, key, text in zip(*(column.to_pylist() for column in batch.columns)):
+            first = row if first is None else first
+            words = text.lower().split()
+            codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+            phases.append(zlib.crc32(text[:64].encode("utf-8", "replace")) % ROUNDS)
+            keys.append(key)
+            size += len(text)
+            if size >= CHUNK_CHARS:
+                yield run()
+                first, size, keys, phases, codes, numbers = None, 0, [], [], [], Numbers()
+    if keys:
+        yield run()
+
+
+def chunked(documents: DataFrame) -> DataFrame:
+    """All texts as runs, split as the network's ids are: written once, read by every later step."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    schema = (
+        f"chunk bigint, doc_ids array<{kind}>, phases array<int>, lengths array<int>, words array<string>, counts array<bigint>, codes binary"
+    )
+    texts = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", whole().alias("text"))
+    return written(texts.mapInArrow(_chunk_texts, schema), "lm-chunks", **CHUNK_FILES)
+
+
+def read_chunks(rows: pa.RecordBatch | pa.Table) -> Iterator[Chunk]:
+    for k in range(rows.num_rows):
+        phases, lengths = (rows[name][k].values.to_numpy() for name in ("phases", "lengths"))
+        words, codes = rows["words"][k].values.to_pylist(), unpacked(rows["codes"][k].as_buffer())
+        yield Chunk(rows["doc_ids"][k].values, phases, lengths.astype(np.int64), words, codes)
+
+
+def parts(chunk: Chunk) -> Iterator[tuple[slice, np.ndarray]]:
+    """Documents of about WINDOW_TOKENS tokens, and their tokens' places."""
+    ends = np.concatenate([[0], np.cumsum(chunk.lengths)])
+    for part in chunks_by_size(chunk.lengths.tolist(), WINDOW_TOKENS):
+        yield part, chunk.codes[ends[part.start] : ends[part.stop]]
+
+
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """Every word of all texts with its count."""
+    words = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     return written(words.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
 
 
@@ -103,19 +179,41 @@ def frequent_words(counts: DataFrame) -> list[str]:
     return [r["word"] for r in counts.orderBy(F.col("n").desc(), "word").limit(WORDS).collect()]
 
 
-def log_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """word, log_share: of every word in a bucket, the log of its share of the bucket's tokens."""
+def log_totals(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """The log of each bucket's tokens."""
     bucket = F.crc32(F.col("word").cast("binary")) % (SIZE - 1 - WORDS)
-    rare = counts.filter(~F.col("word").isin(list(vocabulary.known))).withColumn("bucket", bucket)
-    totals = rare.groupBy("bucket").agg(F.sum("n").alias("total"))
-    return rare.join(totals, "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("log_share"))
+    rare = counts.filter(~F.col("word").isin(list(vocabulary.known)))
+    totals = np.ones(SIZE - 1 - WORDS)
+    for r in rare.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("total")).collect():
+        totals[r["bucket"]] = r["total"]
+    return np.log(totals)
+
+
+def log_counts(chunks: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """run, place, log_count: for every word of a run that is in a bucket and occurs more than once in the corpus, the log of its count."""
+    repeated = counts.filter((F.col("n") > 1) & ~F.col("word").isin(list(vocabulary.known)))
+    words = chunks.select(F.col("chunk").alias("run"), F.posexplode("words").alias("place", "word"))
+    return words.join(repeated, "word").select("run", "place", F.log("n").alias("log_count"))
+
 
+OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
 
-def windows(ids: np.ndarray) -> np.ndarray:
-    """The tokens around each position, 0 beyond the ends."""
-    padded = np.concatenate([np.zeros(SIDE, np.int64), ids, np.zeros(SIDE, np.int64)])
-    offsets = [k for k in range(2 * SIDE + 1) if k != SIDE]
-    return np.stack([padded[k : k + len(ids)] for k in offsets], axis=1)
+
+class Windows:
+    """The tokens around each position of texts that lie one behind the other; 0 beyond the ends of a text."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray):
+        self.ids = ids
+        self.owners = np.repeat(np.arange(len(lengths)), lengths)
+        self.within = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        # SIDE zeros stand before, between and behind the texts.
+        self.places = np.arange(len(ids)) + SIDE * (self.owners + 1)
+        self.padded = np.zeros(len(ids) + SIDE * (len(lengths) + 1), np.int64)
+        self.padded[self.places] = ids
+
+    def at(self, chosen) -> tuple[np.ndarray, np.ndarray]:
+        """Neighbours and tokens of the chosen positions."""
+        return self.padded[self.places[chosen][:, None] + OFFSETS], self.ids[chosen]
 
 
 class WindowNetwork:
@@ -133,10 +231,17 @@ class WindowNetwork:
             at += size
 
     def _forward(self, around: np.ndarray, targets: np.ndarray):
-        """Hidden values and both softmax layers: exponentials, their sums and the target's place; the members' rows are sorted by class."""
+        """Hidden values and both softmax layers: exponentials, their sums and the target's place; the members' rows are sorted by class.
+
+        What an id adds to the tanh layer at an offset is one of SIZE rows: they are multiplied once, not for every position.
+        """
         p = self.parts
-        inputs = np.take(p["embedding"], around, axis=0).reshape(len(around), -1)
-        hidden = _tanh(inputs @ p["mix"] + p["mix_bias"])
+        mixed = np.matmul(p["embedding"], self._mixes()).reshape(-1, HIDDEN)
+        inputs = np.take(mixed, around[:, 0], axis=0)
+        for k in range(1, 2 * SIDE):
+            inputs += np.take(mixed, around[:, k] + k * SIZE, axis=0)
+        inputs += p["mix_bias"]
+        hidden = _tanh(inputs)
         group, member = targets // MEMBERS, targets % MEMBERS
         class_part = _exponentials(hidden @ p["classes"] + p["class_bias"]), group
         # One byte a class sorts in linear time.
@@ -147,11 +252,15 @@ class WindowNetwork:
         for c, rows in slices:
             np.matmul(inner[rows], p["members"][c], out=logits[rows])
             logits[rows] += p["member_bias"][c]
-        return inputs, hidden, class_part, order, inner, slices, (_exponentials(logits), np.take(member, order))
+        return hidden, class_part, order, inner, slices, (_exponentials(logits), np.take(member, order))
+
+    def _mixes(self) -> np.ndarray:
+        """The tanh layer's weights by offset."""
+        return self.parts["mix"].reshape(2 * SIDE, EMBEDDING, HIDDEN)
 
     def log_probabilities(self, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Log-probability of each target between its neighbours."""
-        _, _, classes, order, _, _, members = self._forward(around, targets)
+        _, classes, order, _, _, members = self._forward(around, targets)
         out = _log_of(classes)
         out[order] += _log_of(members)
         return out
@@ -159,7 +268,7 @@ class WindowNetwork:
     def gradients(self, around: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-probability and its gradient."""
         p, n = self.parts, len(targets)
-        inputs, hidden, classes, order, inner, slices, members = self._forward(around, targets)
+        hidden, classes, order, inner, slices, members = self._forward(around, targets)
         loss = -float(_log_of(classes).sum() + _log_of(members).sum())
         d_class, d_member = _error_of(classes, n), _error_of(members, n)
         grads = {"classes": hidden.T @ d_class, "class_bias": _columns(d_class)}
@@ -175,13 +284,11 @@ class WindowNetwork:
         back[order] = np.arange(n)
         d_hidden += np.take(d_inner, back, axis=0)
         d_hidden *= 1 - hidden**2
-        grads["mix"], grads["mix_bias"] = inputs.T @ d_hidden, _columns(d_hidden)
-        d_inputs = (d_hidden @ p["mix"].T).reshape(-1, EMBEDDING)
-        flat = around.reshape(-1).astype(np.uint16)
-        places = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.diff(flat[places].astype(np.int64), prepend=-1))
-        grads["embedding"] = np.zeros(SHAPES["embedding"], np.float32)
-        grads["embedding"][flat[places][starts]] = np.add.reduceat(np.take(d_inputs, places, axis=0), starts, axis=0)
+        grads["mix_bias"] = _columns(d_hidden)
+        # Sums for each id at each offset: embedding and mix get theirs from these SIZE rows an offset.
+        sums = np.stack([_sums_of(around[:, k], d_hidden) for k in range(2 * SIDE)])
+        grads["mix"] = np.matmul(p["embedding"].T, sums).reshape(SHAPES["mix"])
+        grads["embedding"] = np.matmul(sums, self._mixes().transpose(0, 2, 1)).sum(0)
         return loss / n, grads
 
 
@@ -205,6 +312,17 @@ def _error_of(layer, n: int) -> np.ndarray:
     return values
 
 
+def _sums_of(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each id."""
+    ids = ids.astype(np.uint16)
+    places = np.argsort(ids, kind="stable")
+    found = ids[places]
+    starts = np.flatnonzero(np.diff(found.astype(np.int64), prepend=-1))
+    sums = np.zeros((SIZE, rows.shape[1]), np.float32)
+    sums[found[starts]] = np.add.reduceat(np.take(rows, places, axis=0), starts, axis=0)
+    return sums
+
+
 def _columns(values: np.ndarray) -> np.ndarray:
     return np.ones(len(values), np.float32) @ values
 
@@ -260,10 +378,11 @@ def _trainer(shared, round_: int):
 
         def masked() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for batch in batches:
-                for phase, ids in zip(batch.column(0).to_pylist(), map(read_ids, batch.column(1).to_pylist())):
-                    at = np.arange((phase + round_) % ROUNDS, len(ids), ROUNDS)
-                    if len(at):
-                        yield windows(ids)[at], ids[at]
+                texts = list(map(read_ids, batch.column(1).to_pylist()))
+                if any(map(len, texts)):
+                    found = Windows(np.concatenate(texts), np.array([len(t) for t in texts]))
+                    phases = batch.column(0).to_numpy()[found.owners]
+                    yield found.at(np.flatnonzero((found.within - phases - round_) % ROUNDS == 0))
 
         seen = train_on(network, masked())
         if seen:
@@ -283,38 +402,30 @@ def read_ids(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, np.uint16).astype(np.int64)
 
 
-def encoded(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """row, doc_id, phase, ids (two bytes each) and the words in buckets of every text: written once, read by every round."""
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
-
-    @F.arrow_udf("struct<phase:int,ids:binary,bucketed:array<struct<word:string,n:bigint>>>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = shared.value
-        for batch in batches:
-            phases, ids, words, counts, ends = [], [], [], [], [0]
-            for text in batch.to_pylist():
-                given = text.lower().split()
-                phases.append(zlib.crc32(text[:64].encode("utf-8", "replace")) % ROUNDS)
-                ids.append(vocabulary.ids_of(given).astype(np.uint16).tobytes())
-                rare = vocabulary.bucketed(given)
-                words += rare.keys()
-                counts += rare.values()
-                ends.append(len(words))
-            entries = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
-            rare_lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
-            yield pa.StructArray.from_arrays([pa.array(phases, pa.int32()), pa.array(ids, pa.binary()), rare_lists], ["phase", "ids", "bucketed"])
-
-    found = documents.select("doc_id", encode(whole()).alias("f"))
-    return written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "f.*"), "lm-ids")
-
-
-def trained(texts: DataFrame) -> np.ndarray:
-    """Network parameters from all encoded texts (phase, ids)."""
-    spark, values = texts.sparkSession, WindowNetwork().flat
+def encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """Runs to phase and ids (two bytes each) of every document."""
+    for batch in batches:
+        for chunk in read_chunks(batch):
+            id_of = vocabulary.ids_of(chunk.words).astype(np.uint16)
+            for part, codes in parts(chunk):
+                ends = np.concatenate([[0], 2 * np.cumsum(chunk.lengths[part])]).astype(np.int32)
+                buffers = [None, pa.py_buffer(ends), pa.py_buffer(id_of[codes].tobytes())]
+                texts = pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, buffers)
+                yield pa.RecordBatch.from_arrays([pa.array(chunk.phases[part], pa.int32()), texts], ["phase", "ids"])
+
+
+def trained(chunks: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Network parameters from the runs of all texts."""
+    context, values = chunks.sparkSession.sparkContext, WindowNetwork().flat
+    known = context.broadcast(vocabulary)
     for round_ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(values)
-        parts = texts.select("phase", "ids").mapInArrow(_trainer(shared, round_), "place int, value double, weight double")
-        means = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas()
+        train = _trainer(context.broadcast(values), round_)
+
+        def task(batches: Iterator[pa.RecordBatch], train=train) -> Iterator[pa.RecordBatch]:
+            return train(encoded(batches, known.value))
+
+        sums = chunks.drop("counts").mapInArrow(task, "place int, value double, weight double")
+        means = sums.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas()
         if len(means):
             values = np.zeros(len(values), np.float32)
             values[means["place"].to_numpy()] = means["value"].to_numpy()
@@ -323,45 +434,49 @@ def trained(texts: DataFrame) -> np.ndarray:
 
 def learn(documents: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and network parameters from all texts."""
-    vocabulary = Vocabulary(frequent_words(word_counts(documents)))
-    return vocabulary, trained(encoded(documents, vocabulary))
+    chunks = chunked(documents)
+    vocabulary = Vocabulary(frequent_words(word_counts(chunks)))
+    return vocabulary, trained(chunks, vocabulary)
+
+
+def text_sums(network: WindowNetwork, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Summed log-probability of each of the texts that lie one behind the other."""
+    found = Windows(ids, lengths)
+    logs = np.zeros(len(ids))
+    for at in range(0, len(ids), SCORE_BATCH):
+        block = slice(at, at + SCORE_BATCH)
+        logs[block] = network.log_probabilities(*found.at(block))
+    return np.bincount(found.owners, logs, minlength=len(lengths)).astype(np.float64)  # of nothing it counts in whole numbers
 
 
 def score_ids(network: WindowNetwork, ids: list[np.ndarray]) -> list[float]:
     """Summed log-probability of each text."""
-    sums = np.zeros(len(ids))
-    owners = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-    at = 0
-    for around, targets in _blocks(((windows(i), i) for i in ids if len(i)), SCORE_BATCH):
-        logs = network.log_probabilities(around, targets)
-        sums += np.bincount(owners[at : at + len(targets)], logs, minlength=len(ids))
-        at += len(targets)
-    return sums.tolist()
-
-
-def scored(spark: SparkSession, values: np.ndarray, ids: Column) -> Column:
-    """n_tokens and log_likelihood of a column of ids."""
-    shared = spark.sparkContext.broadcast(values)
-
-    @F.arrow_udf("struct<n_tokens:bigint,log_likelihood:double>")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        network = WindowNetwork(shared.value)
-        for batch in batches:
-            texts = [read_ids(i) for i in batch.to_pylist()]
-            columns = [pa.array([len(i) for i in texts], pa.int64()), pa.array(score_ids(network, texts), pa.float64())]
-            yield pa.StructArray.from_arrays(columns, ["n_tokens", "log_likelihood"])
-
-    return score(ids)
+    return text_sums(network, np.concatenate([np.zeros(0, np.int64), *ids]), np.array([len(i) for i in ids], np.int64)).tolist()
 
 
 def likelihoods(documents: DataFrame) -> DataFrame:
     """doc_id, n_tokens and log_likelihood of every document under a model learned from all of them."""
-    counts = word_counts(documents)
+    chunks = chunked(documents)
+    counts = word_counts(chunks)
     vocabulary = Vocabulary(frequent_words(counts))
-    texts = encoded(documents, vocabulary)
-    values = trained(texts)
-    words = texts.select("row", F.explode("bucketed").alias("b")).select("row", "b.*")
-    inside = words.join(log_shares(counts, vocabulary), "word").groupBy("row").agg(F.sum(F.col("n") * F.col("log_share")).alias("inside"))
-    found = texts.select("row", "doc_id", scored(documents.sparkSession, values, F.col("ids")).alias("f")).select("row", "doc_id", "f.*")
-    total = F.col("log_likelihood") + F.coalesce("inside", F.lit(0.0))
-    return found.join(inside, "row", "left").select("doc_id", "n_tokens", total.alias("log_likelihood"))
+    model = vocabulary, trained(chunks, vocabulary), log_totals(counts, vocabulary)
+    shared = chunks.sparkSession.sparkContext.broadcast(model)
+
+    def score(texts: pa.Table, logs: pa.Table) -> pa.Table:
+        vocabulary, values, totals = shared.value
+        (chunk,) = read_chunks(texts.combine_chunks())
+        id_of = vocabulary.ids_of(chunk.words)
+        share = np.zeros(len(id_of))
+        share[logs["place"].to_numpy()] = logs["log_count"].to_numpy()
+        rare = id_of > WORDS
+        share[rare] -= totals[id_of[rare] - 1 - WORDS]
+        network, sums = WindowNetwork(values), [np.zeros(0)]
+        for part, codes in parts(chunk):
+            lengths = chunk.lengths[part]
+            inside = np.bincount(np.repeat(np.arange(len(lengths)), lengths), share[codes], minlength=len(lengths))
+            sums.append(text_sums(network, id_of[codes], lengths) + inside)
+        return pa.table({"doc_id": chunk.doc_ids, "n_tokens": pa.array(chunk.lengths), "log_likelihood": pa.array(np.concatenate(sums))})
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, log_likelihood double"
+    return chunks.drop("counts").groupBy("chunk").cogroup(log_counts(chunks, counts, vocabulary).groupBy("run")).applyInArrow(score, schema)

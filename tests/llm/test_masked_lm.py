@@ -123,3 +123,34 @@ def test_likelihoods_equal_plain_sums(spark):
         want = masked_lm.score_ids(network, [vocabulary.ids(" ".join(words))])[0]
         want += sum(np.log(counts[w] / totals[rare[w]]) for w in words if w in rare)
         assert r["n_tokens"] == len(words) and abs(r["log_likelihood"] - want) < 1e-3 * max(1, len(words))
+
+
+def test_runs_hold_every_token(monkeypatch):
+    monkeypatch.setattr(masked_lm, "CHUNK_CHARS", 60)
+    texts = ["The cat sat", "", "the the mat", "x " * 40, "last one", " ".join(f"w{k}" for k in range(70_000)) + " w69999 w300"]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array([5, None, 5, 7, 8, 9]), pa.array(texts)], ["row", "doc_id", "text"])
+    runs = list(masked_lm._chunk_texts(iter([rows.slice(0, 2), rows.slice(2)])))
+    assert [r["chunk"][0].as_py() for r in runs] == [0, 4]
+    found, keys = [], []
+    for run in runs:
+        (chunk,) = masked_lm.read_chunks(run)
+        keys += chunk.doc_ids.to_pylist()
+        words = [chunk.words[c] for c in chunk.codes]
+        assert dict(zip(chunk.words, run["counts"][0].as_py())) == Counter(words)
+        ends = np.cumsum(chunk.lengths)
+        found += [words[end - n : end] for n, end in zip(chunk.lengths, ends)]
+    assert keys == [5, None, 5, 7, 8, 9] and found == [t.lower().split() for t in texts]
+
+
+def test_words_are_joined_once_a_run(spark):
+    """Words in buckets meet their counts once a run of documents, not once a document, and single words not at all."""
+    common.prepared(spark)
+    frequent = " ".join(f"f{k}" for k in range(masked_lm.WORDS))
+    texts = [f"{frequent} {frequent} {frequent}"] + [f"f1 often o{k % 3} single{k}" for k in range(40)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    chunks = masked_lm.chunked(documents)
+    counts = masked_lm.word_counts(chunks)
+    known = masked_lm.Vocabulary([f"f{k}" for k in range(masked_lm.WORDS)])
+    found = masked_lm.log_counts(chunks, counts, known).collect()
+    assert chunks.count() == 1
+    assert sorted(round(float(np.exp(r["log_count"]))) for r in found) == [13, 13, 14, 40]
