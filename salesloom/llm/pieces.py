@@ -21,10 +21,11 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,13 @@ class PieceModel:
         at = np.argsort(keys)
         self.keys, self.ranks, self.merged = keys[at], found[at, 0], found[at, 1]
         self.memory: dict[str, bytes] = {}
+        # Each id's bytes inside a text, then as its first id: the space symbol that encoding put in front goes.
+        first = [
+            b[1:] if self.dummy_prefix and b.startswith(b" ") and not self.is_byte[i] and i != self.unknown_id else b
+            for i, b in enumerate(self.bytes_of)
+        ]
+        self.table = pa.array(self.bytes_of + first, pa.binary())
+        self.silent = np.array([not b for b in self.bytes_of], bool)
 
     # ---- the agenda ----------------------------------------------------------------------------------------------
 
@@ -236,20 +244,23 @@ class PieceModel:
         """Which segments the library encodes otherwise. It puts the first space symbol itself, but not before nothing."""
         cut = 1 if self.dummy_prefix else 0
         theirs = self.library.encode([s[cut:] for s in segments], num_threads=1)
-        return [
-            np.array(b, np.int32).tobytes() != a and not (cut and s == SPACE)
-            for a, b, s in zip(ids, theirs, segments)
-        ]
+        if cut and SPACE in segments:
+            at = segments.index(SPACE)
+            theirs[at] = np.frombuffer(ids[at], np.int32).tolist()
+        if list(map(len, ids)) == [4 * len(b) for b in theirs] and b"".join(ids) == np.fromiter(chain.from_iterable(theirs), np.int32).tobytes():
+            return [False] * len(segments)
+        return [np.array(b, np.int32).tobytes() != a for a, b in zip(ids, theirs)]
 
     def encode(self, texts: list[str], end: bool) -> Iterator[tuple[np.ndarray, int]]:
         """Ids of each text, and how many of its newly met segments the library encodes otherwise."""
         close = np.array([self.end_id] if end else [], np.int32).tobytes()
         for part in chunks_by_size([len(t) for t in texts], CHUNK_CHARS):
             split = [self.segments(t) for t in texts[part]]
-            missing = {s for one in split for s in one if s not in self.memory}
+            every = set(chain.from_iterable(split))
+            missing = every.difference(self.memory)
             if len(self.memory) + len(missing) > REMEMBERED:
                 self.memory.clear()
-                missing = {s for one in split for s in one}
+                missing = every
             wrong: set[str] = set()
             fresh = list(missing)
             for begin in range(0, len(fresh), 100_000):
@@ -274,6 +285,30 @@ class PieceModel:
         return text
 
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each list of ids; a null list gives the empty text.
+
+        All bytes are gathered at once. That equals decoding each run of byte pieces by itself where a whole text is valid
+        UTF-8, as all other pieces are whole characters. Other batches, and lists that begin with an id without bytes, go one by one.
+        """
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        begins, several = ends[:-1][lengths > 0], lengths[lengths > 0] > 1
+        if len(ids) and not (self.silent[ids[begins]] & several).any():
+            places = ids.astype(np.int64)
+            places[begins] += len(self.bytes_of)
+            pieces = self.table.take(pa.array(places))
+            cuts = np.frombuffer(pieces.buffers()[1], np.int32, len(ids) + 1)[ends].copy()
+            texts = pa.StringArray.from_buffers(len(lists), pa.py_buffer(cuts), pieces.buffers()[2] or pa.py_buffer(b""))
+            try:
+                texts.validate(full=True)
+                return texts
+            except pa.ArrowInvalid:
+                pass  # some byte pieces are no characters
+        return pa.array([self.decode(found) if found else "" for found in lists.to_pylist()], pa.string())
+
+
 @lru_cache(maxsize=2)
 def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
@@ -303,7 +338,7 @@ def decoder(path: str):
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = piece_model(path)
         for batch in batches:
-            yield pa.array([model.decode(ids) if ids else "" for ids in batch.to_pylist()], pa.string())
+            yield model.decode_all(batch)
 
     return decode
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from salesloom.llm import common, pieces
@@ -63,3 +64,28 @@ def test_table_with_nulls_and_clashing_columns(spark):
     assert found[1]["piece_text"] == "the cat" and found[1] == found[2]
     assert set(found[0].asDict()) == {"doc_id", "text", "piece_ids", "piece_text", "piece_disagreements"}
     assert pieces.with_pieces(frame.limit(0), MODEL).count() == 0
+
+
+def test_decoding_a_batch_equals_decoding_each(model, monkeypatch):
+    chance = random.Random(13)
+    made = [[chance.choice([chance.randrange(300), chance.randrange(32000), 2, 0]) for _ in range(chance.randint(0, 9))] for _ in range(600)]
+    valid = [model.library.encode(text, add_eos=True) for text in texts()]
+    for lists in (made, made[:1], valid, [*valid, None, []], [None], [], [[2]], [[2, 300]]):
+        want = [model.library.decode(ids) if ids else "" for ids in lists]
+        assert model.decode_all(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == want
+    assert model.decode_all(pa.array([[7, 8], *valid], pa.list_(pa.int32())).slice(1)).to_pylist() == [model.library.decode(i) for i in valid]
+    monkeypatch.setattr(pieces.PieceModel, "decode", None)  # encoded texts need no walk over their ids
+    model.decode_all(pa.array(valid, pa.list_(pa.int32())))
+
+
+def test_disagreements_with_the_library_are_counted(monkeypatch):
+    other = pieces.PieceModel(MODEL)
+    assert [bad for _, bad in other.encode(["the cat", "  x", "▁", " "], True)] == [0, 0, 0, 0]
+    library, other = other.library, pieces.PieceModel(MODEL)
+
+    class Wrong:
+        def encode(self, segments, num_threads):
+            return [[5, *ids] if s == "cat" else [6, *ids[1:]] if s == "dog" else ids for s, ids in zip(segments, library.encode(segments))]
+
+    other.library = Wrong()
+    assert [bad for _, bad in other.encode(["the cat saw a cat", "a dog", "  x", "a"], True)] == [2, 1, 0, 0]
