@@ -327,6 +327,7 @@ def encoder(path: str, end: bool):
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             bad = pa.array([b for _, b in found], pa.int32())
             yield pa.StructArray.from_arrays([lists, bad], ["ids", "disagreements"])
+        model.memory.clear()  # the worker may wait or decode next
 
     return encode
 

@@ -89,3 +89,10 @@ def test_disagreements_with_the_library_are_counted(monkeypatch):
 
     other.library = Wrong()
     assert [bad for _, bad in other.encode(["the cat saw a cat", "a dog", "  x", "a"], True)] == [2, 1, 0, 0]
+
+
+def test_a_task_leaves_no_segments_behind():
+    (found,) = pieces.encoder(MODEL, True).func(iter([pa.array(["the cat", "the dog"])]))
+    model = pieces.piece_model(MODEL)
+    assert found.field("ids").to_pylist() == [model.library.encode(t, add_eos=True) for t in ("the cat", "the dog")]
+    assert not model.memory
