@@ -11,7 +11,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.session import shared_dir
+from salesloom.session import shared_dir, shuffles_removed
 from salesloom.sources.pages import read_pages
 
 MONEY = "decimal(18,2)"
@@ -105,8 +105,13 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 SKUS = {"A": "SKU-A", "N": "SKU-N", "R": "DG-002"}
 
 
-def order_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with all their line items, in the order of the line number."""
+def _in_share(key: str, share: int, shares: int) -> Column:
+    """Whether an order belongs to one of the shares that its key is dealt to; orders without a key are one share's."""
+    return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(shares)) == share
+
+
+def order_parts(spark: SparkSession, folder: str, share: int = 0, shares: int = 1) -> DataFrame:
+    """Orders with all their line items, in the order of the line number; all of them or one share."""
     item = F.struct(
         F.col("l_linenumber").cast("int").alias("n"),
         F.col("l_returnflag").alias("flag"),
@@ -115,8 +120,11 @@ def order_parts(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_discount").cast("decimal(12,2)").alias("disc"),
         F.col("l_tax").cast(MONEY).alias("tax"),
     )
-    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    joined = orders_with_customers(spark, folder).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders, lines = orders_with_customers(spark, folder), table(spark, folder, "lineitem")
+    if shares > 1:
+        orders, lines = orders.filter(_in_share("o_orderkey", share, shares)), lines.filter(_in_share("l_orderkey", share, shares))
+    lines = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     # The joined sides may all be broadcast, and the scan of the orders be one split: the texts are built in many tasks.
     return joined.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
 
@@ -187,15 +195,25 @@ def created_text(status: Column, day: Column) -> Column:
     )
 
 
+# Orders whose pages are built at once, and shares at most: each share reads the tables again.
+SHARE_ORDERS, MOST_SHARES = 500_000, 8
+
+
 @cache
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The order pages as text files, written once a session, as recorded pages lie: queries start from them."""
+    """The order pages as text files, written once a session, as recorded pages lie: queries start from them.
+
+    The files are compressed, and large tables come in shares: what the shuffles of one share leave on disk goes before the next.
+    """
     path = f"{shared_dir(spark, 'order-pages')}/orders"
-    built_order_pages(spark, folder).write.text(path)
+    shares = min(MOST_SHARES, 1 + table(spark, folder, "orders").count() // SHARE_ORDERS)
+    for share in range(shares):
+        with shuffles_removed(spark):
+            built_order_pages(spark, folder, share, shares).write.mode("append").option("compression", "gzip").text(path)
     return read_pages(spark, path)
 
 
-def built_order_pages(spark: SparkSession, folder: str) -> DataFrame:
+def built_order_pages(spark: SparkSession, folder: str, share: int = 0, shares: int = 1) -> DataFrame:
     """One page document per order; pages of pending orders have two edges that hold no order."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     key = F.col("o_orderkey").cast("string")
@@ -271,7 +289,7 @@ def built_order_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(status == "P", ',5,{"cursor":"c2","node":null}').otherwise(""),
         F.lit('],"pageInfo":{"hasNextPage":false}}}}'),
     )
-    return order_parts(spark, folder).select(document.alias("document"))
+    return order_parts(spark, folder, share, shares).select(document.alias("document"))
 
 
 def event_pages(spark: SparkSession, folder: str) -> DataFrame:

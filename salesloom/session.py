@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="salesloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go as soon as a write ends, not when the driver happens to collect its garbage.
+
+    For writes of frames that are executed once: a frame that ran before would build its shuffles again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

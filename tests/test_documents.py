@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.errors import PySparkException
@@ -277,3 +280,66 @@ def test_nodes_are_parsed_with_the_fields_that_are_read(spark):
         "legacyResourceId", "id", "customer.legacyResourceId", "createdAt", "totalPriceSet", "currencyCode", "shippingAddress.country", "totalRefundedSet"}
     plan = wide_columns(recorded, "demo", narrow.ORDER_READS)._jdf.queryExecution().optimizedPlan().toString()
     assert "totalRefundedSet" in plan and "transactions" not in plan and "lineItems" not in plan
+
+
+PAGE_QUERIES = ("latest_customer_attributes", "narrow_customers", "narrow_orders", "order_fulfillments", "order_lines", "order_metafields", "order_transactions",
+                "refund_lines", "wide_clocks", "wide_discounts", "wide_ids", "wide_line_totals", "wide_orders")
+
+
+def star_tables(spark, folder, orders=60):
+    """Customers, orders (one without a key, two that share theirs) and lines (an order without, one with many)."""
+    spark.createDataFrame([(0, "EUROPE")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
+    spark.createDataFrame([(0, "NATION_1", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    people = [(i, f"Customer#{i}", 0, i - 2.0, "BUILDING" if i % 2 else "MACHINERY") for i in range(5)]
+    spark.createDataFrame(people, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    keys = [None, 7, 7, *range(100, 100 + orders)]
+    placed = [(k, i % 5, "FOP"[i % 3], 10.5 * i, f"1996-01-{1 + i % 28:02d}", "1-URGENT") for i, k in enumerate(keys)]
+    spark.createDataFrame(placed, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, day string, o_orderpriority string").selectExpr(
+        "* EXCEPT (day)", "CAST(day AS timestamp_ntz) AS o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    lines = [(k, n, 5.0 * n, 3.25 * i, 0.05, 0.01 * (n % 2), "ANR"[(i + n) % 3]) for i, k in enumerate(keys) if k != 100 for n in range(1, 40 if k == 101 else 4)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+                          " l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = {blocks.apply(i).name() for i in range(blocks.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_order_pages_lie_compressed_and_come_in_shares(spark, folder, monkeypatch):
+    from querybook import adapters
+
+    star_tables(spark, folder)
+    whole = sorted(r.document for r in adapters.built_order_pages(spark, folder).collect())
+    assert len(whole) == 63
+    monkeypatch.setattr(adapters, "SHARE_ORDERS", 20)
+    before = shuffle_files(spark)
+    read = adapters.order_pages(spark, folder)
+    for _ in range(100):  # they go in the background
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+    assert sorted(r.document for r in read.collect()) == whole
+    size = sum(Path(unquote(urlparse(f).path)).stat().st_size for f in read.inputFiles())
+    assert size < sum(map(len, whole)) / 2
+
+
+@pytest.fixture(scope="module")
+def star_folder(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("star"))
+    star_tables(spark, folder, 12)
+    return folder
+
+
+@pytest.mark.parametrize("name", PAGE_QUERIES)
+def test_queries_over_order_pages_read_compressed_files(spark, star_folder, name):
+    from __spark_entry__ import queries
+    from querybook import adapters
+
+    frame = queries()[name](spark, star_folder)
+    assert frame.count() > 0
+    files = adapters.order_pages(spark, star_folder).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    assert set(frame.inputFiles()) == set(files)
