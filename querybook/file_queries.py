@@ -64,9 +64,12 @@ def materialized_inbox(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("level"),
     )
     files.write_csv(people, f"{paths.inbox}/customers.csv")
-    # One document a file: each holds the array of a sixteenth of the orders.
-    orders = _order_columns(spark, folder).groupBy((F.col("id") % 16).alias("part")).agg(F.to_json(F.collect_list(F.struct("id", "customerId", "total", "createdAt"))).alias("value"))
-    orders.select("value").write.option("maxRecordsPerFile", 1).text(f"{paths.inbox}/orders.json")
+    # One document a file: each holds the array of a sixteenth of the orders, written order by order.
+    in_part = Window.partitionBy("part").orderBy("id")
+    begins, ends = F.lag(F.lit(1)).over(in_part).isNull(), F.lead(F.lit(1)).over(in_part).isNull()
+    orders = _order_columns(spark, folder).withColumn("part", F.col("id") % 16).select("*", begins.alias("begins"), ends.alias("ends"))
+    text = F.concat(F.when(F.col("begins"), "[").otherwise(","), F.to_json(F.struct("id", "customerId", "total", "createdAt")), F.when(F.col("ends"), "]").otherwise(""))
+    orders.select("part", text.alias("value")).write.partitionBy("part").text(f"{paths.inbox}/orders.json")
     materialize_inbox(spark, paths)
     customers = csv_files.customers_csv(spark, paths.customers, multiline=True).withColumn("kind", F.lit("customers"))
     loaded = csv_files.orders_csv(spark, paths.orders, multiline=True).select(

@@ -16,9 +16,9 @@ from salesloom.functions.text import to_bigint
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether Spark can list the path, on any file system it knows."""
+    """Whether Spark can list the path, on any file system it knows; folders in it need not be partitions of one table."""
     try:
-        spark.read.text(path)
+        spark.read.option("recursiveFileLookup", True).text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False

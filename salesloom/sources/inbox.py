@@ -149,7 +149,8 @@ def json_file_records(spark: SparkSession, path: str, base: str, split_from: int
     documents = spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
     size = F.col("_metadata.file_size")
     small = json_records(documents.filter(size <= split_from).select("document"), base)
-    if documents.filter(size > split_from).select(F.col("_metadata.file_path")).limit(1).isEmpty():
+    # Sizes from the listing: a text scan would load each large file whole.
+    if spark.read.format("binaryFile").load(path).filter(F.col("length") > split_from).select("path").limit(1).isEmpty():
         return small
     lists = items_of_arrays(spark, path, split_from)
     held = f"{shared_dir(spark, 'inbox-items')}/rows"

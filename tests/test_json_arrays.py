@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import math
 import random
 
 import pytest
@@ -88,3 +90,39 @@ def test_one_array_is_read_by_many_tasks(spark, folder):
         assert (orders.n, orders.s, float(orders.a)) == (20_000, sum(range(20_000)), 30_000.0)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sizes_of_files_are_known_without_reading_them(spark, folder, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    with open(f"{folder}/a.json", "w") as file:
+        file.write("[" + ",\n".join(f'{{"id": {i}}}' for i in range(50)) + "]")
+    plans, is_empty = [], DataFrame.isEmpty
+    monkeypatch.setattr(DataFrame, "isEmpty", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or is_empty(self))
+    for limit, scans in ((1 << 20, 1), (100, 2)):
+        plans.clear()
+        assert inbox.json_file_records(spark, folder, "orders", limit).count() == 50
+        assert len(plans) == scans and not any("FileScan text" in plan for plan in plans), plans
+
+
+def test_inbox_arrays_are_written_order_by_order(spark, folder, monkeypatch):
+    from querybook import file_queries
+
+    orders = [(i, i % 7, 1.5 * i, "1996-02-03") for i in range(-40, 400)] + [(5, 1, 7.25, "1996-02-04"), (5, 1, 7.25, "1996-02-04"), (None, 2, 1.0, None)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double, day string").selectExpr(
+        "* EXCEPT (day)", "CAST(day AS timestamp_ntz) AS o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(0, "EUROPE")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
+    spark.createDataFrame([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(1, "C", 0, "BUILDING")], "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    monkeypatch.setattr(file_queries, "shared_dir", lambda _, name: f"{folder}/{name}")
+    stopped = RuntimeError("the inbox is written")
+    monkeypatch.setattr(file_queries, "materialize_inbox", lambda *_: (_ for _ in ()).throw(stopped))
+    with pytest.raises(RuntimeError, match="the inbox is written"):
+        file_queries.materialized_inbox(spark, folder)
+    texts = [open(f).read() for f in glob.glob(f"{folder}/inbox-run/inbox/orders.json/**/part-*", recursive=True)]
+    parts = [json.loads(text) for text in texts]
+    assert len(parts) == len({int(math.fmod(o[0], 16)) if o[0] is not None else None for o in orders})
+    assert all(len({math.fmod(o["id"], 16) if "id" in o else None for o in part}) == 1 for part in parts)
+    found = sorted((o.get("id", 1000), o["customerId"], float(o["total"]), o.get("createdAt", "")) for part in parts for o in part)
+    assert found == sorted((1000 if i is None else i, c, t, d or "") for i, c, t, d in orders)
+    assert max(len(line) for text in texts for line in text.split("\n")) < 200
